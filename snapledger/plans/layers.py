@@ -42,9 +42,16 @@ MARKET_COLUMNS = [
 ]
 
 # The contract of the published table, version 1.
-PUBLISHED_SCHEMA = T.StructType.fromDDL(
-    "title string, revenue int, domestic_rev int, foreign_rev int, loaded_date date, "
-    "release_year int, published_timestamp_utc timestamp_ntz"
+PUBLISHED_SCHEMA = T.StructType(
+    [
+        T.StructField("title", T.StringType()),
+        T.StructField("revenue", T.IntegerType()),
+        T.StructField("domestic_rev", T.IntegerType()),
+        T.StructField("foreign_rev", T.IntegerType()),
+        T.StructField("loaded_date", T.DateType()),
+        T.StructField("release_year", T.IntegerType()),
+        T.StructField("published_timestamp_utc", T.TimestampNTZType()),
+    ]
 )
 
 
