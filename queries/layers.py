@@ -1,0 +1,302 @@
+"""Datasets and layers end to end: landed as snapshots, read back, cleaned, published."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from queries.cleaning import GROSS_SQL, gross_text
+from queries.pages import (
+    MARKETS_SQL,
+    METADATA_SQL,
+    customer_groups,
+    parse,
+    part_releases,
+)
+from queries.registry import BASE_URL, markup, query, table
+from snapledger.operators import checks
+from snapledger.operators import pages as page_ops
+from snapledger.plans import datasets as ds
+from snapledger.plans import layers
+from snapledger.session import scratch_path, stage
+from snapledger.sinks.parquet import publish, published_path, write_snapshot
+from snapledger.sources import snapshots
+
+DAY = "2024-05-01"
+RUN_TS = datetime.datetime(2024, 5, 1, 7, 0, 0)
+
+
+def revenue_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as revenue snapshots: a film per order, by order year and month."""
+    gross = gross_text()
+    status = F.col("o_orderstatus")
+    rows = table(spark, sf_dir, "orders").select(
+        markup("Film ", F.col("o_orderkey")).alias("Release Group"),
+        gross.alias("Worldwide"),
+        F.when(status == "F", gross).alias("Domestic"),
+        F.when(status == "O", F.substring(gross, 2, 20)).otherwise("-").alias("Foreign"),
+        F.year("o_orderdate").alias("release_year"),
+        F.trunc("o_orderdate", "month").alias("scraped_date"),
+    )
+    base = scratch_path(spark, "revenue")
+    write_snapshot(rows, base, "release_year")
+    return base
+
+
+def _amount(sql: str) -> str:
+    return f"coalesce(try_cast(replace(substring({sql}, 2), ',', '') AS INTEGER), 0)"
+
+
+REVENUE_SQL = f"""
+    SELECT 'Film ' || o_orderkey AS title, {_amount("g")} AS revenue,
+           {_amount("CASE WHEN o_orderstatus = 'F' THEN g END")} AS domestic_rev,
+           {_amount("CASE WHEN o_orderstatus = 'O' THEN substring(g, 2, 20) ELSE '-' END")} AS foreign_rev,
+           CAST(date_trunc('month', o_orderdate) AS DATE) AS loaded_date,
+           CAST(year(o_orderdate) AS INTEGER) AS release_year
+    FROM (SELECT *, {GROSS_SQL} AS g FROM orders)
+"""
+
+PUBLISHED_SQL = f"""
+    SELECT *, TIMESTAMP '2024-05-01 07:00:00' AS published_timestamp_utc FROM ({REVENUE_SQL})
+"""
+
+
+@query(REVENUE_SQL)
+def cleaned_revenue(spark, sf_dir):
+    return layers.cleaned_revenue(layers.raw_revenue(spark, revenue_lake(spark, sf_dir)))
+
+
+def _published(spark, sf_dir) -> DataFrame:
+    published = layers.published_revenue(cleaned_revenue(spark, sf_dir), RUN_TS)
+    differences = checks.schema_differences(published, layers.PUBLISHED_SCHEMA)
+    if differences:
+        raise ValueError(f"published table breaks its contract: {differences}")
+    return published
+
+
+@query(PUBLISHED_SQL)
+def published_layer(spark, sf_dir):
+    return _published(spark, sf_dir)
+
+
+@query(PUBLISHED_SQL)
+def publish_readback(spark, sf_dir):
+    root = scratch_path(spark, "published")
+    publish(_published(spark, sf_dir), root, "daily_ranks", 1)
+    return spark.read.schema(layers.PUBLISHED_SCHEMA).parquet(published_path(root, "daily_ranks", 1))
+
+
+@query(
+    f"""
+    SELECT release_year, loaded_date, CAST(count(*) AS BIGINT) AS copies
+    FROM (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS release_year,
+                 CAST(date_trunc('month', o_orderdate) AS DATE) AS loaded_date FROM orders)
+    GROUP BY o_custkey, release_year, loaded_date HAVING count(*) > 1
+    """
+)
+def grain_violations(spark, sf_dir):
+    films = table(spark, sf_dir, "orders").select(
+        markup("Film ", F.col("o_custkey")).alias("title"),
+        F.year("o_orderdate").alias("release_year"),
+        F.trunc("o_orderdate", "month").alias("loaded_date"),
+    )
+    twice = checks.grain_violations(films, ["title", "release_year", "loaded_date"])
+    return twice.select("release_year", "loaded_date", "copies")
+
+
+def lookup_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a lookup: a customer is a group, its domestic release may be unknown."""
+    status, key = F.col("o_orderstatus"), F.col("o_custkey")
+    rows = table(spark, sf_dir, "orders").select(
+        markup("Film ", F.col("o_orderkey")).alias("movie_title"),
+        F.when(status != "O", markup(f"{BASE_URL}/releasegroup/gr", key, "/")).alias(
+            "release_group_url"
+        ),
+        F.when(status == "F", markup(f"{BASE_URL}/release/rl", key, "/"))
+        .when(status == "O", markup(f"{BASE_URL}/release/x", key))
+        .when(F.col("o_orderpriority") == "5-LOW", "  ")
+        .alias("domestic_release_url"),
+        F.year("o_orderdate").alias("release_year"),
+        F.trunc("o_orderdate", "month").alias("scraped_date"),
+    )
+    base = scratch_path(spark, "lookup")
+    write_snapshot(rows, base, "release_year")
+    return snapshots.read_snapshots(spark, base, "release_year", columns=layers.LOOKUP_COLUMNS)
+
+
+LATEST_SQL = """
+    SELECT *, CAST(year(o_orderdate) AS INTEGER) AS release_year FROM orders
+    QUALIFY date_trunc('month', o_orderdate)
+          = max(date_trunc('month', o_orderdate)) OVER (PARTITION BY year(o_orderdate))
+"""
+
+IDS_SQL = f"""
+    SELECT DISTINCT release_year,
+           CASE o_orderstatus WHEN 'F' THEN 'rl' ELSE 'x' END || o_custkey AS id
+    FROM ({LATEST_SQL}) WHERE o_orderstatus IN ('F', 'O')
+"""
+
+GROUP_IDS_SQL = f"""
+    SELECT DISTINCT release_year, o_custkey FROM ({LATEST_SQL}) WHERE o_orderstatus <> 'O'
+"""
+
+
+def release_ids(spark, sf_dir) -> DataFrame:
+    return ds.lookup_ids(lookup_lake(spark, sf_dir), "domestic_release_url", ds.RELEASE_ID)
+
+
+@query(IDS_SQL)
+def lookup_ids(spark, sf_dir):
+    return release_ids(spark, sf_dir)
+
+
+def wanted_releases(spark, sf_dir) -> DataFrame:
+    """Release pages of parts whose id the lookup has."""
+    ids = stage(release_ids(spark, sf_dir), "ids")
+    pages = page_ops.spread(part_releases(spark, sf_dir))
+    return ds.with_ids(pages, ids, BASE_URL, ds.RELEASE_PATH)
+
+
+@query(
+    f"""
+    SELECT release_year, id, '{BASE_URL}/release/' || id || '/' AS url, p_name AS movie_title
+    FROM ({IDS_SQL}) JOIN part ON id = 'rl' || p_partkey
+    """
+)
+def lookup_pages_join(spark, sf_dir):
+    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=("h1",), tables=False)
+    title = page_ops.heading(ds.TITLE_CLASS)
+    return parsed.select("release_year", "id", "url", title.alias("movie_title"))
+
+
+def _daily(sql: str) -> str:
+    return f"SELECT release_year, id AS release_id, {sql} FROM ({IDS_SQL}) JOIN part ON id = 'rl' || p_partkey"
+
+
+PRICE = "CAST(floor(p_retailprice) AS BIGINT)"
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _daily(
+                f"""'Jan 1' AS "Date", 'Friday' AS "DOW", '$' || format('{{:,}}', {PRICE}) AS "Daily",
+                    format('{{:,}}', p_size * 100) AS "Theaters" """
+            ),
+            _daily(f"'Jan 2', 'Saturday', '$' || format('{{:,}}', {PRICE} * 2), NULL"),
+            _daily("'Jan 3', 'Sunday', '-', NULL"),
+        ]
+    )
+)
+def release_daily_rows(spark, sf_dir):
+    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=())
+    dated = stage(parsed.withColumn("scraped_date", F.lit(DAY).cast("date")), "releases")
+    return ds.daily_rows(dated).drop("scraped_date")
+
+
+@query(
+    f"""
+    SELECT release_id, movie_title, distributor, CAST(opening_amount AS INTEGER) AS opening_amount,
+           CAST(opening_theaters AS INTEGER) AS opening_theaters, release_date, rating, runtime,
+           genres, CAST(widest_release AS INTEGER) AS widest_release, DATE '{DAY}' AS scraped_date
+    FROM (SELECT {METADATA_SQL} FROM part)
+    """
+)
+def cleaned_metadata(spark, sf_dir):
+    pages = part_releases(spark, sf_dir).select(
+        markup("rl", F.col("p_partkey")).alias("id"),
+        "html",
+        F.lit(2024).alias("release_year"),
+        F.lit(DAY).cast("date").alias("scraped_date"),
+    )
+    base = scratch_path(spark, "metadata")
+    parsed = parse(pages, ds.RELEASE_TAGS)
+    write_snapshot(ds.metadata_rows(parsed), base, "release_year")
+    columns = layers.METADATA_REQUIRED + layers.METADATA_OPTIONAL
+    raw = snapshots.read_snapshots(spark, base, "release_year", columns=columns)
+    return layers.cleaned_metadata(raw)
+
+
+@query(
+    f"""
+    SELECT movie_title, 'gr' || c_custkey AS release_group_id, region, market, release_date,
+           try_cast(opening AS INTEGER) AS opening, try_cast(total_gross AS INTEGER) AS total_gross,
+           '{BASE_URL}/releasegroup/gr' || c_custkey || '/' AS release_group_url,
+           DATE '{DAY}' AS scraped_date
+    FROM ({MARKETS_SQL})
+    """
+)
+def cleaned_markets(spark, sf_dir):
+    pages = customer_groups(spark, sf_dir).select(
+        markup("gr", F.col("c_custkey")).alias("id"),
+        "url",
+        "html",
+        F.lit(2024).alias("release_year"),
+        F.lit(DAY).cast("date").alias("scraped_date"),
+    )
+    base = scratch_path(spark, "markets")
+    write_snapshot(ds.market_rows(parse(pages, ds.GROUP_TAGS)), base, "release_year")
+    columns = layers.MARKET_COLUMNS + ["release_group_id"]
+    raw = snapshots.read_snapshots(spark, base, "release_year", columns=columns)
+    return layers.cleaned_markets(raw)
+
+
+@query(
+    """
+    SELECT 'rl' || p_partkey AS release_id, p_name AS movie_title, CAST(NULL AS VARCHAR) AS distributor,
+           CAST(NULL AS INTEGER) AS opening_amount, CAST(NULL AS INTEGER) AS opening_theaters,
+           CAST(NULL AS VARCHAR) AS release_date, CAST(NULL AS VARCHAR) AS rating,
+           CAST(NULL AS VARCHAR) AS runtime, p_type AS genres,
+           p_size AS widest_release, '2024-05-01' AS scraped_date
+    FROM part
+    """
+)
+def optional_columns(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(
+        markup("rl", F.col("p_partkey")).alias("release_id"),
+        F.col("p_name").alias("movie_title"),
+        F.col("p_type").alias("genres"),
+        F.col("p_size").cast("string").alias("widest_release"),
+        F.lit(DAY).alias("scraped_date"),
+    )
+    return layers.cleaned_metadata(rows)
+
+
+@query(
+    """
+    WITH requested AS (
+        SELECT dataset, CAST(y AS VARCHAR) AS item
+        FROM (VALUES ('orders'), ('shipments')) AS d(dataset), range(1977, 2027) AS t(y)
+    ), loaded AS (
+        SELECT 'orders' AS dataset, CAST(year(o_orderdate) AS VARCHAR) AS item FROM orders
+        UNION ALL SELECT 'shipments', CAST(year(l_shipdate) AS VARCHAR) FROM lineitem
+    ), counts AS (SELECT dataset, item, count(*) AS n FROM loaded GROUP BY ALL)
+    SELECT dataset, item, CAST(coalesce(n, 0) AS BIGINT) AS rows,
+           coalesce(n, 0) = 0 AND dataset = 'orders' AS failed
+    FROM requested LEFT JOIN counts USING (dataset, item)
+    """
+)
+def batch_report(spark, sf_dir):
+    dataset = F.explode(F.array(F.lit("orders"), F.lit("shipments"))).alias("dataset")
+    requested = spark.range(1977, 2027).select(dataset, F.col("id").cast("string").alias("item"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("dataset"), F.year("o_orderdate").cast("string").alias("item")
+    )
+    shipped = table(spark, sf_dir, "lineitem").select(
+        F.lit("shipments").alias("dataset"), F.year("l_shipdate").cast("string").alias("item")
+    )
+    return checks.batch_report(requested, orders.unionByName(shipped), ["orders"])
+
+
+@query(
+    """
+    SELECT 'orders' AS dataset, CAST(count(*) AS BIGINT) AS rows,
+           CAST(50 - count(DISTINCT year(o_orderdate)) AS BIGINT) AS failed
+    FROM orders
+    UNION ALL SELECT 'shipments', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT) FROM lineitem
+    """
+)
+def batch_totals(spark, sf_dir):
+    return checks.batch_totals(batch_report(spark, sf_dir))

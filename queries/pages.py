@@ -16,6 +16,10 @@ from snapledger.plans import layers
 from snapledger.session import stage
 
 
+def parse(pages: DataFrame, tags, tables: bool = False) -> DataFrame:
+    return page_ops.parse(page_ops.spread(pages), tags=tags, tables=tables)
+
+
 def row(*cells: Column | str, tag: str = "td") -> Column:
     inner = []
     for cell in cells:
@@ -123,7 +127,7 @@ def part_releases(spark, sf_dir) -> DataFrame:
     """
 )
 def page_links(spark, sf_dir):
-    parsed = page_ops.parse(table(spark, sf_dir, "pages").select("page_id", "html"), tags=("a",), tables=False)
+    parsed = parse(table(spark, sf_dir, "pages").select("page_id", "html"), ("a",))
     return page_ops.links(parsed, "/", BASE_URL)
 
 
@@ -136,7 +140,7 @@ def page_links(spark, sf_dir):
     """
 )
 def page_heading(spark, sf_dir):
-    parsed = page_ops.parse(table(spark, sf_dir, "pages"), tags=("h1",), tables=False)
+    parsed = parse(table(spark, sf_dir, "pages"), ("h1",))
     return parsed.select("page_id", page_ops.heading().alias("heading"))
 
 
@@ -149,7 +153,7 @@ DOMESTIC_SQL = f"""
 
 @query(f"SELECT c_custkey, {DOMESTIC_SQL} || '?ref_=x' AS url FROM customer")
 def page_labelled_link(spark, sf_dir):
-    parsed = page_ops.parse(customer_groups(spark, sf_dir), tags=("a",), tables=False)
+    parsed = parse(customer_groups(spark, sf_dir), ("a",))
     link = page_ops.labelled_link(ds.RELEASE_PATH, ds.DOMESTIC, BASE_URL)
     return parsed.select("c_custkey", link.alias("url"))
 
@@ -174,7 +178,7 @@ def page_tables(spark, sf_dir):
         row("Source", "Language", "Text", tag="th"), row(F.col("source"), F.col("lang"), words)
     )
     docs = table(spark, sf_dir, "documents").select("doc_id", page.alias("html"))
-    return page_ops.table_rows(page_ops.parse(docs, tags=()))
+    return page_ops.table_rows(parse(docs, (), tables=True))
 
 
 LISTING_SQL = "'$' || format('{:,}', CAST(floor(o_totalprice) AS BIGINT))"
@@ -219,7 +223,7 @@ def order_listings(spark, sf_dir) -> DataFrame:
     """
 )
 def page_first_table(spark, sf_dir):
-    parsed = page_ops.parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), tags=())
+    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), tables=True)
     records = page_ops.table_records(parsed, page_ops.first_table())
     return page_ops.wide(records, layers.REVENUE_COLUMNS)
 
@@ -232,7 +236,7 @@ def page_first_table(spark, sf_dir):
     """
 )
 def page_last_table(spark, sf_dir):
-    parsed = page_ops.parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), tags=())
+    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), tables=True)
     records = page_ops.table_records(parsed, page_ops.last_table())
     return records.select("o_orderkey", "row_ix", page_ops.cell("0").alias("0"))
 
@@ -250,7 +254,7 @@ METADATA_SQL = """
 def page_label_values(spark, sf_dir):
     pages = part_releases(spark, sf_dir)
     pages = pages.select(markup("rl", F.col("p_partkey")).alias("release_id"), "html")
-    parsed = page_ops.parse(pages, tags=ds.RELEASE_TAGS, tables=False)
+    parsed = parse(pages, ds.RELEASE_TAGS)
     return page_ops.release_metadata(parsed, ds.SECTION_CLASS, ds.TITLE_CLASS)
 
 
@@ -271,7 +275,7 @@ MARKETS_SQL = """
 @query(MARKETS_SQL)
 def page_grouped_rows(spark, sf_dir):
     pages = customer_groups(spark, sf_dir).select("c_custkey", "html")
-    parsed = page_ops.parse(pages, tags=ds.GROUP_TAGS, tables=False)
+    parsed = parse(pages, ds.GROUP_TAGS)
     return page_ops.grouped_rows(parsed, ds.REGION_CLASS, ds.TITLE_CLASS)
 
 
@@ -288,8 +292,8 @@ LOOKUP_SQL = f"""
 
 def lookup(spark, sf_dir) -> DataFrame:
     """Lookup rows from the listings of orders and the group pages of customers."""
-    listings = page_ops.parse(order_listings(spark, sf_dir), tags=ds.YEAR_TAGS, tables=False)
-    groups = page_ops.parse(customer_groups(spark, sf_dir), tags=("a",), tables=False)
+    listings = parse(order_listings(spark, sf_dir), ds.YEAR_TAGS)
+    groups = parse(customer_groups(spark, sf_dir), ("a",))
     return ds.lookup_rows(ds.group_links(listings, BASE_URL), ds.domestic_links(groups, BASE_URL))
 
 
@@ -316,7 +320,7 @@ FAILED_SQL = """
 
 
 def failed_pages(spark, sf_dir) -> DataFrame:
-    parsed = page_ops.parse(page_batches(spark, sf_dir), tags=("h1",), tables=False)
+    parsed = parse(page_batches(spark, sf_dir), ("h1",))
     return parsed.where(F.col("page.error").isNotNull()).select(
         "dataset", F.col("page_id").cast("string").alias("item"), F.col("page.error").alias("error")
     )
@@ -329,7 +333,7 @@ def failed_pages(spark, sf_dir) -> DataFrame:
     """
 )
 def parse_failures(spark, sf_dir):
-    parsed = page_ops.parse(page_batches(spark, sf_dir), tags=("h1",), tables=False)
+    parsed = parse(page_batches(spark, sf_dir), ("h1",))
     return page_ops.parse_failures(parsed, "pages", F.col("page_id"))
 
 
@@ -359,5 +363,5 @@ def required_columns(spark, sf_dir):
     heading = F.when(F.col("p_size") <= 25, complete).otherwise(incomplete)
     page = html_table(heading, row(escaped(F.col("p_name")), money(F.floor("p_retailprice")), "-", "-"))
     pages = table(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
-    records = page_ops.table_records(page_ops.parse(pages, tags=()), page_ops.first_table())
+    records = page_ops.table_records(parse(pages, (), tables=True), page_ops.first_table())
     return page_ops.wide(ds.accepted(records), ["Release Group", "Worldwide"])

@@ -67,16 +67,19 @@ MAX_COPIES = 10_000_000
 # parts of a table reach through open cells.
 BARRIERS = CELLS | {"table"}
 TABLE_PARTS = CELLS | SECTIONS | {"tr", "table"}
+ONLY_TABLE = frozenset(["table"])
+ROW = frozenset(["tr"])
+NOTHING: dict = {}
 
 # Open tags that a start tag closes, looked for up to the nearest barrier.
 IMPLIED_END = {
     "a": (frozenset(["a"]), BARRIERS),
-    "td": (CELLS, frozenset(["table"])),
-    "th": (CELLS, frozenset(["table"])),
-    "tr": (frozenset(["tr"]), frozenset(["table"])),
-    "thead": (SECTIONS, frozenset(["table"])),
-    "tbody": (SECTIONS, frozenset(["table"])),
-    "tfoot": (SECTIONS, frozenset(["table"])),
+    "td": (CELLS, ONLY_TABLE),
+    "th": (CELLS, ONLY_TABLE),
+    "tr": (ROW, ONLY_TABLE),
+    "thead": (SECTIONS, ONLY_TABLE),
+    "tbody": (SECTIONS, ONLY_TABLE),
+    "tfoot": (SECTIONS, ONLY_TABLE),
 }
 
 TOKEN = re.compile(
@@ -94,8 +97,6 @@ BREAKS = re.compile(r"[\r\n]+|\s{2,}")
 def attributes(source):
     """Attribute names to values; the first of a repeated name counts."""
     found = {}
-    if "=" not in source:
-        return found
     for name, double, single, bare in ATTRIBUTE.findall(source):
         found.setdefault(name.lower(), entities.unescape(double or single or bare))
     return found
@@ -108,112 +109,155 @@ def span(value, most):
     return min(max(int(digits.group(1)), 1), most) if digits else 1
 
 
-def read_elements(markup):
-    """Kept elements in document order, each a dict with its open/close numbers."""
-    elements, stack, seen = [], [], {}
+class Element:
+    """One kept element while its page is read."""
+
+    __slots__ = ("ix", "last", "tag", "given", "nth", "pieces")
+
+    def __init__(self, ix, tag, given, pieces):
+        self.ix = self.last = ix
+        self.tag = tag
+        self.given = given
+        self.nth = None
+        self.pieces = pieces
+
+    def strings(self):
+        """Stripped pieces of text, without blank ones."""
+        return [bare for bare in map(str.strip, self.pieces) if bare] if self.pieces else []
+
+
+def read_elements(markup, text_tags=TEXT_TAGS):
+    """Kept elements in document order; those of ``text_tags`` with their pieces of text."""
+    elements, stack, reading, seen = [], [], [], {}
 
     def close(upto):
-        for element in stack[upto:]:
-            element["last"] = len(elements) - 1
-        del stack[upto:]
+        last = len(elements) - 1
+        while len(stack) > upto:
+            element = stack.pop()
+            element.last = last
+            if element.pieces is not None:
+                reading.pop()
 
     def innermost(tags, barriers):
-        for at in reversed(range(len(stack))):
-            if stack[at]["tag"] in tags:
+        at = len(stack)
+        while at:
+            at -= 1
+            tag = stack[at].tag
+            if tag in tags:
                 return at
-            if stack[at]["tag"] in barriers:
+            if tag in barriers:
                 return None
         return None
 
-    def add_text(piece):
-        piece = entities.unescape(piece) if "&" in piece else piece
-        bare = piece.strip()
-        for element in stack:
-            if element["tag"] in TEXT_TAGS:
-                element["raw"].append(piece)
-                if bare:
-                    element["strings"].append(bare)
-
-    def start(tag, source):
-        if tag in IMPLIED_END:
-            at = innermost(*IMPLIED_END[tag])
-            if at is not None:
-                close(at)
-        if tag in CELLS and innermost(("tr",), ("table",)) is None:
-            start("tr", "")
-        given = attributes(source)
-        href = given.get("href")
-        element = {
-            "ix": len(elements),
-            "last": len(elements),
-            "tag": tag,
-            "href": href,
-            "cls": " ".join(given["class"].split()) if "class" in given else None,
-            "colspan": given.get("colspan"),
-            "rowspan": given.get("rowspan"),
-            "nth": seen.get(href, 0) if tag == "a" else None,
-            "strings": [],
-            "raw": [],
-        }
-        if tag == "a":
-            seen[href] = element["nth"] + 1
+    def start(tag, given):
+        element = Element(len(elements), tag, given, [] if tag in text_tags else None)
         elements.append(element)
         stack.append(element)
+        if element.pieces is not None:
+            reading.append(element.pieces)
+        return element
 
     done = 0
     for token in TOKEN.finditer(markup):
-        if stack and done < token.start():
-            add_text(markup[done : token.start()])
-        done = token.end()
-        tag = (token["tag"] or "").lower()
+        begin, end = token.span()
+        if reading and done < begin:
+            piece = markup[done:begin]
+            if "&" in piece:
+                piece = entities.unescape(piece)
+            for pieces in reading:
+                pieces.append(piece)
+        done = end
+        _, closing, tag, source = token.groups()
+        if tag is None:
+            continue
         if tag not in KEPT:
+            tag = tag.lower()
+            if tag not in KEPT:
+                continue
+        if closing:
+            at = innermost((tag,), ONLY_TABLE if tag in TABLE_PARTS else BARRIERS)
+            if at is not None:
+                close(at)
             continue
-        if token["end"]:
-            at = innermost((tag,), ("table",) if tag in TABLE_PARTS else BARRIERS - {tag})
+        if tag in IMPLIED_END:
+            at = innermost(*IMPLIED_END[tag])
             if at is not None:
                 close(at)
-        else:
-            start(tag, token["attrs"])
-    if stack:
-        add_text(markup[done:])
+            if tag in CELLS and innermost(ROW, ONLY_TABLE) is None:
+                start("tr", NOTHING)
+        element = start(tag, attributes(source) if "=" in source else NOTHING)
+        if tag == "a":
+            href = element.given.get("href")
+            element.nth = seen.get(href, 0)
+            seen[href] = element.nth + 1
+    if reading:
+        piece = entities.unescape(markup[done:])
+        for pieces in reading:
+            pieces.append(piece)
     close(0)
     return elements
 
 
+def element_rows(elements, tags):
+    """Elements of ``tags`` as UDF output, numbered anew with the same nesting."""
+    upto, kept = [], []
+    for element in elements:
+        if element.tag in tags:
+            kept.append(element)
+        upto.append(len(kept))
+    rows = []
+    for ix, element in enumerate(kept):
+        given = element.given
+        rows.append(
+            {
+                "ix": ix,
+                "last": upto[element.last] - 1,
+                "tag": element.tag,
+                "href": given.get("href"),
+                "cls": " ".join(given["class"].split()) if "class" in given else None,
+                "colspan": given.get("colspan"),
+                "nth": element.nth,
+                "strings": element.strings(),
+            }
+        )
+    return rows
+
+
 def read_tables(elements):
     """Tables with any text, as header and body rows of cell text, spans filled in."""
     tables, enclosing = [], []
     for element in elements:
-        while enclosing and element["ix"] > enclosing[-1]["last"]:
+        while enclosing and element.ix > enclosing[-1]["last"]:
             enclosing.pop()
-        if element["tag"] == "table":
-            table = {"last": element["last"], "rows": [], "section": None}
+        if element.tag == "table":
+            table = {"last": element.last, "rows": [], "section": None}
             tables.append(table)
             enclosing.append(table)
         elif enclosing:
             table = enclosing[-1]
-            if element["tag"] in SECTIONS:
-                table["section"] = element
-            elif element["tag"] == "tr":
-                section = table["section"]
-                inside = section is not None and element["ix"] <= section["last"]
-                table["rows"].append((section["tag"] if inside else "tbody", []))
-            elif element["tag"] in CELLS:
+            if element.tag in CELLS:
                 table["rows"][-1][1].append(element)
+            elif element.tag == "tr":
+                section = table["section"]
+                inside = section is not None and element.ix <= section.last
+                table["rows"].append((section.tag if inside else "tbody", []))
+            elif element.tag in SECTIONS:
+                table["section"] = element
     for table in tables:
+        if not any(piece.strip() for _, row in table["rows"] for c in row for piece in c.pieces):
+            continue
         parts = {"thead": [], "tbody": [], "tfoot": []}
         for part, row in table["rows"]:
             parts[part].append(row)
         if not parts["thead"]:
-            plain = (i for i, row in enumerate(parts["tbody"]) if any(c["tag"] == "td" for c in row))
+            plain = (i for i, row in enumerate(parts["tbody"]) if any(c.tag == "td" for c in row))
             first = next(plain, len(parts["tbody"]))
             parts["thead"], parts["tbody"] = parts["tbody"][:first], parts["tbody"][first:]
-        if any(cell["strings"] for _, row in table["rows"] for cell in row):
-            head, body, foot = (fill_spans(parts[part]) for part in ("thead", "tbody", "tfoot"))
-            width = max(len(row) for row in head + body + foot)
-            for row in head + body + foot:
-                row.extend([""] * (width - len(row)))
-            yield {"names": column_names(head, width), "head": head, "body": body + foot}
+        head, body, foot = (fill_spans(parts[part]) for part in ("thead", "tbody", "tfoot"))
+        width = max(len(row) for row in head + body + foot)
+        for row in head + body + foot:
+            row.extend([""] * (width - len(row)))
+        yield {"names": column_names(head, width), "head": head, "body": body + foot}
 
 
 def column_names(head, width):
@@ -232,8 +276,15 @@ def column_names(head, width):
     return names
 
 
+def cell_text(cell):
+    """All text of a cell, breaks and runs of white space as one blank."""
+    return BREAKS.sub(" ", "".join(cell.pieces).strip())
+
+
 def fill_spans(rows):
     """Cell text per grid position: a spanning cell repeats over all it covers."""
+    if not any("rowspan" in c.given or "colspan" in c.given for cells in rows for c in cells):
+        return [[cell_text(cell) for cell in cells] for cells in rows]
     filled, hanging, copies = [], {}, 0
     coming = iter(rows)
     while True:
@@ -250,9 +301,8 @@ def fill_spans(rows):
         for cell in cells or ():
             while len(row) in hanging:
                 put(*hanging.pop(len(row)))
-            value = BREAKS.sub(" ", "".join(cell["raw"]).strip())
-            depth = span(cell["rowspan"], MAX_ROWSPAN)
-            for _ in range(span(cell["colspan"], MAX_COLSPAN)):
+            value, depth = cell_text(cell), span(cell.given.get("rowspan"), MAX_ROWSPAN)
+            for _ in range(span(cell.given.get("colspan"), MAX_COLSPAN)):
                 put(value, depth)
         for column in sorted(hanging):
             put(*hanging[column])
@@ -263,28 +313,14 @@ def fill_spans(rows):
         hanging = below
 
 
-def keep_tags(elements, tags):
-    """Only elements with one of ``tags``, numbered anew with the same nesting."""
-    if tags >= KEPT:
-        return elements
-    upto, kept = [], []
-    for element in elements:
-        if element["tag"] in tags:
-            kept.append(element)
-        upto.append(len(kept))
-    return [
-        {**element, "ix": ix, "last": upto[element["last"]] - 1} for ix, element in enumerate(kept)
-    ]
-
-
 def read_page(markup, tags, tables):
     """One page as the UDF returns it. Whatever goes wrong stays with that page."""
-    if not markup or not markup.strip():
+    if not markup or markup.isspace():
         return {"error": "empty page"}
     try:
-        elements = read_elements(markup)
+        elements = read_elements(markup, TEXT_TAGS & (tags | CELLS if tables else tags))
         return {
-            "elements": keep_tags(elements, tags),
+            "elements": element_rows(elements, tags),
             "tables": list(read_tables(elements)) if tables else [],
         }
     except Exception as problem:

@@ -44,6 +44,18 @@ def parse(pages: DataFrame, html_col: str = "html", tags=html.KEPT, tables: bool
     return pages.select(*[c for c in pages.columns if c != html_col], page)
 
 
+def spread(pages: DataFrame) -> DataFrame:
+    """Give every core some of the pages when a scan has fewer partitions than cores.
+
+    Reading markup costs far more time per byte than scanning it, so a single small
+    file should not be parsed by one task. A scan with enough partitions, as any
+    large one has, is returned as it is and its markup is never shuffled. Call it on
+    a scan: only its plan is looked at.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+
+
 def parse_failures(parsed: DataFrame, dataset: str, item: Column) -> DataFrame:
     """``(dataset, item, error)`` of the pages that could not be parsed."""
     return parsed.where(F.col("page.error").isNotNull()).select(
