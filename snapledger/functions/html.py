@@ -157,29 +157,33 @@ def read_elements(markup, text_tags=TEXT_TAGS):
             reading.append(element.pieces)
         return element
 
-    done = 0
-    for token in TOKEN.finditer(markup):
-        begin, end = token.span()
-        if reading and done < begin:
-            piece = markup[done:begin]
-            if "&" in piece:
-                piece = entities.unescape(piece)
-            for pieces in reading:
-                pieces.append(piece)
-        done = end
-        _, closing, tag, source = token.groups()
+    def add_text(piece):
+        if "&" in piece:
+            piece = entities.unescape(piece)
+        for pieces in reading:
+            pieces.append(piece)
+
+    # Text and the groups of the token after it, in turn; the last text has no token.
+    parts = TOKEN.split(markup)
+    for piece, closing, tag, source in zip(parts[::5], parts[2::5], parts[3::5], parts[4::5]):
+        if piece and reading:
+            add_text(piece)
         if tag is None:
             continue
         if tag not in KEPT:
             tag = tag.lower()
             if tag not in KEPT:
                 continue
+        top = stack[-1].tag if stack else None
         if closing:
-            at = innermost((tag,), ONLY_TABLE if tag in TABLE_PARTS else BARRIERS)
+            if tag == top:
+                at = len(stack) - 1
+            else:
+                at = innermost((tag,), ONLY_TABLE if tag in TABLE_PARTS else BARRIERS)
             if at is not None:
                 close(at)
             continue
-        if tag in IMPLIED_END:
+        if tag in IMPLIED_END and not (top == "tr" and tag in CELLS):
             at = innermost(*IMPLIED_END[tag])
             if at is not None:
                 close(at)
@@ -191,9 +195,7 @@ def read_elements(markup, text_tags=TEXT_TAGS):
             element.nth = seen.get(href, 0)
             seen[href] = element.nth + 1
     if reading:
-        piece = entities.unescape(markup[done:])
-        for pieces in reading:
-            pieces.append(piece)
+        add_text(parts[-1])
     close(0)
     return elements
 

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 # Texts that stand for a missing amount, count or date.
 MISSING_MARKERS = ["-", "–", "—", "N/A"]
 
-# White space as Unicode counts it; the last such character is U+3000.
+# White space as Unicode counts it, as characters (the last is U+3000) and as the
+# inside of a regular-expression class. The class names are much faster than a list.
 WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-SPACE_RUN = f"[{WHITE_SPACE}]+"
+SPACE = r"\s\x1c-\x1f\x85\p{Z}"
+FIRST_WORD = f"([^{SPACE}]+)"
+LAST_PRICE = rf"(?s)^(?:.*[{SPACE}])?(\$[^{SPACE}]*)"
+BEFORE_THEATERS = f"(?is)^(?:.*[{SPACE}])?([^{SPACE}]++)[{SPACE}]++[^{SPACE}]*theater"
 
 
 def strip(text: Column) -> Column:
@@ -26,18 +30,19 @@ def blank_to_null(text: Column) -> Column:
 
 def squeeze_space(text: Column) -> Column:
     """Every run of white space becomes one blank; none at the ends."""
-    return strip(F.regexp_replace(text, SPACE_RUN, " "))
+    return strip(F.regexp_replace(text, f"[{SPACE}]+", " "))
 
 
 def digits_or_null(text: Column, unicode_digits: bool = False) -> Column:
-    """Only the digits of an amount or count, null for a missing marker or no digits.
+    """Only the digits of an amount or count, null when there are none.
 
     Signs and decimal points are dropped with everything else (``$1.5`` gives
-    ``15``). ``unicode_digits`` also keeps digits outside ASCII.
+    ``15``); no missing marker has a digit. ``unicode_digits`` also keeps digits
+    outside ASCII.
     """
     pattern = r"(?U)[^\d]" if unicode_digits else "[^0-9]"
     digits = F.regexp_replace(text, pattern, "")
-    return F.when(~text.isin(MISSING_MARKERS) & (digits != ""), digits)
+    return F.when(digits != "", digits)
 
 
 def text_or_null(text: Column) -> Column:
@@ -65,34 +70,19 @@ def money_to_int(text: Column, to: str = "int") -> Column:
     return F.coalesce(safe_int(unsigned, to), F.lit(0).cast(to))
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
-
-
-def _last(items: Column) -> Column:
-    return F.try_element_at(items, F.lit(-1))
-
-
 def opening_amount(text: Column) -> Column:
     """Digits of the last ``$`` word of ``$100,262,540 4,000 theaters``."""
-    return digits_or_null(_last(F.filter(_words(text), lambda w: w.startswith("$"))))
+    return digits_or_null(F.regexp_extract(text, LAST_PRICE, 1))
 
 
 def opening_theaters(text: Column) -> Column:
     """Digits of the word before the last word that mentions theaters."""
-    words = _words(text)
-    pairs = F.zip_with(
-        words,
-        F.slice(words, 2, F.greatest(F.size(words), F.lit(1))),
-        lambda before, word: F.struct(before.alias("before"), word.alias("word")),
-    )
-    hits = F.filter(pairs, lambda p: F.lower(p["word"]).contains("theater"))
-    return digits_or_null(_last(hits)["before"])
+    return digits_or_null(F.regexp_extract(text, BEFORE_THEATERS, 1))
 
 
 def first_number(text: Column) -> Column:
     """Digits of the first word."""
-    return digits_or_null(F.get(_words(text), 0))
+    return digits_or_null(F.regexp_extract(text, FIRST_WORD, 1))
 
 
 def strip_phrase(text: Column, phrase: str) -> Column:
