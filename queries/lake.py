@@ -196,6 +196,18 @@ def year_range(spark, sf_dir):
     return with_text_date(coverage.within_years(rows, "release_year", 1996, 1998))
 
 
+@query(
+    f"""
+    SELECT o_orderkey, cents, release_year, CAST(month AS VARCHAR) AS scraped_date
+    FROM ({ORDERS_SQL}) WHERE month(month) = 5
+    """
+)
+def path_pattern(spark, sf_dir):
+    base = orders_lake(spark, sf_dir)
+    rows = snapshots.files_matching(spark, base, "release_year=*/scraped_date=*-05-01")
+    return with_text_date(rows)
+
+
 @query(
     """
     SELECT o_orderkey, CASE WHEN year(o_orderdate) > 1997 THEN o_orderpriority END AS priority

@@ -63,6 +63,9 @@ MAX_ROWSPAN = 65534
 # A page whose spans repeat cells more often than this is reported as failed.
 MAX_COPIES = 10_000_000
 
+# Characters of markup whose elements are held as Python objects at a time.
+CHUNK = 4_000_000
+
 # An end tag closes nothing outside the cell or table it stands in; those of the
 # parts of a table reach through open cells.
 BARRIERS = CELLS | {"table"}
@@ -339,7 +342,17 @@ def page_reader(tags, tables):
 
     @F.arrow_udf(PAGE)
     def parse_page(markup: pa.Array) -> pa.Array:
-        return pa.array([read_page(m, tags, tables) for m in markup.to_pylist()], PAGE_ARROW)
+        # Python objects take far more memory than Arrow arrays, so a batch is
+        # converted in pieces of about CHUNK characters.
+        done, pages, size = [], [], 0
+        for page in markup:
+            text = page.as_py()
+            pages.append(read_page(text, tags, tables))
+            size += len(text or "")
+            if size >= CHUNK:
+                done.append(pa.array(pages, PAGE_ARROW))
+                pages, size = [], 0
+        return pa.concat_arrays([*done, pa.array(pages, PAGE_ARROW)])
 
     return parse_page.asNondeterministic()
 

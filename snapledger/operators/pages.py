@@ -18,6 +18,9 @@ MISSING_CELLS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Most columns a table assembled from pages may have without being declared.
+MAX_COLUMNS = 10_000
+
 # First cells that mark a heading or total row of a grouped table.
 SUMMARY_MARKETS = ["market", "total", "summary"]
 
@@ -163,6 +166,7 @@ def discover_columns(records: DataFrame) -> list[str]:
     """Every column name that occurs, in order of first position then name.
 
     One row per distinct name reaches the driver: they are about to become a schema.
+    More names than a schema can sensibly have are an error, never cut off.
     """
     names = (
         records.where(F.col("row_ix") == 0)
@@ -170,7 +174,10 @@ def discover_columns(records: DataFrame) -> list[str]:
         .groupBy("name")
         .agg(F.min("pos").alias("pos"))
     )
-    return [row["name"] for row in names.orderBy("pos", "name").collect()]
+    found = names.orderBy("pos", "name").limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} column names, declare the wanted columns")
+    return [row["name"] for row in found]
 
 
 def wide(records: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +54,21 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     """
     measured = df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
     return F.broadcast(df) if measured["bytes"] <= max_bytes else df
+
+
+@contextmanager
+def partition_values_from_listing(spark: SparkSession):
+    """Answer distinct and maximum of partition columns from the file listing.
+
+    The driver holds the listing of a scan anyway, so such a query needs no task at
+    all instead of one per piece of every data file. A partition whose files are
+    empty then counts as present, which for snapshots is what is wanted. Only actions
+    run inside the block are affected.
+    """
+    key = "spark.sql.optimizer.metadataOnly"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

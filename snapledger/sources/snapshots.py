@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.functions import text
-from snapledger.session import BROADCAST_BYTES, broadcast_if_small, stage
+from snapledger.session import (
+    BROADCAST_BYTES,
+    broadcast_if_small,
+    partition_values_from_listing,
+    stage,
+)
 
 DATE = "scraped_date"
 
@@ -92,16 +97,18 @@ def latest_snapshot(
 ) -> DataFrame:
     """Rows of each key's latest snapshot; empty when there is none.
 
-    The date per key comes from partition values alone. Few keys become literal
+    The date per key comes from the file listing. Few keys become literal
     filters, so only the latest partitions are listed and read. More keys are
     broadcast while their measured size allows it, which prunes at run time; beyond
     that the semi-join shuffles and adaptive execution splits a heavy key.
     """
     latest = latest_dates(snapshots, key, as_of)
-    pairs = latest.limit(max_pairs + 1).collect()
-    if len(pairs) <= max_pairs:
-        return snapshots.where(_any_pair(pairs, key))
-    latest = stage(latest, "latest").where(F.col(DATE) <= _last_day(as_of))
+    with partition_values_from_listing(snapshots.sparkSession):
+        pairs = latest.limit(max_pairs + 1).collect()
+        if len(pairs) <= max_pairs:
+            return snapshots.where(_any_pair(pairs, key))
+        latest = stage(latest, "latest")
+    latest = latest.where(F.col(DATE) <= _last_day(as_of))
     # A broadcast side with a comparison is what lets Catalyst prune partitions at run
     # time, hence the filter on the staged pairs as well.
     latest = broadcast_if_small(latest, max_bytes)

@@ -105,6 +105,14 @@ def test_index_and_keys_read_no_column(spark, lake, plan):
     assert "ReadSchema: struct<>" in plan(keys)
 
 
+def test_partition_values_come_from_the_listing(spark, lake, plan):
+    latest = snapshots.latest_dates(read(spark, lake), "release_year")
+    with session.partition_values_from_listing(spark):
+        assert "FileScan" not in plan(latest)
+        assert values(latest) == [(2022, D3), (2023, D2), (2024, D1)]
+    assert spark.conf.get("spark.sql.optimizer.metadataOnly") == "false"
+
+
 def test_keys_that_are_no_numbers_are_skipped(spark, tmp_path):
     base = str(tmp_path / "odd")
     frame = spark.createDataFrame(
