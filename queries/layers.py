@@ -12,14 +12,15 @@ from queries.pages import (
     MARKETS_SQL,
     METADATA_SQL,
     customer_groups,
+    order_listings,
     parse,
     part_releases,
 )
 from queries.registry import BASE_URL, markup, query, table
 from snapledger.operators import checks
 from snapledger.operators import pages as page_ops
+from snapledger.plans import daily, layers
 from snapledger.plans import datasets as ds
-from snapledger.plans import layers
 from snapledger.session import scratch_path, stage
 from snapledger.sinks.parquet import publish, published_path, write_snapshot
 from snapledger.sources import snapshots
@@ -300,3 +301,45 @@ def batch_report(spark, sf_dir):
 )
 def batch_totals(spark, sf_dir):
     return checks.batch_totals(batch_report(spark, sf_dir))
+
+
+def site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as year listings, customers as groups and parts as releases, one page each."""
+    listings = order_listings(spark, sf_dir).select(
+        markup(f"{BASE_URL}{ds.YEAR_PATH}", F.col("release_year"), "/?page=", F.col("o_orderkey")).alias("url"),
+        "html",
+    )
+    groups = customer_groups(spark, sf_dir).select("url", "html")
+    releases = part_releases(spark, sf_dir).select("url", "html")
+    pages = listings.unionByName(groups).unionByName(releases)
+    return pages.select(
+        F.col("url").alias("page_key"), "url", "html", F.lit(DAY).cast("date").alias("fetched_date")
+    )
+
+
+@query(
+    f"""
+    WITH films AS (
+        SELECT *, CAST(floor(o_totalprice) AS BIGINT) AS x, CAST(year(o_orderdate) AS INTEGER) AS y
+        FROM orders
+    )
+    SELECT 'Film ' || o_orderkey AS title, coalesce(try_cast(x AS INTEGER), 0) AS revenue,
+           CAST(0 AS INTEGER) AS domestic_rev, CAST(0 AS INTEGER) AS foreign_rev,
+           DATE '{DAY}' AS loaded_date, y AS release_year,
+           TIMESTAMP '2024-05-01 07:00:00' AS published_timestamp_utc
+    FROM films
+    UNION ALL
+    SELECT 'A & B', coalesce(try_cast(x * 20000 AS INTEGER), 0), coalesce(try_cast(x AS INTEGER), 0), 0,
+           DATE '{DAY}', y, TIMESTAMP '2024-05-01 07:00:00'
+    FROM films
+    """
+)
+def daily_run(spark, sf_dir):
+    """All five datasets parsed, landed, cleaned and published from one table of pages."""
+    root = scratch_path(spark, "daily")
+    span = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"))
+    years = [row["y"] for row in span.where("y BETWEEN 1977 AND 2024").distinct().collect()]
+    daily.run_daily(
+        site(spark, sf_dir), root, RUN_TS.date(), BASE_URL, years=years, run_ts=RUN_TS
+    )
+    return spark.read.schema(layers.PUBLISHED_SCHEMA).parquet(published_path(root, "daily_ranks", 1))

@@ -133,9 +133,9 @@ def page_links(spark, sf_dir):
 
 @query(
     """
-    SELECT page_id, replace(replace(replace(replace(replace(trim(
+    SELECT page_id, regexp_replace(replace(replace(replace(replace(trim(
                regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)),
-               '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') AS heading
+               '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;?', '&', 'g') AS heading
     FROM pages
     """
 )
