@@ -129,9 +129,10 @@ class Element:
         return [bare for bare in map(str.strip, self.pieces) if bare] if self.pieces else []
 
 
-def read_elements(markup, text_tags=TEXT_TAGS):
-    """Kept elements in document order; those of ``text_tags`` with their pieces of text."""
+def read_elements(markup, wanted=KEPT):
+    """Kept elements in document order; attributes and text only of the ``wanted`` ones."""
     elements, stack, reading, seen = [], [], [], {}
+    text_tags = TEXT_TAGS & wanted
 
     def close(upto):
         last = len(elements) - 1
@@ -192,8 +193,9 @@ def read_elements(markup, text_tags=TEXT_TAGS):
                 close(at)
             if tag in CELLS and innermost(ROW, ONLY_TABLE) is None:
                 start("tr", NOTHING)
-        element = start(tag, attributes(source) if "=" in source else NOTHING)
-        if tag == "a":
+        given = attributes(source) if tag in wanted and "=" in source else NOTHING
+        element = start(tag, given)
+        if tag == "a" and tag in wanted:
             href = element.given.get("href")
             element.nth = seen.get(href, 0)
             seen[href] = element.nth + 1
@@ -323,7 +325,7 @@ def read_page(markup, tags, tables):
     if not markup or markup.isspace():
         return {"error": "empty page"}
     try:
-        elements = read_elements(markup, TEXT_TAGS & (tags | CELLS if tables else tags))
+        elements = read_elements(markup, tags | CELLS if tables else tags)
         return {
             "elements": element_rows(elements, tags),
             "tables": list(read_tables(elements)) if tables else [],

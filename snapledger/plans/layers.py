@@ -62,14 +62,18 @@ def raw_revenue(spark: SparkSession, base: str) -> DataFrame:
 
 
 def cleaned_revenue(raw: DataFrame, to: str = "int") -> DataFrame:
-    """Amounts as numbers; ``to='bigint'`` keeps those beyond 32 bits."""
+    """Amounts as numbers; ``to='bigint'`` keeps those beyond 32 bits.
+
+    Date and year are the partition columns, which equal the values in the file path,
+    so that a filter on either prunes partitions through every layer above.
+    """
     return raw.select(
         F.col("Release Group").alias("title"),
         text.money_to_int(F.col("Worldwide"), to).alias("revenue"),
         text.money_to_int(F.col("Domestic"), to).alias("domestic_rev"),
         text.money_to_int(F.col("Foreign"), to).alias("foreign_rev"),
-        F.col("scraped_date_from_path").cast("date").alias("loaded_date"),
-        F.col("release_year_from_path").cast("int").alias("release_year"),
+        F.col(snapshots.DATE).alias("loaded_date"),
+        "release_year",
     )
 
 
@@ -104,11 +108,12 @@ def cleaned_markets(raw: DataFrame, to: str = "int") -> DataFrame:
 
 def published_revenue(cleaned: DataFrame, run_ts: datetime.datetime | None = None) -> DataFrame:
     """Cleaned revenue, all snapshots, stamped with the UTC time of the run."""
-    stamp = (
-        F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
-        if run_ts is None
-        else F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
-    )
+    if run_ts is None:
+        stamp = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+    else:
+        if run_ts.tzinfo is not None:
+            run_ts = run_ts.astimezone(datetime.timezone.utc).replace(tzinfo=None)
+        stamp = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     return cleaned.select(
         "title",
         "revenue",

@@ -84,7 +84,9 @@ def snapshot_keys(snapshots: DataFrame, key: str) -> DataFrame:
 
 def latest_dates(snapshots: DataFrame, key: str, as_of=None) -> DataFrame:
     """Latest snapshot date per key, not after ``as_of``."""
-    dated = snapshots.select(key, DATE).where(F.col(DATE) <= _last_day(as_of))
+    dated = snapshots.select(key, DATE).where(
+        F.col(key).isNotNull() & (F.col(DATE) <= _last_day(as_of))
+    )
     return dated.groupBy(key).agg(F.max(DATE).alias(DATE))
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapledger.session import stage
+
 # Object-store schemes of Hadoop paths and their Arrow names.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
@@ -60,7 +62,7 @@ def read_union_by_name(spark: SparkSession, base: str) -> DataFrame:
     to be told apart, and then their names (not data) reach the driver, which holds
     the file listing of the scan anyway.
     """
-    columns = footer_columns(spark, base)
+    columns = stage(footer_columns(spark, base), "footers")
     kinds = columns.groupBy("name").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
     clashing = [row["name"] for row in kinds.where(F.size("kinds") > 1).collect()]
     if not clashing:

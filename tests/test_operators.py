@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.operators import checks, coverage
-from snapledger.plans import layers
+from snapledger.plans import datasets, layers
+from snapledger.sinks.parquet import write_snapshot
 
 AS_OF = datetime.date(2026, 3, 1)
 
@@ -117,9 +118,61 @@ def test_published_time_is_utc_in_any_zone(spark):
 
 def test_wide_amounts(spark):
     raw = spark.createDataFrame(
-        [("t", "$2,923,706,026", "-", None, datetime.datetime(2024, 5, 1), "2024")],
+        [("t", "$2,923,706,026", "-", None, datetime.date(2024, 5, 1), 2024)],
         "`Release Group` string, Worldwide string, Domestic string, Foreign string, "
-        "scraped_date_from_path timestamp_ntz, release_year_from_path string",
+        "scraped_date date, release_year int",
     )
     assert tuple(layers.cleaned_revenue(raw).first())[1:4] == (0, 0, 0)
     assert tuple(layers.cleaned_revenue(raw, to="bigint").first())[1:4] == (2923706026, 0, 0)
+
+
+def test_filters_on_published_columns_prune_partitions(spark, tmp_path, plan):
+    base = str(tmp_path / "raw")
+    raw = spark.createDataFrame(
+        [("t", "$1", "-", "-", datetime.date(2024, 5, 1), 2024)],
+        "`Release Group` string, Worldwide string, Domestic string, Foreign string, "
+        "scraped_date date, release_year int",
+    )
+    write_snapshot(raw, base, "release_year")
+    published = layers.published_revenue(layers.cleaned_revenue(layers.raw_revenue(spark, base)))
+    text = plan(published.where("loaded_date = DATE '2024-05-01' AND release_year = 2024"))
+    filters = text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "scraped_date" in filters and "release_year" in filters
+    assert "Release Group" in text and "_from_path" not in text
+
+
+def test_a_heavily_listed_group_is_split(spark):
+    """A third of all listings name one group: its join partition is split over tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        listed = spark.range(0, 300_000, 1, 8).select(
+            F.concat(F.lit("g"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias(
+                "release_group_url"
+            ),
+            F.md5(F.col("id").cast("string")).alias("movie_title"),
+            F.lit(2024).alias("release_year"),
+            F.lit(datetime.date(2024, 5, 1)).alias("scraped_date"),
+        )
+        domestic = spark.range(0, 300_000, 1, 8).select(
+            F.concat(F.lit("g"), "id").alias("release_group_url"),
+            F.concat(F.lit("r"), "id").alias("domestic_release_url"),
+        )
+        rows = datasets.lookup_rows(listed, domestic)
+        found = rows.groupBy().agg(F.count("domestic_release_url").alias("n"))
+        counted = found.collect()[0]["n"]
+        executed = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert counted == 300_000
+    assert "skew=true" in executed
