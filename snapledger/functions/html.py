@@ -13,6 +13,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -55,35 +56,52 @@ TEXT_TAGS = frozenset(["a", "h1", "span", "td", "th"])
 KEPT = CONTAINERS | TEXT_TAGS
 CELLS = frozenset(["td", "th"])
 SECTIONS = frozenset(["thead", "tbody", "tfoot"])
+ROW = frozenset(["tr"])
+HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+
+# Elements without content, which are never open.
+VOID = frozenset(
+    ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param"]
+    + ["source", "track", "wbr"]
+)
+
+# Block elements, whose start ends an open paragraph.
+BLOCKS = HEADINGS | frozenset(
+    ["address", "article", "aside", "blockquote", "center", "div", "dl", "fieldset", "footer"]
+    + ["form", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"]
+)
+
+# An end tag closes nothing of a higher rank on its way; 100 if not here.
+END_RANK = {
+    "div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180,
+    "table": 190, "head": 200, "body": 200, "html": 220,
+}
 
 # Limits of the HTML standard for cell spans.
 MAX_COLSPAN = 1000
 MAX_ROWSPAN = 65534
 
-# A page whose spans repeat cells more often than this is reported as failed.
+# Pages that nest deeper, or repeat text in spanning cells or nested elements more often,
+# are reported as failed. They are broken or made to exhaust memory.
+MAX_DEPTH = 2_000
 MAX_COPIES = 10_000_000
 
 # Characters of markup whose elements are held as Python objects at a time.
 CHUNK = 4_000_000
 
-# An end tag closes nothing outside the cell or table it stands in; those of the
-# parts of a table reach through open cells.
-BARRIERS = CELLS | {"table"}
-TABLE_PARTS = CELLS | SECTIONS | {"tr", "table"}
+# What a start tag closes when it is open, looked for no further than the second set.
 ONLY_TABLE = frozenset(["table"])
-ROW = frozenset(["tr"])
-NOTHING: dict = {}
-
-# Open tags that a start tag closes, looked for up to the nearest barrier.
+CELL_OR_TABLE = CELLS | ONLY_TABLE
 IMPLIED_END = {
-    "a": (frozenset(["a"]), BARRIERS),
-    "td": (CELLS, ONLY_TABLE),
-    "th": (CELLS, ONLY_TABLE),
+    **dict.fromkeys(BLOCKS, (frozenset(["p"]), CELL_OR_TABLE)),
+    **dict.fromkeys(CELLS, (CELLS, ONLY_TABLE)),
+    **dict.fromkeys(SECTIONS, (SECTIONS, ONLY_TABLE)),
+    **dict.fromkeys(["dt", "dd"], (frozenset(["dt", "dd"]), CELL_OR_TABLE | {"dl"})),
+    "a": (frozenset(["a"]), CELL_OR_TABLE),
+    "li": (frozenset(["li"]), CELL_OR_TABLE | {"ol", "ul"}),
     "tr": (ROW, ONLY_TABLE),
-    "thead": (SECTIONS, ONLY_TABLE),
-    "tbody": (SECTIONS, ONLY_TABLE),
-    "tfoot": (SECTIONS, ONLY_TABLE),
 }
+NOTHING: dict = {}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -113,108 +131,124 @@ def span(value, most):
 
 
 class Element:
-    """One kept element while its page is read."""
+    """One kept element while its page is read; its text is ``pieces[first:end]``."""
 
-    __slots__ = ("ix", "last", "tag", "given", "nth", "pieces")
+    __slots__ = ("ix", "last", "tag", "given", "nth", "first", "end")
 
-    def __init__(self, ix, tag, given, pieces):
+    def __init__(self, ix, tag, given, first):
         self.ix = self.last = ix
         self.tag = tag
         self.given = given
         self.nth = None
-        self.pieces = pieces
-
-    def strings(self):
-        """Stripped pieces of text, without blank ones."""
-        return [bare for bare in map(str.strip, self.pieces) if bare] if self.pieces else []
+        self.first = self.end = first
 
 
 def read_elements(markup, wanted=KEPT):
-    """Kept elements in document order; attributes and text only of the ``wanted`` ones."""
-    elements, stack, reading, seen = [], [], [], {}
-    text_tags = TEXT_TAGS & wanted
+    """Kept elements and pieces of text, both in document order.
+
+    Attributes and text are read for the ``wanted`` elements only.
+    """
+    elements, pieces, seen = [], [], {}
+    names, nodes, opened = [], [], defaultdict(int)
+    text_tags, reading = TEXT_TAGS & wanted, 0
 
     def close(upto):
-        last = len(elements) - 1
-        while len(stack) > upto:
-            element = stack.pop()
-            element.last = last
-            if element.pieces is not None:
-                reading.pop()
-
-    def innermost(tags, barriers):
-        at = len(stack)
-        while at:
-            at -= 1
-            tag = stack[at].tag
-            if tag in tags:
-                return at
-            if tag in barriers:
+        nonlocal reading
+        last, end = len(elements) - 1, len(pieces)
+        while len(names) > upto:
+            name, node = names.pop(), nodes.pop()
+            opened[name] -= 1
+            if node is not None:
+                node.last, node.end = last, end
+                reading -= name in text_tags
+
+    def close_implied(tags, within):
+        for at in range(len(names) - 1, -1, -1):
+            if names[at] in tags:
+                return close(at)
+            if names[at] in within:
                 return None
-        return None
-
-    def start(tag, given):
-        element = Element(len(elements), tag, given, [] if tag in text_tags else None)
-        elements.append(element)
-        stack.append(element)
-        if element.pieces is not None:
-            reading.append(element.pieces)
-        return element
-
-    def add_text(piece):
-        if "&" in piece:
-            piece = entities.unescape(piece)
-        for pieces in reading:
-            pieces.append(piece)
+
+    def start(tag, source):
+        nonlocal reading
+        if len(names) >= MAX_DEPTH:
+            raise ValueError("nested too deeply")
+        node = None
+        if tag in KEPT:
+            given = attributes(source) if tag in wanted and "=" in source else NOTHING
+            node = Element(len(elements), tag, given, len(pieces))
+            elements.append(node)
+            reading += tag in text_tags
+            if tag == "a" and tag in wanted:
+                href = given.get("href")
+                node.nth = seen.get(href, 0)
+                seen[href] = node.nth + 1
+        names.append(tag)
+        nodes.append(node)
+        opened[tag] += 1
 
     # Text and the groups of the token after it, in turn; the last text has no token.
     parts = TOKEN.split(markup)
-    for piece, closing, tag, source in zip(parts[::5], parts[2::5], parts[3::5], parts[4::5]):
+    for piece, ending, tag, source in zip(parts[::5], parts[2::5], parts[3::5], parts[4::5]):
         if piece and reading:
-            add_text(piece)
+            pieces.append(entities.unescape(piece) if "&" in piece else piece)
         if tag is None:
             continue
-        if tag not in KEPT:
-            tag = tag.lower()
-            if tag not in KEPT:
+        tag = tag.lower()
+        if ending:
+            if not opened[tag]:
                 continue
-        top = stack[-1].tag if stack else None
-        if closing:
-            if tag == top:
-                at = len(stack) - 1
-            else:
-                at = innermost((tag,), ONLY_TABLE if tag in TABLE_PARTS else BARRIERS)
-            if at is not None:
-                close(at)
+            rank = END_RANK.get(tag, 100)
+            for at in range(len(names) - 1, -1, -1):
+                if names[at] == tag:
+                    close(at)
+                    break
+                if END_RANK.get(names[at], 100) > rank:
+                    break
             continue
-        if tag in IMPLIED_END and not (top == "tr" and tag in CELLS):
-            at = innermost(*IMPLIED_END[tag])
-            if at is not None:
-                close(at)
-            if tag in CELLS and innermost(ROW, ONLY_TABLE) is None:
-                start("tr", NOTHING)
-        given = attributes(source) if tag in wanted and "=" in source else NOTHING
-        element = start(tag, given)
-        if tag == "a" and tag in wanted:
-            href = element.given.get("href")
-            element.nth = seen.get(href, 0)
-            seen[href] = element.nth + 1
+        if tag in IMPLIED_END:
+            tags, within = IMPLIED_END[tag]
+            if any(map(opened.get, tags)):
+                close_implied(tags, within)
+            if tag in HEADINGS and names and names[-1] in HEADINGS:
+                close(len(names) - 1)
+            if tag in CELLS and names and names[-1] != "tr":
+                if not opened["table"] or not row_is_open(names):
+                    start("tr", "")
+        if tag not in VOID:
+            start(tag, source)
     if reading:
-        add_text(parts[-1])
+        pieces.append(entities.unescape(parts[-1]))
     close(0)
-    return elements
+    return elements, pieces
+
+
+def row_is_open(names):
+    """There is a row around the innermost open element within its table."""
+    for name in reversed(names):
+        if name == "tr":
+            return True
+        if name == "table":
+            return False
+    return False
 
 
-def element_rows(elements, tags):
+def element_rows(elements, pieces, tags):
     """Elements of ``tags`` as UDF output, numbered anew with the same nesting."""
     upto, kept = [], []
     for element in elements:
         if element.tag in tags:
             kept.append(element)
         upto.append(len(kept))
-    rows = []
+    bare = [piece.strip() for piece in pieces]
+    rows, copies = [], 0
     for ix, element in enumerate(kept):
-        given = element.given
+        given, strings = element.given, []
+        if element.tag in TEXT_TAGS:
+            strings = [piece for piece in bare[element.first : element.end] if piece]
+            copies += len(strings)
+            if copies > MAX_COPIES + len(bare):
+                raise ValueError("text repeats too often")
         rows.append(
             {
                 "ix": ix,
@@ -224,13 +258,13 @@ def element_rows(elements, tags):
                 "cls": " ".join(given["class"].split()) if "class" in given else None,
                 "colspan": given.get("colspan"),
                 "nth": element.nth,
-                "strings": element.strings(),
+                "strings": strings,
             }
         )
     return rows
 
 
-def read_tables(elements):
+def read_tables(elements, pieces):
     """Tables with any text, as header and body rows of cell text, spans filled in."""
     tables, enclosing = [], []
     for element in elements:
@@ -251,7 +285,8 @@ def read_tables(elements):
             elif element.tag in SECTIONS:
                 table["section"] = element
     for table in tables:
-        if not any(piece.strip() for _, row in table["rows"] for c in row for piece in c.pieces):
+        cells = (cell for _, row in table["rows"] for cell in row)
+        if not any(piece.strip() for cell in cells for piece in pieces[cell.first : cell.end]):
             continue
         parts = {"thead": [], "tbody": [], "tfoot": []}
         for part, row in table["rows"]:
@@ -260,7 +295,7 @@ def read_tables(elements):
             plain = (i for i, row in enumerate(parts["tbody"]) if any(c.tag == "td" for c in row))
             first = next(plain, len(parts["tbody"]))
             parts["thead"], parts["tbody"] = parts["tbody"][:first], parts["tbody"][first:]
-        head, body, foot = (fill_spans(parts[part]) for part in ("thead", "tbody", "tfoot"))
+        head, body, foot = (fill_spans(parts[part], pieces) for part in ("thead", "tbody", "tfoot"))
         width = max(len(row) for row in head + body + foot)
         for row in head + body + foot:
             row.extend([""] * (width - len(row)))
@@ -283,15 +318,15 @@ def column_names(head, width):
     return names
 
 
-def cell_text(cell):
+def cell_text(cell, pieces):
     """All text of a cell, breaks and runs of white space as one blank."""
-    return BREAKS.sub(" ", "".join(cell.pieces).strip())
+    return BREAKS.sub(" ", "".join(pieces[cell.first : cell.end]).strip())
 
 
-def fill_spans(rows):
+def fill_spans(rows, pieces):
     """Cell text per grid position: a spanning cell repeats over all it covers."""
     if not any("rowspan" in c.given or "colspan" in c.given for cells in rows for c in cells):
-        return [[cell_text(cell) for cell in cells] for cells in rows]
+        return [[cell_text(cell, pieces) for cell in cells] for cells in rows]
     filled, hanging, copies = [], {}, 0
     coming = iter(rows)
     while True:
@@ -308,7 +343,7 @@ def fill_spans(rows):
         for cell in cells or ():
             while len(row) in hanging:
                 put(*hanging.pop(len(row)))
-            value, depth = cell_text(cell), span(cell.given.get("rowspan"), MAX_ROWSPAN)
+            value, depth = cell_text(cell, pieces), span(cell.given.get("rowspan"), MAX_ROWSPAN)
             for _ in range(span(cell.given.get("colspan"), MAX_COLSPAN)):
                 put(value, depth)
         for column in sorted(hanging):
@@ -325,10 +360,10 @@ def read_page(markup, tags, tables):
     if not markup or markup.isspace():
         return {"error": "empty page"}
     try:
-        elements = read_elements(markup, tags | CELLS if tables else tags)
+        elements, pieces = read_elements(markup, tags | CELLS if tables else tags)
         return {
-            "elements": element_rows(elements, tags),
-            "tables": list(read_tables(elements)) if tables else [],
+            "elements": element_rows(elements, pieces, tags),
+            "tables": list(read_tables(elements, pieces)) if tables else [],
         }
     except Exception as problem:
         return {"error": f"{type(problem).__name__}: {problem}"}
@@ -347,8 +382,10 @@ def page_reader(tags, tables):
         # Python objects take far more memory than Arrow arrays, so a batch is
         # converted in pieces of about CHUNK characters.
         done, pages, size = [], [], 0
-        for page in markup:
+        for page in markup.cast(pa.binary()):
             text = page.as_py()
+            # Bytes that are no UTF-8 must not fail the other pages of the batch.
+            text = None if text is None else text.decode("utf-8", "replace")
             pages.append(read_page(text, tags, tables))
             size += len(text or "")
             if size >= CHUNK:

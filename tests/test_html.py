@@ -43,6 +43,26 @@ def test_unclosed_anchor_ends_at_the_next():
     assert [e["strings"] for e in elements("<a href=/x>one<a href=/y>two", "a")] == [["one"], ["two"]]
 
 
+def test_end_of_a_block_ends_what_it_left_open():
+    spans = elements("<ul><li><span>a<li><span>b</ul><p><span>c<p>d<div><span>e</div>f", "span")
+    assert [e["strings"] for e in spans] == [["a"], ["b"], ["c"], ["e"]]
+
+
+def test_stray_end_tags_close_nothing_outer():
+    (span,) = elements("<span>a<div>b</span>c</div>d</span>e", "span")
+    assert span["strings"] == ["a", "b", "c", "d"]
+    assert elements("<h1>a</td></table></div> b</h1>", "h1")[0]["strings"] == ["a", "b"]
+
+
+def test_heading_ends_at_the_next_heading():
+    assert elements("<h1>a<h2>b</h2>", "h1")[0]["strings"] == ["a"]
+
+
+def test_void_elements_are_never_open():
+    (anchor,) = elements("<a href=/x>a<br>b<img src=y>c</a>d", "a")
+    assert anchor["strings"] == ["a", "b", "c"]
+
+
 def test_nested_elements_keep_their_own_text():
     spans = elements("<span>a<span></span>b<span>c</span>d</span>", "span")
     assert [e["strings"] for e in spans] == [["a", "b", "c", "d"], [], ["c"]]
@@ -94,6 +114,11 @@ def test_span_bomb_is_an_error_of_its_page():
     assert read(bomb)["error"].startswith("ValueError")
 
 
+def test_too_deep_and_too_much_repetition_are_errors_of_their_page():
+    assert read("<span>" * 5000)["error"] == "ValueError: nested too deeply"
+    assert read("<span>" * 1500 + "x<b>" * 1 + "<i>x</i>" * 9000)["error"] == "ValueError: text repeats too often"
+
+
 def test_empty_pages_are_errors():
     assert [read(m)["error"] for m in (None, "", " \n")] == ["empty page"] * 3
 

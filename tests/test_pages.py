@@ -142,6 +142,13 @@ def test_grouped_rows_by_width(spark):
     ]
 
 
+def test_bytes_that_are_no_text_do_not_fail_the_batch(spark):
+    pages = spark.createDataFrame([(1, b"<h1>a\xffb</h1>"), (2, b"<h1>c</h1>")], "k int, html binary")
+    for markup in (pages, pages.withColumn("html", F.col("html").cast("string"))):
+        titles = page_ops.parse(markup).select("k", page_ops.heading()).collect()
+        assert {tuple(row) for row in titles} == {(1, "a\ufffdb"), (2, "c")}
+
+
 def test_failures_do_not_lose_other_pages(parsed):
     failures = page_ops.parse_failures(parsed, "d", F.col("page_key")).collect()
     assert [tuple(r) for r in failures] == [("d", "/releasegroup/gr4/", "empty page")]
