@@ -23,7 +23,6 @@ from snapledger.plans import daily, layers
 from snapledger.plans import datasets as ds
 from snapledger.session import scratch_path, stage
 from snapledger.sinks.parquet import publish, published_path, write_snapshot
-from snapledger.sources import snapshots
 
 DAY = "2024-05-01"
 RUN_TS = datetime.datetime(2024, 5, 1, 7, 0, 0)
@@ -124,7 +123,7 @@ def lookup_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     base = scratch_path(spark, "lookup")
     write_snapshot(rows, base, "release_year")
-    return snapshots.read_snapshots(spark, base, "release_year", columns=layers.LOOKUP_COLUMNS)
+    return layers.raw_lookup(spark, base)
 
 
 LATEST_SQL = """
@@ -215,9 +214,7 @@ def cleaned_metadata(spark, sf_dir):
     base = scratch_path(spark, "metadata")
     parsed = parse(pages, ds.RELEASE_TAGS)
     write_snapshot(ds.metadata_rows(parsed), base, "release_year")
-    columns = layers.METADATA_REQUIRED + layers.METADATA_OPTIONAL
-    raw = snapshots.read_snapshots(spark, base, "release_year", columns=columns)
-    return layers.cleaned_metadata(raw)
+    return layers.cleaned_metadata(layers.raw_metadata(spark, base))
 
 
 @query(
@@ -239,9 +236,7 @@ def cleaned_markets(spark, sf_dir):
     )
     base = scratch_path(spark, "markets")
     write_snapshot(ds.market_rows(parse(pages, ds.GROUP_TAGS)), base, "release_year")
-    columns = layers.MARKET_COLUMNS + ["release_group_id"]
-    raw = snapshots.read_snapshots(spark, base, "release_year", columns=columns)
-    return layers.cleaned_markets(raw)
+    return layers.cleaned_markets(layers.raw_markets(spark, base))
 
 
 @query(

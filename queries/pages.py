@@ -167,9 +167,9 @@ CELL_SQL = (
 @query(
     f"""
     SELECT doc_id, CAST(0 AS INTEGER) AS table_ix, CAST(0 AS INTEGER) AS row_ix,
-           ['Source', 'Language', 'Text'] AS cells
+           'Source | Language | Text' AS cells
     FROM documents
-    UNION ALL SELECT doc_id, 0, 1, [source, lang, {CELL_SQL}] FROM documents
+    UNION ALL SELECT doc_id, 0, 1, source || ' | ' || lang || ' | ' || {CELL_SQL} FROM documents
     """
 )
 def page_tables(spark, sf_dir):
@@ -178,7 +178,8 @@ def page_tables(spark, sf_dir):
         row("Source", "Language", "Text", tag="th"), row(F.col("source"), F.col("lang"), words)
     )
     docs = table(spark, sf_dir, "documents").select("doc_id", page.alias("html"))
-    return page_ops.table_rows(parse(docs, (), tables=True))
+    rows = page_ops.table_rows(parse(docs, (), tables=True))
+    return rows.withColumn("cells", F.array_join("cells", " | "))
 
 
 LISTING_SQL = "'$' || format('{:,}', CAST(floor(o_totalprice) AS BIGINT))"
@@ -340,13 +341,14 @@ def parse_failures(spark, sf_dir):
 @query(
     f"""
     SELECT dataset, CAST(count(*) AS BIGINT) AS failed,
-           list(CAST(page_id AS VARCHAR) ORDER BY page_id)[1:10] AS first_items
+           array_to_string(list(CAST(page_id AS VARCHAR) ORDER BY page_id)[1:10], ',') AS first_items
     FROM ({FAILED_SQL}) GROUP BY dataset
     """
 )
 def failure_summary(spark, sf_dir):
     failures = stage(failed_pages(spark, sf_dir), "failures")
-    return checks.failure_summary(failures, F.col("item").cast("bigint"))
+    summary = checks.failure_summary(failures, F.col("item").cast("bigint"))
+    return summary.withColumn("first_items", F.array_join("first_items", ","))
 
 
 @query(

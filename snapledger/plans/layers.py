@@ -61,6 +61,36 @@ def raw_revenue(spark: SparkSession, base: str) -> DataFrame:
     return snapshots.with_path_values(snapshots.with_source_file(rows), "release_year")
 
 
+def raw_lookup(spark: SparkSession, base: str) -> DataFrame:
+    """Groups with their domestic releases, by year."""
+    return snapshots.read_snapshots(spark, base, "release_year", columns=LOOKUP_COLUMNS)
+
+
+def raw_daily_rows(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
+    """Daily rows per release; their columns are those of the pages, so schemas merge.
+
+    The datasets driven by ids are read by ``release_year`` or, when they were landed
+    per entity, by that id as ``key``.
+    """
+    return snapshots.read_snapshots(spark, base, key, _key_type(key))
+
+
+def raw_metadata(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
+    """Metadata per release."""
+    columns = METADATA_REQUIRED + METADATA_OPTIONAL
+    return snapshots.read_snapshots(spark, base, key, _key_type(key), columns)
+
+
+def raw_markets(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
+    """Regional rows per group."""
+    columns = [*MARKET_COLUMNS, "release_group_id"]
+    return snapshots.read_snapshots(spark, base, key, _key_type(key), columns)
+
+
+def _key_type(key: str) -> str:
+    return "int" if key == "release_year" else "string"
+
+
 def cleaned_revenue(raw: DataFrame, to: str = "int") -> DataFrame:
     """Amounts as numbers; ``to='bigint'`` keeps those beyond 32 bits.
 

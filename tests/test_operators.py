@@ -1,5 +1,6 @@
 import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,6 +8,7 @@ from pyspark.sql import types as T
 from snapledger.operators import checks, coverage
 from snapledger.plans import datasets, layers
 from snapledger.sinks.parquet import write_snapshot
+from snapledger.sources.union_by_name import read_union_by_name
 
 AS_OF = datetime.date(2026, 3, 1)
 
@@ -141,6 +143,25 @@ def test_filters_on_published_columns_prune_partitions(spark, tmp_path, plan):
     assert "Release Group" in text and "_from_path" not in text
 
 
+def test_layers_over_a_lake_of_differing_files(spark, tmp_path):
+    """One file per entity and day, written by something that infers a schema per file."""
+    for release, frame in {
+        "rl1": pd.DataFrame({"release_id": ["rl1"], "movie_title": ["A"], "opening_amount": ["5"]}),
+        "rl2": pd.DataFrame({"release_id": ["rl2"], "movie_title": ["B"], "opening_amount": [None]}),
+        "rl3": pd.DataFrame({"release_id": ["rl3"], "widest_release": [7]}),
+    }.items():
+        folder = tmp_path / f"release_id={release}" / "scraped_date=2024-05-01"
+        folder.mkdir(parents=True)
+        frame.to_parquet(folder / "data.parquet", index=False)
+    rows = layers.cleaned_metadata(read_union_by_name(spark, str(tmp_path)))
+    found = rows.select("release_id", "movie_title", "opening_amount", "widest_release", "genres")
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("rl1", "A", 5, None, None),
+        ("rl2", "B", None, None, None),
+        ("rl3", None, None, 7, None),
+    ]
+
+
 def test_a_heavily_listed_group_is_split(spark):
     """A third of all listings name one group: its join partition is split over tasks."""
     small = {
