@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from snapledger.functions import text
 from snapledger.operators import checks
+from snapledger.sinks.parquet import refresh_table
 from snapledger.sources import snapshots
 
 # The columns of the raw datasets.
@@ -55,36 +56,52 @@ PUBLISHED_SCHEMA = T.StructType(
 )
 
 
+_with_file = snapshots.with_source_file
+
+
 def raw_revenue(spark: SparkSession, base: str) -> DataFrame:
-    """Revenue snapshots with year and date taken from the file path."""
-    rows = snapshots.read_snapshots(spark, base, "release_year", columns=REVENUE_COLUMNS)
-    return snapshots.with_path_values(snapshots.with_source_file(rows), "release_year")
+    """Revenue snapshots with year and date taken from the file path.
+
+    They feed the published table, so a dataset that is not there is an error here: it
+    must not replace what is published by nothing.
+    """
+    rows = snapshots.read_snapshots(
+        spark, base, "release_year", columns=REVENUE_COLUMNS, missing_ok=False
+    )
+    return snapshots.with_path_values(_with_file(rows), "release_year")
 
 
 def raw_lookup(spark: SparkSession, base: str) -> DataFrame:
     """Groups with their domestic releases, by year."""
-    return snapshots.read_snapshots(spark, base, "release_year", columns=LOOKUP_COLUMNS)
+    return _with_file(snapshots.read_snapshots(spark, base, "release_year", columns=LOOKUP_COLUMNS))
+
 
+def raw_daily_rows(
+    spark: SparkSession,
+    base: str,
+    key: str = "release_year",
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """Daily rows per release, all columns the pages had or the named ones.
 
-def raw_daily_rows(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
-    """Daily rows per release; their columns are those of the pages, so schemas merge.
+    Naming them saves the reading of every file's footer.
 
     The datasets driven by ids are read by ``release_year`` or, when they were landed
     per entity, by that id as ``key``.
     """
-    return snapshots.read_snapshots(spark, base, key, _key_type(key))
+    return _with_file(snapshots.read_snapshots(spark, base, key, _key_type(key), columns))
 
 
 def raw_metadata(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
     """Metadata per release."""
     columns = METADATA_REQUIRED + METADATA_OPTIONAL
-    return snapshots.read_snapshots(spark, base, key, _key_type(key), columns)
+    return _with_file(snapshots.read_snapshots(spark, base, key, _key_type(key), columns))
 
 
 def raw_markets(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
     """Regional rows per group."""
     columns = [*MARKET_COLUMNS, "release_group_id"]
-    return snapshots.read_snapshots(spark, base, key, _key_type(key), columns)
+    return _with_file(snapshots.read_snapshots(spark, base, key, _key_type(key), columns))
 
 
 def _key_type(key: str) -> str:
@@ -153,3 +170,38 @@ def published_revenue(cleaned: DataFrame, run_ts: datetime.datetime | None = Non
         "release_year",
         stamp.alias("published_timestamp_utc"),
     )
+
+
+def models(spark: SparkSession, root: str, run_ts: datetime.datetime | None = None) -> dict:
+    """The nine models by ``layer.dataset``, each a function giving a lazy DataFrame."""
+    base = f"{root.rstrip('/')}/raw"
+    raw = {
+        "worldwide_box_office": lambda: raw_revenue(spark, f"{base}/worldwide_box_office"),
+        "release_id_lookup": lambda: raw_lookup(spark, f"{base}/release_id_lookup"),
+        "release_domestic": lambda: raw_daily_rows(spark, f"{base}/release_domestic"),
+        "release_metadata": lambda: raw_metadata(spark, f"{base}/release_metadata"),
+        "release_worldwide_snapshot": lambda: raw_markets(
+            spark, f"{base}/release_worldwide_snapshot"
+        ),
+    }
+    cleaned = {
+        "worldwide_box_office": cleaned_revenue,
+        "release_metadata": cleaned_metadata,
+        "release_worldwide_snapshot": cleaned_markets,
+    }
+    found = {f"raw.{name}": build for name, build in raw.items()}
+    for name, clean in cleaned.items():
+        found[f"cleaned.{name}"] = lambda name=name, clean=clean: clean(raw[name]())
+    revenue = found["cleaned.worldwide_box_office"]
+    found["published.worldwide_box_office"] = lambda: published_revenue(revenue(), run_ts)
+    return found
+
+
+def refresh_models(
+    spark: SparkSession, root: str, names: list[str], run_ts: datetime.datetime | None = None
+) -> None:
+    """Replace the named models' tables, for readers that want them materialised."""
+    known = models(spark, root, run_ts)
+    for name in names:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.split('.')[0]}`")
+        refresh_table(known[name](), name)

@@ -29,36 +29,38 @@ def read_snapshots(
     key: str,
     key_type: str = "int",
     columns: list[str] | str | None = None,
+    missing_ok: bool = True,
 ) -> DataFrame:
     """All snapshots of a dataset with their path values as columns.
 
-    With ``columns`` (names of string columns, or DDL) the schema is declared: no
-    footer is opened for it, a file without a column gives null, the key keeps its type
-    whatever the values look like, and a dataset that does not exist yet is empty.
-    Otherwise the files' schemas are merged.
+    With ``columns`` (names of string columns, or DDL) no footer is opened for the
+    schema and a file without a column gives null; otherwise the files' schemas are
+    merged. The key keeps its type whatever its values look like. A dataset that does
+    not exist yet is empty unless ``missing_ok`` is false.
     """
-    if columns is None:
-        merged = spark.read.option("mergeSchema", "true").parquet(base)
-        return merged.withColumns(
-            {key: F.col(key).cast(key_type), DATE: F.col(DATE).cast("date")}
-        )
-    if not isinstance(columns, str):
-        columns = ", ".join(f"`{c}` string" for c in columns)
-    schema = T.StructType.fromDDL(columns)
-    schema = T.StructType([f for f in schema if f.name not in (key, DATE)])
-    ddl_keys = T.StructType.fromDDL(f"`{key}` {key_type}, `{DATE}` date")
-    schema = T.StructType(schema.fields + ddl_keys.fields)
+    keys = T.StructType.fromDDL(f"`{key}` {key_type}, `{DATE}` date")
+    fields = []
     try:
-        return spark.read.schema(schema).parquet(base)
+        if columns is None:
+            fields = spark.read.option("mergeSchema", "true").parquet(base).schema.fields
+        else:
+            if not isinstance(columns, str):
+                columns = ", ".join(f"`{c}` string" for c in columns)
+            fields = T.StructType.fromDDL(columns).fields
+        fields = [f for f in fields if f.name not in keys.names] + keys.fields
+        return spark.read.schema(T.StructType(fields)).parquet(base)
     except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
+        if not missing_ok or problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType(fields or keys.fields))
 
 
 def with_source_file(snapshots: DataFrame) -> DataFrame:
-    """Add the path of the file each row comes from."""
-    return snapshots.withColumn("filename", F.col("_metadata.file_path"))
+    """Add the path of the file each row comes from; null where there are no files."""
+    try:
+        return snapshots.withColumn("filename", F.col("_metadata.file_path"))
+    except AnalysisException:
+        return snapshots.withColumn("filename", F.lit(None).cast("string"))
 
 
 def with_path_values(snapshots: DataFrame, key: str) -> DataFrame:

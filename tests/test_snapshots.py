@@ -40,6 +40,15 @@ def test_missing_column_is_null_and_missing_dataset_is_empty(spark, lake):
     assert read(spark, lake + "-none").count() == 0
 
 
+def test_ids_that_look_like_numbers_stay_text(spark, tmp_path):
+    base = str(tmp_path / "ids")
+    frame = spark.createDataFrame([("a", "007", D1)], "v string, release_id string, scraped_date date")
+    write_snapshot(frame, base, "release_id")
+    for columns in (None, ["v"]):
+        rows = snapshots.read_snapshots(spark, base, "release_id", "string", columns)
+        assert values(rows) == [("a", "007", D1)]
+
+
 def test_rewriting_one_snapshot_keeps_the_others(spark, lake):
     again = spark.createDataFrame([("z", 2024, D1)], "v string, release_year int, scraped_date date")
     assert write_snapshot(again, lake, "release_year") == 1
