@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
+import snapledger
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger.session import scratch_path
 
 MAX_ROUNDS = 200
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once per application.
+
+    The archive is made on the driver and served by Spark like any added file.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(snapledger.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / package.name
+        made = shutil.make_archive(str(archive), "zip", package.parent, package.name)
+        context.addPyFile(made)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import components, discard, staged
+from snapledger.llm.common import components, discard, ship, staged
 
 SEED = 20240501
 # Chance that one pair at the threshold meets in no table.
@@ -174,6 +174,7 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     Repeated rows count as others; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
+    ship(spark)
     vec = F.col("embedding").cast("array<float>")
     sound = (
         F.col("label").isNotNull()

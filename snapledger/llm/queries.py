@@ -34,3 +34,41 @@ def op10_rotated_codes(spark, sf_dir):
     from snapledger.llm.embeddings import embedding_links
 
     return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op4_best_fit_packing(spark, sf_dir):
+    from snapledger.llm.packing import cut, place
+
+    pieces = cut(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    # The digest stands in for the ids from here on.
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return place(digests).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query()
+def op8_token_counts(spark, sf_dir):
+    from snapledger.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query()
+def op9_token_blocks(spark, sf_dir):
+    from snapledger.llm.token_files import read_token_files, write_token_files
+    from snapledger.session import scratch_path
+
+    path = scratch_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    write_token_files(docs, path, tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import components, discard, hex64, staged
+from snapledger.llm.common import components, discard, hex64, ship, staged
 
 BITS = 64
 SEED = 42
@@ -44,6 +44,8 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``doc_id`` and ``fp`` (long) of every whole text; a null text is an empty one."""
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("long")
     def fingerprint(texts: pd.Series) -> pd.Series:
         return pd.Series([text_fingerprint(t, shingle) for t in texts], dtype="int64")
