@@ -72,3 +72,82 @@ def op9_token_blocks(spark, sf_dir):
     return read_token_files(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+OP1_ESCAPED = """
+    replace(replace(replace(coalesce({}, ''), '\\', '\\\\'), '</turn>', '<\\/turn>'), '### ', '#\\## ')
+"""
+
+
+@query(
+    f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+            SELECT conv_id, turn, role, text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'),
+                             (-7, 1, 'assistant', '\\### Assistant: </turn> ok'))
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+               AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+               FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(14 + length(replace({OP1_ESCAPED.format("role")}, ':' || chr(10), ':\\' || chr(10)))
+               + length({OP1_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars,
+           count(*) FILTER (role = 'assistant') AS n_examples
+    FROM turns GROUP BY conv_id
+    """
+)
+def op1_prefix_examples(spark, sf_dir):
+    from snapledger.llm.chat import loss_text, prefix_examples, read_turns
+
+    said = "\\### Assistant: </turn> ok"
+    trap = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.element_at(F.array(F.lit("user"), F.lit("assistant")), F.col("id").cast("int") + 1).alias(
+            "role"
+        ),
+        F.lit(said).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    examples = prefix_examples(turns.unionByName(trap))
+    replies = F.array_sort(
+        F.collect_list(
+            F.when(
+                F.col("example").isNotNull(),
+                F.struct(
+                    "example",
+                    loss_text(F.col("text"), F.col("loss_start"), F.col("loss_end")).alias("reply"),
+                ),
+            )
+        )
+    )
+    read = examples.groupBy("conv_id").agg(
+        F.max(F.when(F.col("widest"), F.col("text"))).alias("text"), replies.alias("replies")
+    )
+    turn = F.transform(
+        "turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    loss = F.array_join(F.transform("replies", lambda r: r["reply"]), "")
+    return read.withColumn("turns", read_turns(F.col("text"))).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turn, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("text").cast("long").alias("formatted_chars"),
+        F.size("replies").cast("long").alias("n_examples"),
+    )
+
+
+@query()
+def op2_toxic_spans(spark, sf_dir):
+    from snapledger.llm.toxicity import held_out, toxic_spans, train
+
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    return toxic_spans(docs, train(docs, labels)).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "spans"
+    )
