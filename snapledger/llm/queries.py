@@ -151,3 +151,25 @@ def op2_toxic_spans(spark, sf_dir):
     return toxic_spans(docs, train(docs, labels)).select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "spans"
     )
+
+
+@query()
+def op7_term_disclosure(spark, sf_dir):
+    from snapledger.llm.disclosure import KINDS, personal_data
+
+    def listed(spans):
+        texts = F.transform(
+            spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        )
+        return F.array_join(texts, ",")
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data(docs).select(
+        "doc_id",
+        *[number(kind) for kind in KINDS],
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
