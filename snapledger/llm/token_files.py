@@ -219,6 +219,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     found = rows.mapInArrow(
         documents, "shard int, doc_id long, start long, n_tokens long, ids binary"
     )
-    return found.join(offsets, "shard").select(
+    # One small row per task of the writing job.
+    return found.join(F.broadcast(offsets), "shard").select(
         "doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens", "ids"
     )
