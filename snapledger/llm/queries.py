@@ -173,3 +173,10 @@ def op7_term_disclosure(spark, sf_dir):
         F.sha2(listed("base"), 256).alias("base_sha256"),
         listed("spans").alias("spans"),
     )
+
+
+@query()
+def op6_sketch_fingerprints(spark, sf_dir):
+    from snapledger.llm.sketches import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
