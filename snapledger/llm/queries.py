@@ -180,3 +180,14 @@ def op6_sketch_fingerprints(spark, sf_dir):
     from snapledger.llm.sketches import fingerprints
 
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_raked_mixture(spark, sf_dir):
+    from snapledger.llm.mixing import layout_topic, raked_sample, word_count
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": layout_topic(F.col("text"))}
+    return raked_sample(docs, dims, word_count(F.col("text"))).select(
+        "doc_id", "mix_source", "mix_lang", "mix_topic", "factor", "probability", "kept"
+    )

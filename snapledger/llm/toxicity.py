@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snapledger.llm.common import ship
 from snapledger.llm.pretokens import slices
@@ -324,10 +325,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
     return fit(list(zip(rows["text"], rows["toxic"])), weight, seed)
 
 
-SCORES = (
-    "doc_id long, score double, predicted int, "
-    "spans array<struct<start: long, end: long, probability: double>>"
-)
+SPANS = "array<struct<start: bigint, end: bigint, probability: double>>"
 
 
 def document_scores(texts: pa.Array, model: Model):
@@ -363,44 +361,40 @@ def score_slice(texts: pa.Array, model: Model) -> tuple[np.ndarray, list]:
     return score, spans
 
 
-def toxic_spans(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``score``, ``predicted`` and ``spans`` of every row of ``docs``.
+def toxic_spans(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+    """``score``, ``predicted`` and ``spans`` of every row of ``docs``, behind ``keep``.
 
-    Forward-backward marginals over the tokens of the whole text give the score, a
-    calibrated probability of label 1, and the spans, tokens with a marginal of
-    ``SPAN`` or more by their offsets in code points. A null or empty text has no tokens
-    and gets the score of a text without any toxic token. Repeated rows are scored each;
-    an empty table gives an empty result; no other column is looked at.
+    ``keep`` names the columns of ``docs`` that are carried along, doc_id by default;
+    only the text is looked at. Forward-backward marginals over the tokens of the whole
+    text give the score, a calibrated probability of label 1, and the spans, tokens with
+    a marginal of ``SPAN`` or more by their offsets in code points. A null or empty text
+    has no tokens and gets the score of a text without any toxic token. Repeated rows
+    are scored each; an empty table gives an empty result.
     """
     ship(docs.sparkSession)
+    keep = keep or ["doc_id"]
+    added = StructType.fromDDL(f"score double, predicted int, spans {SPANS}")
+    schema = StructType([*docs.select(*keep).schema.fields, *added.fields])
+    kind = pa.list_(
+        pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())])
+    )
 
     def rate(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
-                score, spans = score_slice(part["text"], model)
+            for part in slices(batch, "_scored"):
+                score, spans = score_slice(part["_scored"], model)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part["doc_id"],
+                        *(part[c] for c in keep),
                         pa.array(score),
                         pa.array((score >= 0.5).astype(np.int32)),
-                        pa.array(
-                            spans,
-                            pa.list_(
-                                pa.struct(
-                                    [
-                                        ("start", pa.int64()),
-                                        ("end", pa.int64()),
-                                        ("probability", pa.float64()),
-                                    ]
-                                )
-                            ),
-                        ),
+                        pa.array(spans, kind),
                     ],
-                    names=["doc_id", "score", "predicted", "spans"],
+                    names=[*keep, "score", "predicted", "spans"],
                 )
 
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    return docs.select(F.col("doc_id").cast("long"), text).mapInArrow(rate, SCORES)
+    scored = F.coalesce(F.col("text"), F.lit("")).alias("_scored")
+    return docs.select(*keep, scored).mapInArrow(rate, schema)
 
 
 def held_out(doc_id) -> F.Column:
