@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from snapledger.llm.common import hex64, staged
 
-# Rows of cells; a paragraph has one cell in each. Cells in a row of a fingerprint.
-ROWS, WIDTH = 3, 8
+# Rows of cells; a paragraph has one cell in each. Cells in a row of a fingerprint, and of
+# a sketch that is compared: only used cells are kept, so room for more costs nothing
+# and makes it unlikely that two paragraphs share all their cells.
+ROWS, WIDTH, WIDE = 3, 8, 32
+# Sketches of a document: its own, that of its edited text, and the two comparisons.
+OWN, NEW, EDIT, NEXT = range(4)
 # Paragraphs of two versions for which a comparison takes one sketch of that size.
 PER_PART = 6
 MAX_TRIES = 16
@@ -92,30 +96,37 @@ def check_of(key: Column) -> Column:
     return F.xxhash64(key, F.lit(CHECK))
 
 
-def cells(signed: DataFrame, keys: list[str], width: int, seed: int) -> DataFrame:
-    """Sketch cells of digests (``digest``, ``sign``): ``cells`` for each of ``keys``.
+def cells(signed: DataFrame, places) -> DataFrame:
+    """Sketch cells of digests (``digest``, ``sign``): ``cells`` for each ``row``, ``member``.
 
-    A cell sums signs and combines digests and their check values, so equal digests of
-    opposite signs vanish: what remains is the difference of two sketches. Empty cells
-    are left out.
+    ``places`` gives the cells of a digest. A cell sums signs and combines digests and
+    their check values, so equal digests of opposite signs vanish: what remains is the
+    difference of two sketches. Empty cells are left out.
     """
+    # Member and cell are one number, so that the many groups of the first step are small.
+    room = 1 << 32
+    cell = (F.col("member") * room + F.col("slot")).alias("cell")
     return (
-        signed.select(*keys, "digest", "sign", F.explode(slots(F.col("digest"), width, seed)).alias("slot"))
-        .groupBy(*keys, "slot")
+        signed.select("row", "member", "digest", "sign", F.explode(places).alias("slot"))
+        .select("row", cell, "digest", "sign")
+        .groupBy("row", "cell")
         .agg(
             F.sum("sign").alias("n"),
             F.bit_xor("digest").alias("key"),
             F.bit_xor(check_of(F.col("digest"))).alias("check"),
         )
-        .groupBy(*keys)
-        .agg(
-            F.collect_list(
-                F.when(
-                    (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0),
-                    F.struct("slot", "n", "key", "check"),
-                )
-            ).alias("cells")
+        .select(
+            "row",
+            F.shiftright("cell", 32).alias("member"),
+            F.when(
+                (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0),
+                F.struct(
+                    F.col("cell").bitwiseAND(room - 1).cast("int").alias("slot"), "n", "key", "check"
+                ),
+            ).alias("c"),
         )
+        .groupBy("row", "member")
+        .agg(F.collect_list("c").alias("cells"))
     )
 
 
@@ -255,88 +266,84 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     each = F.transform(F.sequence(F.lit(1).cast("long"), F.col("times")), lambda i: F.xxhash64("hash", i))
 
-    def signed(rows: DataFrame, keep: list[str]) -> DataFrame:
-        """Digests as members of the sketches they belong to."""
+    def signed(rows: DataFrame) -> DataFrame:
+        """Digests as members of the sketches they belong to: part of the sketch, and which."""
 
-        def member(name: str, sign: int, parts: Column) -> Column:
+        def member(kind: int, sign: int, parts: Column) -> Column:
             return F.struct(
-                F.lit(name).alias("pair"), F.lit(sign).alias("sign"), parts.cast("long").alias("parts")
+                F.lit(kind).alias("kind"), F.lit(sign).alias("sign"), parts.cast("long").alias("parts")
             )
 
         edit = F.ceil((F.col("n0") + F.col("n1")) / PER_PART)
         after = F.ceil((F.col("n0") + F.col("n2")) / PER_PART)
-        one = F.lit(1)
+        alone = F.lit(1)
         where = (
             F.when(
                 F.col("version") == 0,
-                F.array(member("own", 1, one), member("edit", 1, edit), member("next", 1, after)),
+                F.array(member(OWN, 1, alone), member(EDIT, 1, edit), member(NEXT, 1, after)),
             )
-            .when(F.col("version") == 1, F.array(member("new", 1, one), member("edit", -1, edit)))
-            .when(F.col("version") == 2, F.array(member("next", -1, after)))
+            .when(F.col("version") == 1, F.array(member(NEW, 1, alone), member(EDIT, -1, edit)))
+            .when(F.col("version") == 2, F.array(member(NEXT, -1, after)))
         )
+        part = part_of(F.col("digest"), F.col("m.parts"))
         return (
             rows.where("version >= 0")
-            .select("row", *keep, where.alias("where"), F.explode(each).alias("digest"))
-            .select("row", *keep, "digest", F.explode("where").alias("m"))
-            .select("row", *keep, "digest", "m.pair", "m.sign", part_of(F.col("digest"), F.col("m.parts")).alias("part"))
+            .select("row", where.alias("where"), F.explode(each).alias("digest"))
+            .select("row", "digest", F.explode("where").alias("m"))
+            .select("row", "digest", "m.sign", (part * 4 + F.col("m.kind")).alias("member"))
         )
 
-    placed = digests.repartition("row")
-    sketches = cells(signed(placed, []), ["row", "pair", "part"], WIDTH, 0)
-    compared = F.col("pair").isin("edit", "next")
-    solved = sketches.select(
+    tasks = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = digests.repartition(tasks, "row")
+    kind = F.col("member") % 4
+    compared = kind >= EDIT
+    places = F.when(compared, slots(F.col("digest"), WIDE, 0)).otherwise(slots(F.col("digest"), WIDTH, 0))
+    solved = cells(signed(placed), places).select(
         "row",
-        "pair",
-        "part",
+        "member",
         F.when(~compared, written(F.col("cells"))).alias("fingerprint"),
-        F.when(compared, peeled(F.col("cells"), WIDTH, 0)).alias("p"),
-    ).select(
-        "row",
-        "pair",
-        "part",
-        "fingerprint",
-        F.size("p.found").alias("found"),
-        (F.size("p.left") > 0).alias("failed"),
-    )
+        F.when(compared, peeled(F.col("cells"), WIDE, 0)).alias("p"),
+    ).select("row", "member", "fingerprint", F.size("p.found").alias("found"), (F.size("p.left") > 0).alias("failed"))
 
-    def one(pair: str, value: str) -> Column:
-        return F.max(F.when(F.col("pair") == pair, F.col(value)))
+    def one(which: int) -> Column:
+        return F.max(F.when(kind == which, F.col("fingerprint")))
 
-    def total(pair: str) -> Column:
-        good = (F.col("pair") == pair) & ~F.col("failed")
+    def total(which: int) -> Column:
+        good = (kind == which) & ~F.col("failed")
         return F.coalesce(F.sum(F.when(good, F.col("found"))), F.lit(0))
 
     per_row = solved.groupBy("row").agg(
-        one("own", "fingerprint").alias("fingerprint"),
-        one("new", "fingerprint").alias("edited_fingerprint"),
-        total("edit").alias("d_edit"),
-        total("next").alias("d_next"),
-        F.collect_list(F.when(F.col("failed"), F.struct("pair", "part"))).alias("failed"),
+        one(OWN).alias("fingerprint"),
+        one(NEW).alias("edited_fingerprint"),
+        total(EDIT).alias("d_edit"),
+        total(NEXT).alias("d_next"),
+        F.collect_list(F.when(F.col("failed"), F.col("member"))).alias("failed"),
     )
     heads = placed.where("version = -1").drop("version", "hash", "times")
     result, _ = staged(heads.join(per_row, "row", "left"), "compared")
-    wanted = result.select("row", F.explode("failed").alias("f")).select("row", "f.pair", "f.part")
+    wanted = result.select("row", F.explode("failed").alias("member"))
     recovered = None
     for tries in range(1, MAX_TRIES + 1):
         wanted, _ = staged(wanted, "failed")
         if not wanted.take(1):
             break
-        again = signed(digests.join(wanted.select("row").distinct(), "row", "left_semi"), [])
-        again = again.join(wanted, ["row", "pair", "part"], "left_semi")
-        width = WIDTH << tries
+        again = signed(digests.join(wanted.select("row").distinct(), "row", "left_semi"))
+        again = again.join(wanted, ["row", "member"], "left_semi")
+        width = WIDE << tries
+        sketch = cells(again, slots(F.col("digest"), width, tries))
         retried, _ = staged(
-            cells(again, ["row", "pair", "part"], width, tries).select(
-                "row", "pair", "part", peeled(F.col("cells"), width, tries).alias("p")
-            ).select("row", "pair", "part", F.size("p.found").alias("found"), (F.size("p.left") > 0).alias("failed")),
+            sketch.select("row", "member", peeled(F.col("cells"), width, tries).alias("p")).select(
+                "row", "member", F.size("p.found").alias("found"), (F.size("p.left") > 0).alias("failed")
+            ),
             "retried",
         )
-        wanted = retried.where("failed").select("row", "pair", "part")
+        wanted = retried.where("failed").select("row", "member")
         recovered = retried if recovered is None else recovered.unionAll(retried)
     else:
         raise RuntimeError(f"sketches did not come out in {MAX_TRIES} tries")
     if recovered is not None:
         more = recovered.groupBy("row").agg(
-            total("edit").alias("more_edit"), total("next").alias("more_next")
+            total(EDIT).alias("more_edit"), total(NEXT).alias("more_next")
         )
         result = result.join(more, "row", "left")
     else:
