@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from queries.cleaning import GROSS_SQL, gross_text
 from queries.pages import (
+    DOMESTIC_SQL,
     MARKETS_SQL,
     METADATA_SQL,
     customer_groups,
@@ -17,14 +18,16 @@ from queries.pages import (
     part_releases,
 )
 from queries.registry import BASE_URL, markup, query, table
+from snapledger.functions import html
 from snapledger.operators import checks
 from snapledger.operators import pages as page_ops
 from snapledger.plans import daily, layers
 from snapledger.plans import datasets as ds
 from snapledger.session import scratch_path, stage
-from snapledger.sinks.parquet import publish, published_path, write_snapshot
+from snapledger.sinks.parquet import publish, read_published, write_snapshot
 
 DAY = "2024-05-01"
+PARTS = ["release_year", "loaded_date"]
 RUN_TS = datetime.datetime(2024, 5, 1, 7, 0, 0)
 
 
@@ -84,8 +87,36 @@ def published_layer(spark, sf_dir):
 @query(PUBLISHED_SQL)
 def publish_readback(spark, sf_dir):
     root = scratch_path(spark, "published")
-    publish(_published(spark, sf_dir), root, "daily_ranks", 1)
-    return spark.read.schema(layers.PUBLISHED_SCHEMA).parquet(published_path(root, "daily_ranks", 1))
+    publish(_published(spark, sf_dir), root, "daily_ranks", 1, PARTS)
+    return read_published(spark, root, "daily_ranks", 1, layers.PUBLISHED_SCHEMA)
+
+
+@query(PUBLISHED_SQL)
+def failed_publish(spark, sf_dir):
+    """What readers have after a second publish broke off in its last partitions."""
+    root = scratch_path(spark, "published")
+    first = _published(spark, sf_dir)
+    publish(first, root, "daily_ranks", 1, PARTS)
+    last = F.when(F.col("release_year") < 1998, F.lit("new")).otherwise(F.raise_error(F.lit("broken")))
+    broken = first.withColumn("title", last.cast("string"))
+    try:
+        publish(broken, root, "daily_ranks", 1, PARTS)
+    except Exception as problem:
+        if "broken" not in str(problem):
+            raise
+    else:
+        raise ValueError("the second publish did not fail")
+    return read_published(spark, root, "daily_ranks", 1, layers.PUBLISHED_SCHEMA)
+
+
+@query(PUBLISHED_SQL.replace("FROM (", "FROM (SELECT * FROM (", 1) + ") WHERE release_year >= 1995")
+def smaller_publish(spark, sf_dir):
+    """A second publish of fewer years leaves none of the others behind."""
+    root = scratch_path(spark, "published")
+    first = _published(spark, sf_dir)
+    publish(first, root, "daily_ranks", 1, PARTS)
+    publish(first.where("release_year >= 1995"), root, "daily_ranks", 1, PARTS)
+    return read_published(spark, root, "daily_ranks", 1, layers.PUBLISHED_SCHEMA)
 
 
 @query(
@@ -152,11 +183,14 @@ def lookup_ids(spark, sf_dir):
     return release_ids(spark, sf_dir)
 
 
+DAILY = ["Date", "DOW", "Daily", "Theaters"]
+
+
 def wanted_releases(spark, sf_dir) -> DataFrame:
     """Release pages of parts whose id the lookup has."""
     ids = stage(release_ids(spark, sf_dir), "ids")
-    pages = page_ops.spread(part_releases(spark, sf_dir))
-    return ds.with_ids(pages, ids, BASE_URL, ds.RELEASE_PATH)
+    pages = part_releases(spark, sf_dir).withColumn("page_key", F.col("url"))
+    return ds.with_ids(ds.with_page_id(pages, ds.RELEASE_ID), ids)
 
 
 @query(
@@ -166,9 +200,9 @@ def wanted_releases(spark, sf_dir) -> DataFrame:
     """
 )
 def lookup_pages_join(spark, sf_dir):
-    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=("h1",), tables=False)
+    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=("h1",), tables=None)
     title = page_ops.heading(ds.TITLE_CLASS)
-    return parsed.select("release_year", "id", "url", title.alias("movie_title"))
+    return ds.by_year(parsed.select("years", "id", "url", title.alias("movie_title")))
 
 
 def _daily(sql: str) -> str:
@@ -191,9 +225,9 @@ PRICE = "CAST(floor(p_retailprice) AS BIGINT)"
     )
 )
 def release_daily_rows(spark, sf_dir):
-    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=())
-    dated = stage(parsed.withColumn("scraped_date", F.lit(DAY).cast("date")), "releases")
-    return ds.daily_rows(dated).drop("scraped_date")
+    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=(), tables=html.LAST)
+    dated = ds.by_year(parsed.withColumn("scraped_date", F.lit(DAY).cast("date")))
+    return ds.daily_rows(dated, DAILY).drop("scraped_date", "extras")
 
 
 @query(
@@ -331,10 +365,67 @@ def site(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def daily_run(spark, sf_dir):
     """All five datasets parsed, landed, cleaned and published from one table of pages."""
+    root, _ = run_site(spark, sf_dir)
+    return read_published(spark, root, "daily_ranks", 1, layers.PUBLISHED_SCHEMA)
+
+
+def run_site(spark, sf_dir, pages: DataFrame | None = None) -> tuple[str, daily.Result]:
+    """The daily run over the years that orders have; years without pages do not fail it."""
     root = scratch_path(spark, "daily")
-    span = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"))
-    years = [row["y"] for row in span.where("y BETWEEN 1977 AND 2024").distinct().collect()]
-    daily.run_daily(
-        site(spark, sf_dir), root, RUN_TS.date(), BASE_URL, years=years, run_ts=RUN_TS
+    span = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).distinct()
+    years = [row["y"] for row in span.collect()]
+    pages = site(spark, sf_dir) if pages is None else pages
+    return root, daily.run_daily(pages, root, RUN_TS.date(), BASE_URL, years=years, run_ts=RUN_TS)
+
+
+LISTED_SQL = "(SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS release_year, o_custkey FROM orders)"
+GROUPS_SQL = f"{LISTED_SQL} JOIN customer ON c_custkey = o_custkey"
+RELEASES_SQL = f"""
+    (SELECT DISTINCT release_year, parse AS id FROM (
+        SELECT release_year, regexp_extract({DOMESTIC_SQL}, '(rl[0-9]+)', 1) AS parse
+        FROM {GROUPS_SQL}) WHERE parse <> '') AS r JOIN part ON id = 'rl' || p_partkey
+"""
+LANDED_SQL = f"""
+    SELECT 'worldwide_box_office' AS dataset, CAST(year(o_orderdate) AS INTEGER) AS release_year,
+           CAST(2 * count(*) AS BIGINT) AS rows FROM orders GROUP BY ALL
+    UNION ALL SELECT 'release_id_lookup', CAST(year(o_orderdate) AS INTEGER), 2 * count(*)
+        FROM orders GROUP BY ALL
+    UNION ALL SELECT 'release_domestic', release_year, 3 * count(*) FROM {RELEASES_SQL} GROUP BY ALL
+    UNION ALL SELECT 'release_metadata', release_year, count(*) FROM {RELEASES_SQL} GROUP BY ALL
+    UNION ALL SELECT 'release_worldwide_snapshot', release_year, 3 * count(*)
+        FROM {GROUPS_SQL} GROUP BY ALL
+"""
+
+
+@query(LANDED_SQL)
+def daily_run_rows(spark, sf_dir):
+    """Rows of all five landed datasets, by year."""
+    root, result = run_site(spark, sf_dir)
+    report = result.report(spark).where("rows > 0")
+    return report.select("dataset", F.col("item").cast("int").alias("release_year"), "rows")
+
+
+@query(
+    f"""
+    WITH wanted AS (
+        SELECT DISTINCT regexp_extract({DOMESTIC_SQL}, '(rl[0-9]+)', 1) AS id FROM {GROUPS_SQL}
+    ), absent AS (
+        SELECT id FROM wanted WHERE id <> '' AND id NOT IN (SELECT 'rl' || p_partkey FROM part)
     )
-    return spark.read.schema(layers.PUBLISHED_SCHEMA).parquet(published_path(root, "daily_ranks", 1))
+    SELECT 'release_domestic' AS dataset, id AS item, 'no page' AS error FROM absent
+    UNION ALL SELECT 'release_metadata', id, 'no page' FROM absent
+    UNION ALL
+    SELECT 'release_id_lookup', '{BASE_URL}/releasegroup/gr' || c_custkey, 'fetched 2 times'
+    FROM customer WHERE c_custkey % 5 = 0
+    """
+)
+def daily_run_failures(spark, sf_dir):
+    """Ids without a page and repeated pages; other spellings of a URL lose nothing."""
+    pages = site(spark, sf_dir)
+    group = F.col("url").contains(ds.GROUP_PATH)
+    url = F.regexp_replace("url", "^https:", "HTTPS:")
+    pages = pages.withColumn("url", F.when(group, F.regexp_replace(url, "/$", "")).otherwise(F.col("url")))
+    number = F.regexp_extract("url", r"/gr(\d+)$", 1).try_cast("long")
+    twice = pages.where(number % 5 == 0).withColumn("page_key", F.concat("page_key", F.lit("again")))
+    root, result = run_site(spark, sf_dir, pages.unionByName(twice))
+    return result.failed_items(spark).where("dataset <> 'daily_ranks'")

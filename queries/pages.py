@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queries.registry import BASE_URL, RE2_SPACE, escaped, markup, money, query, table
+from snapledger.functions import html
 from snapledger.operators import checks
 from snapledger.operators import pages as page_ops
 from snapledger.plans import datasets as ds
@@ -16,8 +17,13 @@ from snapledger.plans import layers
 from snapledger.session import stage
 
 
-def parse(pages: DataFrame, tags, tables: bool = False) -> DataFrame:
-    return page_ops.parse(page_ops.spread(pages), tags=tags, tables=tables)
+def parse(pages: DataFrame, tags, tables: str | None = None) -> DataFrame:
+    return page_ops.parse(pages, tags=tags, tables=tables)
+
+
+def source(spark, sf_dir, name: str) -> DataFrame:
+    """A table of one row group, dealt to all cores before its pages are rendered."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def row(*cells: Column | str, tag: str = "td") -> Column:
@@ -96,7 +102,7 @@ def release_page() -> Column:
 
 
 def customer_groups(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
+    return source(spark, sf_dir, "customer").select(
         "c_custkey",
         markup(f"{BASE_URL}{ds.GROUP_PATH}gr", F.col("c_custkey"), "/").alias("url"),
         group_page().alias("html"),
@@ -104,7 +110,7 @@ def customer_groups(spark, sf_dir) -> DataFrame:
 
 
 def part_releases(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+    return source(spark, sf_dir, "part").select(
         "p_partkey",
         markup(f"{BASE_URL}{ds.RELEASE_PATH}rl", F.col("p_partkey"), "/").alias("url"),
         release_page().alias("html"),
@@ -127,7 +133,7 @@ def part_releases(spark, sf_dir) -> DataFrame:
     """
 )
 def page_links(spark, sf_dir):
-    parsed = parse(table(spark, sf_dir, "pages").select("page_id", "html"), ("a",))
+    parsed = parse(source(spark, sf_dir, "pages").select("page_id", "html"), ("a",))
     return page_ops.links(parsed, "/", BASE_URL)
 
 
@@ -140,7 +146,7 @@ def page_links(spark, sf_dir):
     """
 )
 def page_heading(spark, sf_dir):
-    parsed = parse(table(spark, sf_dir, "pages"), ("h1",))
+    parsed = parse(source(spark, sf_dir, "pages"), ("h1",))
     return parsed.select("page_id", page_ops.heading().alias("heading"))
 
 
@@ -177,8 +183,8 @@ def page_tables(spark, sf_dir):
     page = html_table(
         row("Source", "Language", "Text", tag="th"), row(F.col("source"), F.col("lang"), words)
     )
-    docs = table(spark, sf_dir, "documents").select("doc_id", page.alias("html"))
-    rows = page_ops.table_rows(parse(docs, (), tables=True))
+    docs = source(spark, sf_dir, "documents").select("doc_id", page.alias("html"))
+    rows = page_ops.table_rows(parse(docs, (), html.EVERY))
     return rows.withColumn("cells", F.array_join("cells", " | "))
 
 
@@ -204,7 +210,7 @@ def listing_page() -> Column:
 
 
 def order_listings(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    return source(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.year("o_orderdate").alias("release_year"),
         F.trunc("o_orderdate", "month").alias("scraped_date"),
@@ -224,9 +230,9 @@ def order_listings(spark, sf_dir) -> DataFrame:
     """
 )
 def page_first_table(spark, sf_dir):
-    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), tables=True)
-    records = page_ops.table_records(parsed, page_ops.first_table())
-    return page_ops.wide(records, layers.REVENUE_COLUMNS)
+    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), html.FIRST)
+    records = page_ops.table_records(parsed, page_ops.first_table(), layers.REVENUE_COLUMNS)
+    return records.select("o_orderkey", *layers.REVENUE_COLUMNS)
 
 
 @query(
@@ -237,9 +243,8 @@ def page_first_table(spark, sf_dir):
     """
 )
 def page_last_table(spark, sf_dir):
-    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), tables=True)
-    records = page_ops.table_records(parsed, page_ops.last_table())
-    return records.select("o_orderkey", "row_ix", page_ops.cell("0").alias("0"))
+    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), html.LAST)
+    return page_ops.table_records(parsed, page_ops.last_table(), ["0"]).drop("extras")
 
 
 METADATA_SQL = """
@@ -295,7 +300,8 @@ def lookup(spark, sf_dir) -> DataFrame:
     """Lookup rows from the listings of orders and the group pages of customers."""
     listings = parse(order_listings(spark, sf_dir), ds.YEAR_TAGS)
     groups = parse(customer_groups(spark, sf_dir), ("a",))
-    return ds.lookup_rows(ds.group_links(listings, BASE_URL), ds.domestic_links(groups, BASE_URL))
+    domestic = stage(ds.domestic_links(groups, BASE_URL), "domestic")
+    return ds.lookup_rows(ds.group_links(listings, BASE_URL), domestic)
 
 
 @query(LOOKUP_SQL)
@@ -305,7 +311,7 @@ def lookup_build(spark, sf_dir):
 
 def page_batches(spark, sf_dir) -> DataFrame:
     """Driver pages, without markup where the URL points into the page."""
-    pages = table(spark, sf_dir, "pages")
+    pages = source(spark, sf_dir, "pages")
     language = F.regexp_extract("url", r"//[^/]+/([a-z]+)/", 1)
     return pages.select(
         "page_id",
@@ -364,6 +370,55 @@ def required_columns(spark, sf_dir):
     incomplete = row("Release Group", "Worldwide", "Domestic", "Elsewhere", tag="th")
     heading = F.when(F.col("p_size") <= 25, complete).otherwise(incomplete)
     page = html_table(heading, row(escaped(F.col("p_name")), money(F.floor("p_retailprice")), "-", "-"))
-    pages = table(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
-    records = page_ops.table_records(parse(pages, (), tables=True), page_ops.first_table())
-    return page_ops.wide(ds.accepted(records), ["Release Group", "Worldwide"])
+    pages = source(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
+    first, wanted = page_ops.first_table(), ["Release Group", "Worldwide"]
+    complete = parse(pages, (), html.FIRST).where(page_ops.has_columns(first, layers.REVENUE_COLUMNS))
+    return page_ops.table_records(complete, first, wanted).select("p_partkey", *wanted)
+
+
+@query(
+    """
+    SELECT o_orderkey, 'A' || o_orderkey AS "Date", 'B' || o_orderkey AS lower_date,
+           'C' || o_custkey AS own_key, 'D' AS spanned, CAST(5 AS INTEGER) AS others
+    FROM orders
+    """
+)
+def page_extra_columns(spark, sf_dir):
+    """Headings that differ by case or read like the page's own key, and a spanning cell."""
+    key = F.col("o_orderkey")
+    heading = row("Date", "date", "o_orderkey", markup('<th colspan="2">Wide</th>'), tag="th")
+    cells = row(markup("A", key), markup("B", key), markup("C", F.col("o_custkey")), tag="td")
+    body = F.replace(cells, F.lit("</tr>"), F.lit('<td colspan="2000000000">D</td></tr>'))
+    pages = source(spark, sf_dir, "orders").select("o_orderkey", html_table(heading, body).alias("html"))
+    parsed = parse(pages, (), html.FIRST)
+    rows = page_ops.table_records(parsed, page_ops.first_table(), ["Date"])
+    extra = F.col("extras")
+    return rows.select(
+        "o_orderkey",
+        "Date",
+        extra["date"].alias("lower_date"),
+        extra["o_orderkey"].alias("own_key"),
+        extra["Wide"].alias("spanned"),
+        F.size("extras").alias("others"),
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, CAST(0 AS INTEGER) AS pos, '/releasegroup/gr' || o_custkey || '/' AS href,
+           'Film ' || o_orderkey AS text, '$' || o_custkey AS "Worldwide"
+    FROM orders
+    """
+)
+def page_deep_markup(spark, sf_dir):
+    """Ordinary listings below thousands of tags that are never closed."""
+    deep = F.repeat(F.lit("<b><i><span><div>"), 1500)
+    group = markup('<a href="/releasegroup/gr', F.col("o_custkey"), '/">Film ', F.col("o_orderkey"), "</a>")
+    revenue = html_table(row("Worldwide", tag="th"), row(markup("<b>$<i>", F.col("o_custkey"))))
+    pages = source(spark, sf_dir, "orders").select(
+        "o_orderkey", markup(deep, group, revenue, deep).alias("html")
+    )
+    parsed = parse(pages, ("a",), html.FIRST)
+    links = page_ops.links(parsed, "/releasegroup/").drop("url")
+    rows = page_ops.table_records(parsed, page_ops.first_table(), ["Worldwide"])
+    return links.join(rows.select("o_orderkey", "Worldwide"), "o_orderkey")

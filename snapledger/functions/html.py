@@ -14,6 +14,7 @@ import html as entities
 import re
 import sys
 from collections import defaultdict
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -21,34 +22,21 @@ from pyspark.sql import functions as F
 
 ELEMENT = (
     "struct<ix:int,last:int,tag:string,href:string,cls:string,colspan:string,"
-    "nth:int,strings:array<string>>"
-)
-TABLE = "struct<names:array<string>,head:array<array<string>>,body:array<array<string>>>"
-PAGE = f"struct<error:string,elements:array<{ELEMENT}>,tables:array<{TABLE}>>"
-
-TEXTS = pa.list_(pa.string())
-PAGE_ARROW = pa.struct(
-    {
-        "error": pa.string(),
-        "elements": pa.list_(
-            pa.struct(
-                {
-                    "ix": pa.int32(),
-                    "last": pa.int32(),
-                    "tag": pa.string(),
-                    "href": pa.string(),
-                    "cls": pa.string(),
-                    "colspan": pa.string(),
-                    "nth": pa.int32(),
-                    "strings": TEXTS,
-                }
-            )
-        ),
-        "tables": pa.list_(
-            pa.struct({"names": TEXTS, "head": pa.list_(TEXTS), "body": pa.list_(TEXTS)})
-        ),
-    }
+    "nth:int,first:int,end:int>"
 )
+NAME = "struct<name:string,base:string,nth:int,at:int,width:int>"
+CELLS_OF = "array<struct<at:int,width:int,text:string>>"
+ROWS = f"array<struct<ix:int,times:int,cells:{CELLS_OF}>>"
+TABLE = f"struct<width:int,names:array<{NAME}>,head:{ROWS},body:{ROWS}>"
+PAGE = f"struct<error:string,texts:array<string>,elements:array<{ELEMENT}>,tables:array<{TABLE}>>"
+
+INTS, TEXTS = pa.int32(), pa.string()
+ELEMENT_FIELDS = {
+    "ix": INTS, "last": INTS, "tag": TEXTS, "href": TEXTS, "cls": TEXTS, "colspan": TEXTS,
+    "nth": INTS, "first": INTS, "end": INTS,
+}
+NAME_FIELDS = {"name": TEXTS, "base": TEXTS, "nth": INTS, "at": INTS, "width": INTS}
+CELL_FIELDS = {"at": INTS, "width": INTS, "text": TEXTS}
 
 # Elements that are kept, and those whose text is collected.
 CONTAINERS = frozenset(["div", "table", "thead", "tbody", "tfoot", "tr"])
@@ -71,24 +59,21 @@ BLOCKS = HEADINGS | frozenset(
     + ["form", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"]
 )
 
-# An end tag closes nothing of a higher rank on its way; 100 if not here.
-END_RANK = {
-    "div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180,
-    "table": 190, "head": 200, "body": 200, "html": 220,
-}
-
-# Limits of the HTML standard for cell spans.
-MAX_COLSPAN = 1000
-MAX_ROWSPAN = 65534
-
-# Pages that nest deeper, or repeat text in spanning cells or nested elements more often,
-# are reported as failed. They are broken or made to exhaust memory.
-MAX_DEPTH = 2_000
-MAX_COPIES = 10_000_000
+# Open elements that the end tag of an inline element does not reach past.
+WALLS = BLOCKS | CONTAINERS | CELLS | {"li", "dt", "dd"}
 
 # Characters of markup whose elements are held as Python objects at a time.
 CHUNK = 4_000_000
 
+# Which tables of a page are read.
+FIRST, LAST, EVERY = "first", "last", "every"
+
+# Fixed value: the most rows that a cell spans in HTML.
+MAX_ROWSPAN = 65534
+
+# Largest number that a position can be.
+MOST = 2**31 - 1
+
 # What a start tag closes when it is open, looked for no further than the second set.
 ONLY_TABLE = frozenset(["table"])
 CELL_OR_TABLE = CELLS | ONLY_TABLE
@@ -101,6 +86,15 @@ IMPLIED_END = {
     "li": (frozenset(["li"]), CELL_OR_TABLE | {"ol", "ul"}),
     "tr": (ROW, ONLY_TABLE),
 }
+# What an end tag does not reach past: the cell or table it stands in.
+END_WITHIN = {
+    **dict.fromkeys(BLOCKS | {"li", "dt", "dd"}, CELL_OR_TABLE),
+    **dict.fromkeys(CELLS | SECTIONS | ROW, ONLY_TABLE),
+    "table": frozenset(),
+    "a": CELL_OR_TABLE,
+}
+# Other elements neither are kept nor end anything, so they are never open.
+TRACKED = KEPT | frozenset(IMPLIED_END)
 NOTHING: dict = {}
 
 TOKEN = re.compile(
@@ -123,11 +117,9 @@ def attributes(source):
     return found
 
 
-def span(value, most):
-    if value is None:
-        return 1
-    digits = re.match(r"\s*(\d+)", value)
-    return min(max(int(digits.group(1)), 1), most) if digits else 1
+def span(value):
+    digits = re.match(r"\s*(\d+)", value or "")
+    return min(max(int(digits.group(1)), 1), MOST) if digits else 1
 
 
 class Element:
@@ -146,10 +138,12 @@ class Element:
 def read_elements(markup, wanted=KEPT):
     """Kept elements and pieces of text, both in document order.
 
-    Attributes and text are read for the ``wanted`` elements only.
+    Attributes and text are read for the ``wanted`` elements only. For each tag the
+    places of its open elements are known, so what a tag ends is found without walking
+    the open elements, however many they are.
     """
     elements, pieces, seen = [], [], {}
-    names, nodes, opened = [], [], defaultdict(int)
+    names, nodes, places, walls = [], [], defaultdict(list), []
     text_tags, reading = TEXT_TAGS & wanted, 0
 
     def close(upto):
@@ -157,22 +151,18 @@ def read_elements(markup, wanted=KEPT):
         last, end = len(elements) - 1, len(pieces)
         while len(names) > upto:
             name, node = names.pop(), nodes.pop()
-            opened[name] -= 1
+            places[name].pop()
+            if name in WALLS:
+                walls.pop()
             if node is not None:
                 node.last, node.end = last, end
                 reading -= name in text_tags
 
-    def close_implied(tags, within):
-        for at in range(len(names) - 1, -1, -1):
-            if names[at] in tags:
-                return close(at)
-            if names[at] in within:
-                return None
+    def nearest(tags):
+        return max((places[tag][-1] for tag in tags if places[tag]), default=-1)
 
     def start(tag, source):
         nonlocal reading
-        if len(names) >= MAX_DEPTH:
-            raise ValueError("nested too deeply")
         node = None
         if tag in KEPT:
             given = attributes(source) if tag in wanted and "=" in source else NOTHING
@@ -183,9 +173,11 @@ def read_elements(markup, wanted=KEPT):
                 href = given.get("href")
                 node.nth = seen.get(href, 0)
                 seen[href] = node.nth + 1
+        places[tag].append(len(names))
+        if tag in WALLS:
+            walls.append(len(names))
         names.append(tag)
         nodes.append(node)
-        opened[tag] += 1
 
     # Text and the groups of the token after it, in turn; the last text has no token.
     parts = TOKEN.split(markup)
@@ -195,77 +187,67 @@ def read_elements(markup, wanted=KEPT):
         if tag is None:
             continue
         tag = tag.lower()
+        if tag not in TRACKED:
+            continue
         if ending:
-            if not opened[tag]:
-                continue
-            rank = END_RANK.get(tag, 100)
-            for at in range(len(names) - 1, -1, -1):
-                if names[at] == tag:
+            if places[tag]:
+                at, within = places[tag][-1], END_WITHIN.get(tag)
+                barrier = nearest(within) if within is not None else walls[-1] if walls else -1
+                if at > barrier:
                     close(at)
-                    break
-                if END_RANK.get(names[at], 100) > rank:
-                    break
             continue
         if tag in IMPLIED_END:
             tags, within = IMPLIED_END[tag]
-            if any(map(opened.get, tags)):
-                close_implied(tags, within)
+            at = nearest(tags)
+            if at >= 0 and at > nearest(within):
+                close(at)
             if tag in HEADINGS and names and names[-1] in HEADINGS:
                 close(len(names) - 1)
-            if tag in CELLS and names and names[-1] != "tr":
-                if not opened["table"] or not row_is_open(names):
-                    start("tr", "")
-        if tag not in VOID:
-            start(tag, source)
+            if tag in CELLS and names and names[-1] != "tr" and nearest(ROW) <= nearest(ONLY_TABLE):
+                start("tr", "")
+        start(tag, source)
     if reading:
         pieces.append(entities.unescape(parts[-1]))
     close(0)
     return elements, pieces
 
 
-def row_is_open(names):
-    """There is a row around the innermost open element within its table."""
-    for name in reversed(names):
-        if name == "tr":
-            return True
-        if name == "table":
-            return False
-    return False
+def page_texts(pieces):
+    """Pieces of text that are not blank, and how many there are before each piece."""
+    texts, before = [], []
+    for piece in pieces:
+        before.append(len(texts))
+        if bare := piece.strip():
+            texts.append(bare)
+    return texts, [*before, len(texts)]
+
 
+def write_elements(out, elements, before, tags):
+    """Add elements of ``tags`` to the output, numbered anew with the same nesting.
 
-def element_rows(elements, pieces, tags):
-    """Elements of ``tags`` as UDF output, numbered anew with the same nesting."""
+    The text of an element is a slice of the page's texts, so text is never copied
+    however deep elements nest.
+    """
     upto, kept = [], []
     for element in elements:
         if element.tag in tags:
             kept.append(element)
         upto.append(len(kept))
-    bare = [piece.strip() for piece in pieces]
-    rows, copies = [], 0
     for ix, element in enumerate(kept):
-        given, strings = element.given, []
-        if element.tag in TEXT_TAGS:
-            strings = [piece for piece in bare[element.first : element.end] if piece]
-            copies += len(strings)
-            if copies > MAX_COPIES + len(bare):
-                raise ValueError("text repeats too often")
-        rows.append(
-            {
-                "ix": ix,
-                "last": upto[element.last] - 1,
-                "tag": element.tag,
-                "href": given.get("href"),
-                "cls": " ".join(given["class"].split()) if "class" in given else None,
-                "colspan": given.get("colspan"),
-                "nth": element.nth,
-                "strings": strings,
-            }
-        )
-    return rows
-
-
-def read_tables(elements, pieces):
-    """Tables with any text, as header and body rows of cell text, spans filled in."""
+        given, has_text = element.given, element.tag in TEXT_TAGS
+        out["ix"].append(ix)
+        out["last"].append(upto[element.last] - 1)
+        out["tag"].append(element.tag)
+        out["href"].append(given.get("href"))
+        out["cls"].append(" ".join(given["class"].split()) if "class" in given else None)
+        out["colspan"].append(given.get("colspan"))
+        out["nth"].append(element.nth)
+        out["first"].append(before[element.first] if has_text else 0)
+        out["end"].append(before[element.end] if has_text else 0)
+
+
+def read_tables(elements, pieces, which):
+    """Tables with any text as heading and body rows of cells; ``which`` ones by request."""
     tables, enclosing = [], []
     for element in elements:
         while enclosing and element.ix > enclosing[-1]["last"]:
@@ -284,7 +266,7 @@ def read_tables(elements, pieces):
                 table["rows"].append((section.tag if inside else "tbody", []))
             elif element.tag in SECTIONS:
                 table["section"] = element
-    for table in tables:
+    for table in reversed(tables) if which == LAST else tables:
         cells = (cell for _, row in table["rows"] for cell in row)
         if not any(piece.strip() for cell in cells for piece in pieces[cell.first : cell.end]):
             continue
@@ -295,26 +277,46 @@ def read_tables(elements, pieces):
             plain = (i for i, row in enumerate(parts["tbody"]) if any(c.tag == "td" for c in row))
             first = next(plain, len(parts["tbody"]))
             parts["thead"], parts["tbody"] = parts["tbody"][:first], parts["tbody"][first:]
-        head, body, foot = (fill_spans(parts[part], pieces) for part in ("thead", "tbody", "tfoot"))
-        width = max(len(row) for row in head + body + foot)
-        for row in head + body + foot:
-            row.extend([""] * (width - len(row)))
-        yield {"names": column_names(head, width), "head": head, "body": body + foot}
+        head = fill_spans(parts["thead"], pieces)
+        body = fill_spans(parts["tbody"], pieces)
+        body += fill_spans(parts["tfoot"], pieces, after=body)
+        rows = [row for _, _, row in head + body if row]
+        width = max((row[-1][0] + row[-1][1] for row in rows), default=0)
+        yield {"width": width, "names": column_names(head, body, width), "head": head, "body": body}
+        if which in (FIRST, LAST):
+            return
 
 
-def column_names(head, width):
-    """Column names from the heading rows.
+def column_names(head, body, width):
+    """Names of runs of columns: ``(name, base, nth, at, width)``.
 
     Several heading rows are joined by a blank, no heading row numbers the columns
-    from 0, an empty name becomes ``Unnamed: i`` and a repeated one gets ``.n``.
+    from 0, an empty name becomes ``Unnamed: i`` and a repeated one gets ``.n``. A run
+    of columns under the same headings is one entry, ``name`` being that of its first;
+    ``nth`` columns of the same ``base`` stand before it.
     """
-    names, used = [], {}
-    for column in range(width):
-        parts = dict.fromkeys(row[column] for row in head if row[column])
-        name = " ".join(parts) or (f"Unnamed: {column}" if head else str(column))
-        again = used.get(name, 0)
-        used[name] = again + 1
-        names.append(f"{name}.{again}" if again else name)
+    head = [row for _, _, row in head]
+    starts = {at for row in head for at, _, _ in row} | {at + n for row in head for at, n, _ in row}
+    if not head or any(not row or row[-1][0] + row[-1][1] < width for row in head):
+        starts |= {at for _, _, row in body for at, _, _ in row}
+    starts = sorted(at for at in starts | {0} if at < width)
+    coming = [list(reversed(row)) for row in head]
+    names, used, taken = [], {}, set()
+    for at, after in zip(starts, [*starts[1:], width]):
+        parts = {}
+        for row in coming:
+            while row and row[-1][0] + row[-1][1] <= at:
+                row.pop()
+            if row and row[-1][0] <= at and row[-1][2]:
+                parts[row[-1][2]] = None
+        base = " ".join(parts)
+        name = base or (f"Unnamed: {at}" if head else str(at))
+        nth = used.get(name, 0)
+        while nth and f"{name}.{nth}" in taken:
+            nth += 1
+        used[name] = nth + (after - at if base else 1)
+        names.append((f"{name}.{nth}" if nth else name, name, nth, at, after - at))
+        taken.add(names[-1][0])
     return names
 
 
@@ -323,57 +325,125 @@ def cell_text(cell, pieces):
     return BREAKS.sub(" ", "".join(pieces[cell.first : cell.end]).strip())
 
 
-def fill_spans(rows, pieces):
-    """Cell text per grid position: a spanning cell repeats over all it covers."""
-    if not any("rowspan" in c.given or "colspan" in c.given for cells in rows for c in cells):
-        return [[cell_text(cell, pieces) for cell in cells] for cells in rows]
-    filled, hanging, copies = [], {}, 0
-    coming = iter(rows)
-    while True:
-        cells = next(coming, None)
-        if cells is None and not hanging:
-            return filled
-        row, below = [], {}
-
-        def put(value, depth):
-            if depth > 1:
-                below[len(row)] = (value, depth - 1)
-            row.append(value)
-
-        for cell in cells or ():
-            while len(row) in hanging:
-                put(*hanging.pop(len(row)))
-            value, depth = cell_text(cell, pieces), span(cell.given.get("rowspan"), MAX_ROWSPAN)
-            for _ in range(span(cell.given.get("colspan"), MAX_COLSPAN)):
-                put(value, depth)
-        for column in sorted(hanging):
-            put(*hanging[column])
-        copies += len(row) - len(cells or ())
-        if copies > MAX_COPIES:
-            raise ValueError("cell spans repeat too often")
-        filled.append(row)
-        hanging = below
-
-
-def read_page(markup, tags, tables):
-    """One page as the UDF returns it. Whatever goes wrong stays with that page."""
-    if not markup or markup.isspace():
-        return {"error": "empty page"}
-    try:
-        elements, pieces = read_elements(markup, tags | CELLS if tables else tags)
-        return {
-            "elements": element_rows(elements, pieces, tags),
-            "tables": list(read_tables(elements, pieces)) if tables else [],
-        }
-    except Exception as problem:
-        return {"error": f"{type(problem).__name__}: {problem}"}
+def fill_spans(rows, pieces, after=()):
+    """Rows as ``(ix, times, cells)``, cells as ``(at, width, text)``.
+
+    A cell also stands in the rows that it hangs into. Column spans stay widths, whatever
+    their number, and cells that hang below the last row make rows that are written
+    once with the times they repeat, so no text is copied for a large span.
+    """
+    filled, hanging, ix = [], [], sum(times for _, times, _ in after)
+
+    def put(row, at, width, text, more):
+        row.append((at, width, text))
+        if more > 1:
+            hanging.append((at, width, text, more - 1))
+        return at + width
+
+    for cells in rows:
+        row, at, nth = [], 0, 0
+        waiting, hanging = hanging, []
+        for cell in cells:
+            while nth < len(waiting) and waiting[nth][0] <= at:
+                at = put(row, at, *waiting[nth][1:])
+                nth += 1
+            width = min(span(cell.given.get("colspan")), MOST - at)
+            depth = min(span(cell.given.get("rowspan")), MAX_ROWSPAN)
+            at = put(row, at, width, cell_text(cell, pieces), depth)
+        for start, width, text, more in waiting[nth:]:
+            at = put(row, max(at, start), width, text, more)
+        filled.append((ix, 1, row))
+        ix += 1
+    while hanging:
+        times = min(more for *_, more in hanging)
+        filled.append((ix, times, [cell[:3] for cell in hanging]))
+        ix += times
+        hanging = [(*cell, more - times) for *cell, more in hanging if more > times]
+    return filled
+
+
+class Pages:
+    """Output of several pages as flat lists, one per field, with list lengths."""
+
+    def __init__(self):
+        self.errors, self.texts, self.tables = [], [], {"width": [], "names": [], "head": [], "body": []}
+        self.counts = {"texts": [], "elements": [], "tables": []}
+        self.elements = {name: [] for name in ELEMENT_FIELDS}
+
+    def add(self, markup, tags, which):
+        """One page. Whatever goes wrong stays with that page."""
+        error, texts, elements, tables = None, [], [], []
+        if not markup or markup.isspace():
+            error = "empty page"
+        else:
+            try:
+                found, pieces = read_elements(markup, tags | CELLS if which else tags)
+                texts, before = page_texts(pieces)
+                tables = list(read_tables(found, pieces, which)) if which else []
+                elements = found
+            except Exception as problem:
+                error, texts = f"{type(problem).__name__}: {problem}", []
+        size = len(self.elements["ix"])
+        if elements:
+            write_elements(self.elements, elements, before, tags)
+        for table in tables:
+            for name, values in self.tables.items():
+                values.append(table[name])
+        self.errors.append(error)
+        self.texts += texts
+        self.counts["texts"].append(len(texts))
+        self.counts["elements"].append(len(self.elements["ix"]) - size)
+        self.counts["tables"].append(len(tables))
+
+    def array(self):
+        def records(values, fields):
+            columns = list(zip(*values)) or [[]] * len(fields)
+            return struct({f: pa.array(c, k) for (f, k), c in zip(fields.items(), columns)})
+
+        def rows_of(tables):
+            rows = [row for table in tables for row in table]
+            cells = records([cell for *_, row in rows for cell in row], CELL_FIELDS)
+            columns = {
+                "ix": pa.array([ix for ix, _, _ in rows], INTS),
+                "times": pa.array([times for _, times, _ in rows], INTS),
+                "cells": lists(cells, [len(row) for *_, row in rows]),
+            }
+            return lists(struct(columns), map(len, tables))
+
+        elements = struct({n: pa.array(self.elements[n], k) for n, k in ELEMENT_FIELDS.items()})
+        names = self.tables["names"]
+        tables = struct(
+            {
+                "width": pa.array(self.tables["width"], INTS),
+                "names": lists(records([n for t in names for n in t], NAME_FIELDS), map(len, names)),
+                "head": rows_of(self.tables["head"]),
+                "body": rows_of(self.tables["body"]),
+            }
+        )
+        return struct(
+            {
+                "error": pa.array(self.errors, TEXTS),
+                "texts": lists(pa.array(self.texts, TEXTS), self.counts["texts"]),
+                "elements": lists(elements, self.counts["elements"]),
+                "tables": lists(tables, self.counts["tables"]),
+            }
+        )
+
+
+def struct(columns):
+    return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+
+
+def lists(values, lengths):
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(lengths)], INTS), values)
 
 
 def page_reader(tags, tables):
     """Arrow UDF from markup to a ``PAGE`` struct with the elements of ``tags`` only.
 
-    It is declared nondeterministic so that no filter on its result is pushed below
-    it, which would parse every page twice.
+    ``tables`` says which tables are read: none, ``FIRST``, ``LAST`` or ``EVERY`` one. It
+    is declared nondeterministic so that no filter on its result is pushed below it,
+    which would parse every page twice.
     """
     tags = frozenset(tags)
 
@@ -381,17 +451,17 @@ def page_reader(tags, tables):
     def parse_page(markup: pa.Array) -> pa.Array:
         # Python objects take far more memory than Arrow arrays, so a batch is
         # converted in pieces of about CHUNK characters.
-        done, pages, size = [], [], 0
+        done, pages, size = [], Pages(), 0
         for page in markup.cast(pa.binary()):
             text = page.as_py()
             # Bytes that are no UTF-8 must not fail the other pages of the batch.
             text = None if text is None else text.decode("utf-8", "replace")
-            pages.append(read_page(text, tags, tables))
+            pages.add(text, tags, tables)
             size += len(text or "")
             if size >= CHUNK:
-                done.append(pa.array(pages, PAGE_ARROW))
-                pages, size = [], 0
-        return pa.concat_arrays([*done, pa.array(pages, PAGE_ARROW)])
+                done.append(pages.array())
+                pages, size = Pages(), 0
+        return pa.concat_arrays([*done, pages.array()])
 
     return parse_page.asNondeterministic()
 

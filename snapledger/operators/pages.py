@@ -7,6 +7,9 @@ page stays in its row, so none of these operators shuffles.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +21,6 @@ MISSING_CELLS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Most columns a table assembled from pages may have without being declared.
-MAX_COLUMNS = 10_000
-
 # First cells that mark a heading or total row of a grouped table.
 SUMMARY_MARKETS = ["market", "total", "summary"]
 
@@ -37,7 +37,9 @@ RELEASE_LABELS = [
 RELEASE_NOTE = "See full company information"
 
 
-def parse(pages: DataFrame, html_col: str = "html", tags=html.KEPT, tables: bool = True) -> DataFrame:
+def parse(
+    pages: DataFrame, html_col: str = "html", tags=html.KEPT, tables: str | None = html.EVERY
+) -> DataFrame:
     """Replace the markup by the parsed ``page``.
 
     ``tags`` and ``tables`` say what is needed, so that nothing else is copied out of
@@ -47,18 +49,6 @@ def parse(pages: DataFrame, html_col: str = "html", tags=html.KEPT, tables: bool
     return pages.select(*[c for c in pages.columns if c != html_col], page)
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Give every core some of the pages when a scan has fewer partitions than cores.
-
-    Reading markup costs far more time per byte than scanning it, so a single small
-    file should not be parsed by one task. A scan with enough partitions, as any
-    large one has, is returned as it is and its markup is never shuffled. Call it on
-    a scan: only its plan is looked at.
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
-
-
 def parse_failures(parsed: DataFrame, dataset: str, item: Column) -> DataFrame:
     """``(dataset, item, error)`` of the pages that could not be parsed."""
     return parsed.where(F.col("page.error").isNotNull()).select(
@@ -86,7 +76,9 @@ def _inside(element: Column) -> Column:
 
 
 def _text(element: Column, between: str = "") -> Column:
-    return F.array_join(element["strings"], between)
+    """Text of an element: its slice of the page's texts."""
+    texts = F.slice(F.col("page.texts"), element["first"] + 1, element["end"] - element["first"])
+    return F.array_join(texts, between)
 
 
 def _carry(parsed: DataFrame) -> list[str]:
@@ -105,15 +97,21 @@ def links(parsed: DataFrame, prefix: str, base_url: str = "") -> DataFrame:
     numbered repeated targets within the page, so keeping the first needs no shuffle.
     """
     matching = F.filter("page.elements", lambda e: (e["tag"] == "a") & e["href"].startswith(prefix))
+    found = F.transform(
+        matching,
+        lambda a: F.struct(
+            a["href"].alias("href"), a["nth"].alias("nth"), _text(a, " ").alias("text")
+        ),
+    )
     return (
-        parsed.select(*_carry(parsed), F.posexplode(matching).alias("pos", "a"))
+        parsed.select(*_carry(parsed), F.posexplode(found).alias("pos", "a"))
         .where(F.col("a.nth") == 0)
         .select(
             *_carry(parsed),
             "pos",
             F.col("a.href").alias("href"),
             text.absolute_url(base_url, F.col("a.href")).alias("url"),
-            text.blank_to_null(_text(F.col("a"), " ")).alias("text"),
+            text.blank_to_null(F.col("a.text")).alias("text"),
         )
     )
 
@@ -128,12 +126,32 @@ def labelled_link(prefix: str, label: str, base_url: str = "") -> Column:
 
 
 def table_rows(parsed: DataFrame) -> DataFrame:
-    """All tables to ``table_ix, row_ix, cells``; heading rows come first."""
+    """All tables to ``table_ix, row_ix, cells``; heading rows come first.
+
+    Here, and only here, a cell is repeated over all columns that it spans.
+    """
     carry = _carry(parsed)
-    return (
-        parsed.select(*carry, F.posexplode("page.tables").alias("table_ix", "t"))
-        .select(*carry, "table_ix", F.posexplode(F.concat("t.head", "t.body")).alias("row_ix", "cells"))
+    tables = parsed.select(*carry, F.posexplode("page.tables").alias("table_ix", "t"))
+    parts = F.array(F.struct(F.lit(0).alias("above"), F.col("t.head").alias("rows")),
+                    F.struct(_count("t.head").alias("above"), F.col("t.body").alias("rows")))
+    rows = (
+        tables.select(*carry, "table_ix", F.col("t.width").alias("_width"), F.explode(parts).alias("_p"))
+        .select(*carry, "table_ix", "_width", F.col("_p.above").alias("_above"), F.explode("_p.rows").alias("_r"))
+        .select(*carry, "table_ix", "_width", "_above", "_r", F.explode(_repeats("_r")).alias("_nth"))
     )
+    filled = F.flatten(F.transform("_r.cells", lambda c: F.array_repeat(c["text"], c["width"])))
+    rest = F.array_repeat(F.lit(""), F.col("_width") - F.size(filled))
+    row_ix = F.col("_above") + F.col("_r.ix") + F.col("_nth")
+    return rows.select(*carry, "table_ix", row_ix.alias("row_ix"), F.concat(filled, rest).alias("cells"))
+
+
+def _repeats(row: str) -> Column:
+    """0, 1, ... for the times that a row stands in its table."""
+    return F.sequence(F.lit(0), F.col(f"{row}.times") - 1)
+
+
+def _count(rows: str) -> Column:
+    return F.aggregate(rows, F.lit(0), lambda n, row: n + row["times"])
 
 
 def first_table() -> Column:
@@ -144,52 +162,104 @@ def last_table() -> Column:
     return F.try_element_at("page.tables", F.lit(-1))
 
 
-def table_records(parsed: DataFrame, table: Column) -> DataFrame:
-    """Body rows of one table per page: ``names, row_ix, cells`` (missing texts null)."""
-    carry = _carry(parsed)
-    return (
-        parsed.where(F.size(table["body"]) > 0)
-        .select(*carry, table["names"].alias("names"), table["body"].alias("body"))
-        .select(*carry, "names", F.posexplode("body").alias("row_ix", "cells"))
-        .withColumn(
-            "cells", F.transform("cells", lambda c: F.when(~c.isin(MISSING_CELLS), c))
+def has_columns(table: Column, required: Iterable[str]) -> Column:
+    """The table of a page has every required column."""
+    return F.size(absent_columns(table, required)) == 0
+
+
+def absent_columns(table: Column, required: Iterable[str]) -> Column:
+    names = F.transform(table["names"], lambda n: n["name"])
+    return F.array_except(F.array(*[F.lit(c) for c in sorted(required)]), names)
+
+
+def _position(table: Column, name: str) -> Column:
+    """Where a column stands in the table; ``X.2`` may be inside a run of columns ``X``."""
+    exact = F.transform(F.filter(table["names"], lambda n: n["name"] == name), lambda n: n["at"])
+    found = F.get(exact, 0)
+    repeated = re.fullmatch(r"(?s)(.*)\.(\d+)", name)
+    if repeated and int(repeated.group(2)) <= html.MOST:
+        base, nth = repeated.group(1), int(repeated.group(2))
+        within = F.filter(
+            table["names"],
+            lambda n: (n["base"] == base) & (n["nth"] <= nth) & (F.lit(nth) - n["nth"] < n["width"]),
         )
-    )
+        found = F.coalesce(found, F.get(F.transform(within, lambda n: n["at"] + nth - n["nth"]), 0))
+    return found
 
 
-def cell(name: str) -> Column:
-    """Value of the column ``name`` in a row of ``table_records``, null if it has none."""
-    return F.get("cells", F.array_position("names", F.lit(name)).cast("int") - 1)
+def _present(value: Column) -> Column:
+    return F.when(~value.isin(MISSING_CELLS), value)
 
 
-def discover_columns(records: DataFrame) -> list[str]:
-    """Every column name that occurs, in order of first position then name.
+def _extras() -> Column:
+    """Cells under headings that are not declared, by the name of their first column."""
 
-    One row per distinct name reaches the driver: they are about to become a schema.
-    More names than a schema can sensibly have are an error, never cut off.
-    """
-    names = (
-        records.where(F.col("row_ix") == 0)
-        .select(F.posexplode("names").alias("pos", "name"))
-        .groupBy("name")
-        .agg(F.min("pos").alias("pos"))
+    def under(heading):
+        cells = F.filter(
+            "_cells",
+            lambda c: (c["at"] < heading["at"] + heading["width"])
+            & (heading["at"] < c["at"] + c["width"]),
+        )
+
+        def entry(c):
+            nth = heading["nth"] + F.greatest(c["at"] - heading["at"], F.lit(0))
+            later = F.concat(heading["base"], F.lit("."), nth.cast("string"))
+            name = F.when(nth == heading["nth"], heading["name"]).otherwise(later)
+            return F.struct(name.alias("key"), _present(c["text"]).alias("value"))
+
+        return F.transform(cells, entry)
+
+    entries = F.filter(F.flatten(F.transform("_others", under)), lambda e: e["value"].isNotNull())
+    # A heading that reads like another's repeat is kept once.
+    once = F.filter(
+        entries,
+        lambda e, i: ~F.exists(F.slice(entries, F.lit(1), i), lambda before: before["key"] == e["key"]),
     )
-    found = names.orderBy("pos", "name").limit(MAX_COLUMNS + 1).collect()
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} column names, declare the wanted columns")
-    return [row["name"] for row in found]
+    return F.map_from_entries(once)
 
 
-def wide(records: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One string column per table column; those a page lacks are null."""
-    columns = discover_columns(records) if columns is None else columns
-    carry = [c for c in records.columns if c not in ("names", "row_ix", "cells", *columns)]
-    return records.select(*carry, *[cell(name).alias(name) for name in columns])
+def table_records(parsed: DataFrame, table: Column, columns: Iterable[str]) -> DataFrame:
+    """Body rows of one table per page: ``row_ix``, the declared ``columns`` and ``extras``.
 
+    Declared columns that a page lacks are null, and so are missing texts. Whatever else
+    the table has goes to the map ``extras``, by name, so that pages never decide the
+    schema. The page's own columns always win: a column named like one of them, in any
+    case, is only in ``extras``. Where a declared column stands is looked up once per
+    page.
+    """
+    carry = _carry(parsed)
+    taken = {c.lower() for c in [*carry, "row_ix", "extras"]}
+    declared = [c for c in columns if c.lower() not in taken]
+    places = {f"_at{i}": _position(table, name) for i, name in enumerate(declared)}
+    others = F.filter(table["names"], lambda n: ~n["name"].isin(declared))
+
+    def value(place):
+        at = F.filter("_cells", lambda c: (c["at"] <= F.col(place)) & (F.col(place) - c["at"] < c["width"]))
+        return _present(F.get(at, 0)["text"])
 
-def has_columns(required) -> Column:
-    """The table of a ``table_records`` row has every required column."""
-    return F.size(F.array_except(F.array(*[F.lit(c) for c in sorted(required)]), "names")) == 0
+    return (
+        parsed.where(F.size(table["body"]) > 0)
+        .select(
+            *carry,
+            *[at.alias(name) for name, at in places.items()],
+            others.alias("_others"),
+            F.explode(table["body"]).alias("_r"),
+        )
+        .select(
+            *carry,
+            *places,
+            "_others",
+            F.col("_r.cells").alias("_cells"),
+            F.col("_r.ix").alias("_ix"),
+            F.explode(_repeats("_r")).alias("_nth"),
+        )
+        .select(
+            *carry,
+            (F.col("_ix") + F.col("_nth")).alias("row_ix"),
+            *[value(place).alias(name) for place, name in zip(places, declared)],
+            _extras().alias("extras"),
+        )
+    )
 
 
 def sections(wanted: str) -> Column:
@@ -267,26 +337,28 @@ def grouped_rows(parsed: DataFrame, table_class: str, title_class: str | None) -
                 t["rows"],
                 lambda r: F.struct(
                     t["region"].alias("region"),
-                    F.filter(_inside(r), lambda e: e["tag"].isin("td", "th")).alias("cells"),
+                    F.transform(
+                        F.filter(_inside(r), lambda e: e["tag"].isin("td", "th")),
+                        lambda c: F.struct(_text(c).alias("joined"), _text(c, " ").alias("spaced")),
+                    ).alias("cells"),
                 ),
             ),
         )
     )
     full = F.filter(rows, lambda r: F.size(r["cells"]) >= 3)
-    third = text.digits_or_null(_text(F.get("r.cells", 2)))
+    third = text.digits_or_null(F.get("r.cells", 2)["joined"])
     is_wide = F.size("r.cells") >= 4
-    market = _text(F.get("r.cells", 0), " ")
+    market = F.get("r.cells", 0)["spaced"]
     return (
-        parsed.select(*carry, heading(title_class).alias("movie_title"), "page")
-        .select(*carry, "movie_title", F.explode(full).alias("r"))
+        parsed.select(*carry, heading(title_class).alias("movie_title"), F.explode(full).alias("r"))
         .where((market != "") & ~F.lower(market).isin(SUMMARY_MARKETS))
         .select(
             *carry,
             F.col("r.region").alias("region"),
             market.alias("market"),
-            text.text_or_null(_text(F.get("r.cells", 1))).alias("release_date"),
+            text.text_or_null(F.get("r.cells", 1)["joined"]).alias("release_date"),
             F.when(is_wide, third).alias("opening"),
-            F.when(is_wide, text.digits_or_null(_text(F.get("r.cells", 3))))
+            F.when(is_wide, text.digits_or_null(F.get("r.cells", 3)["joined"]))
             .otherwise(third)
             .alias("total_gross"),
             "movie_title",

@@ -20,6 +20,7 @@ from snapledger.sources import snapshots
 # The columns of the raw datasets.
 REVENUE_COLUMNS = ["Release Group", "Worldwide", "Domestic", "Foreign"]
 LOOKUP_COLUMNS = ["movie_title", "release_group_url", "domestic_release_url"]
+DAILY_COLUMNS = ["Date", "DOW", "Rank", "Daily", "Theaters", "Avg", "To Date", "Day"]
 METADATA_REQUIRED = ["release_id"]
 METADATA_OPTIONAL = [
     "movie_title",

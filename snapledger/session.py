@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -13,36 +12,55 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused directory below the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors can reach.
 
-    Only a local session without that setting falls back to a temporary folder:
-    on a cluster every executor has to see the same files.
+    It is the one named by ``spark.checkpoint.dir`` or given to the context as its
+    checkpoint folder. There is no other: a folder of one machine would lose rows.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="snapledger-")
-    return f"{shared.rstrip('/')}/snapledger/{label}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return named.rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back, so that several outputs share one computation.
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new, unused directory below the shared folder."""
+    return f"{shared_folder(spark)}/snapledger/{label}-{uuid.uuid4().hex}"
+
+
+def write_stage(df: DataFrame, label: str, codec: str = "snappy") -> tuple[DataFrame, str]:
+    """``df`` written once and read back, with its path.
 
-    A written table survives lost executors, which cached blocks do not.
+    A written table is computed once for several outputs, cuts the lineage, and
+    survives lost executors, which cached blocks do not.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read back."""
+    return write_stage(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more, on whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def row_bytes(df: DataFrame):
-    """Column with the approximate size of a row: text by length, other types flat."""
+    """Column with the approximate size of a row: texts, binaries and nested values measured."""
     size = F.lit(16 * len(df.columns))
     for name, kind in df.dtypes:
-        if kind == "string":
-            size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        column = F.col(f"`{name}`")
+        if kind.startswith(("array", "struct", "map", "variant")):
+            column = F.to_json(F.struct(column))
+        elif kind not in ("string", "binary"):
+            continue
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
     return size.cast("long")
 
 

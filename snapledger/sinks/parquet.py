@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from snapledger.session import discard
 from snapledger.sources.snapshots import DATE
 
 
@@ -37,12 +40,35 @@ def published_path(root: str, name: str, major: int) -> str:
     return f"{root.rstrip('/')}/published_tables/{name}/v{major}"
 
 
-def publish(df: DataFrame, root: str, name: str, major: int) -> int:
-    """Replace version ``major`` of a published table; returns the number of rows."""
+def publish(df: DataFrame, root: str, name: str, major: int, keys: list[str]) -> int:
+    """Replace version ``major`` of a published table, by ``keys``; returns the rows.
+
+    New files are written beside the old ones and put in their place, partition by
+    partition, only when all tasks are done, so a failed publish leaves readers what
+    they had. Partitions that the new table does not have go last. A table without any
+    row is an error and replaces nothing.
+    """
+    spark, path = df.sparkSession, published_path(root, name, major)
     rows = Observation()
     (
-        df.observe(rows, F.count(F.lit(1)).alias("rows"))
+        df.hint("rebalance", *keys)
+        .observe(rows, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
-        .parquet(published_path(root, name, major))
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys)
+        .parquet(path)
     )
+    if not rows.get["rows"]:
+        raise ValueError(f"no rows to publish as {name}")
+    landed = read_published(spark, root, name, major, df.schema).select(*keys).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys])
+    gone = landed.alias("l").join(df.select(*keys).distinct().alias("d"), same, "left_anti")
+    for row in gone.collect():
+        parts = [f"{k}={'__HIVE_DEFAULT_PARTITION__' if row[k] is None else row[k]}" for k in keys]
+        discard(spark, "/".join([path, *parts]))
     return rows.get["rows"]
+
+
+def read_published(spark: SparkSession, root: str, name: str, major: int, schema) -> DataFrame:
+    """A published table; empty when none of its rows are left."""
+    return spark.read.schema(schema).parquet(published_path(root, name, major))

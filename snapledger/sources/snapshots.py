@@ -19,6 +19,9 @@ from snapledger.session import (
 
 DATE = "scraped_date"
 
+# How Spark says that a dataset has no files, or none yet.
+NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 # Up to this many (key, date) pairs become literal partition filters.
 MAX_LITERAL_PAIRS = 2_000
 
@@ -50,7 +53,7 @@ def read_snapshots(
         fields = [f for f in fields if f.name not in keys.names] + keys.fields
         return spark.read.schema(T.StructType(fields)).parquet(base)
     except AnalysisException as problem:
-        if not missing_ok or problem.getCondition() != "PATH_NOT_FOUND":
+        if not missing_ok or problem.getCondition() not in NO_FILES:
             raise
         return spark.createDataFrame([], T.StructType(fields or keys.fields))
 

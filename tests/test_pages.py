@@ -44,10 +44,11 @@ def test_heading_by_class(parsed):
 
 def test_first_and_last_table(parsed):
     page = of(parsed, "/year/world/2023")
-    first = page_ops.wide(page_ops.table_records(page, page_ops.first_table()))
-    assert first.columns == ["page_key", "Rank", "Release Group", "Worldwide", "Domestic", "Foreign"]
+    first = page_ops.table_records(page, page_ops.first_table(), ["Release Group", "Foreign"])
+    assert first.columns == ["page_key", "row_ix", "Release Group", "Foreign", "extras"]
     assert [r["Release Group"] for r in first.collect()] == ["Gamma", None]
-    last = page_ops.wide(page_ops.table_records(page, page_ops.last_table()))
+    assert first.first()["extras"] == {"Rank": "1", "Worldwide": "$77", "Domestic": "$7"}
+    last = page_ops.table_records(page, page_ops.last_table(), ["0"])
     assert [r["0"] for r in last.collect()] == ["notes"]
 
 
@@ -61,15 +62,33 @@ def test_table_rows_have_headings_first(parsed):
     ]
 
 
-def test_wide_fills_missing_columns(spark):
+def records(spark, markup, columns, **more):
+    pages = spark.createDataFrame([(1, markup)], "k int, html string")
+    return page_ops.table_records(page_ops.parse(pages), page_ops.first_table(), columns).collect()
+
+
+def test_columns_are_declared_and_the_rest_is_extra(spark):
     pages = spark.createDataFrame(
         [(1, "<table><tr><th>a<th>b<tr><td>1<td>2</table>"), (2, "<table><tr><th>b<th>c<tr><td>3<td>4</table>")],
         "k int, html string",
     )
-    records = page_ops.table_records(page_ops.parse(pages), page_ops.first_table())
-    rows = page_ops.wide(records).orderBy("k")
-    assert rows.columns == ["k", "a", "b", "c"]
-    assert [tuple(r) for r in rows.collect()] == [(1, "1", "2", None), (2, None, "3", "4")]
+    rows = page_ops.table_records(page_ops.parse(pages), page_ops.first_table(), ["a", "b"]).orderBy("k")
+    assert [tuple(r) for r in rows.collect()] == [(1, 0, "1", "2", {}), (2, 0, None, "3", {"c": "4"})]
+
+
+def test_keys_of_the_page_win(spark):
+    (row,) = records(spark, "<table><tr><th>K<th>k<th>Date<th>date<tr><td>1<td>2<td>3<td>4</table>", ["k", "Date"])
+    assert row.asDict() == {"k": 1, "row_ix": 0, "Date": "3", "extras": {"K": "1", "k": "2", "date": "4"}}
+
+
+def test_columns_within_spans(spark):
+    markup = (
+        "<table><tr><th colspan=3>X<th>Y<th>X<tr><td>1<td colspan=2>2<td>3<td>4"
+        "<tr><td colspan=2000000000>5<tr><td>6</table>"
+    )
+    rows = records(spark, markup, ["X.1", "X.2", "X.3", "Y"])
+    assert [tuple(r)[2:6] for r in rows] == [("2", "2", "4", "3"), ("5", "5", "5", "5"), (None,) * 4]
+    assert [r["extras"].get("X") for r in rows] == ["1", "5", "6"]
 
 
 def test_required_columns_per_table(spark):
@@ -77,9 +96,9 @@ def test_required_columns_per_table(spark):
         [(1, "<table><tr><th>a<th>b<tr><td>1<td>2</table>"), (2, "<table><tr><th>a<tr><td>3<tr><td>4</table>")],
         "k int, html string",
     )
-    records = page_ops.table_records(page_ops.parse(pages), page_ops.first_table())
-    assert [r["k"] for r in ds.accepted(records, ["a", "b"]).collect()] == [1]
-    refused = ds.refused(records, "d", F.col("k"), ["a", "b"]).collect()
+    parsed, first = page_ops.parse(pages), page_ops.first_table()
+    assert [r["k"] for r in parsed.where(page_ops.has_columns(first, ["a", "b"])).collect()] == [1]
+    refused = ds.refused(parsed, first, "d", F.col("k"), ["a", "b"]).collect()
     assert [tuple(r) for r in refused] == [("d", "2", "missing columns: b")]
 
 
@@ -161,7 +180,7 @@ def test_page_operators_parse_once_and_never_shuffle(spark, parsed, plan):
         page_ops.links(parsed, "/", site.BASE),
         parsed.select("page_key", page_ops.heading().alias("h"), link),
         page_ops.table_rows(parsed),
-        page_ops.wide(page_ops.table_records(parsed, page_ops.last_table()), ["Date"]),
+        page_ops.table_records(parsed, page_ops.last_table(), ["Date"]),
         page_ops.release_metadata(parsed, ds.SECTION_CLASS, ds.TITLE_CLASS),
         page_ops.grouped_rows(parsed, ds.REGION_CLASS, ds.TITLE_CLASS),
         page_ops.parse_failures(parsed, "d", F.col("page_key")),
@@ -170,11 +189,3 @@ def test_page_operators_parse_once_and_never_shuffle(spark, parsed, plan):
         text = plan(frame)
         assert text.count("ArrowEvalPython") == 1
         assert "Exchange" not in text
-
-
-def test_spread_only_when_there_are_too_few_partitions(spark, tmp_path, plan):
-    path = str(tmp_path / "p")
-    spark.range(100).coalesce(1).write.parquet(path)
-    assert "Exchange" in plan(page_ops.spread(spark.read.parquet(path)))
-    many = spark.range(0, 100, 1, numPartitions=16)
-    assert "Exchange" not in plan(page_ops.spread(many))

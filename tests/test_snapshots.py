@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import pandas as pd
 import pytest
@@ -185,13 +186,28 @@ def test_union_by_name_with_both_kinds_in_one_directory(spark, tmp_path):
 
 def test_publish_is_versioned_and_replaces(spark, tmp_path):
     root = str(tmp_path)
-    assert publish(spark.range(5), root, "daily_ranks", 1) == 5
-    assert publish(spark.range(3), root, "daily_ranks", 1) == 3
-    assert publish(spark.range(7), root, "daily_ranks", 2) == 7
+
+    def days(n):
+        return spark.range(n).withColumn("day", F.col("id") % 4)
+
+    assert publish(days(5), root, "daily_ranks", 1, ["day"]) == 5
+    assert publish(days(3), root, "daily_ranks", 1, ["day"]) == 3
+    assert publish(days(7), root, "daily_ranks", 2, ["day"]) == 7
     assert spark.read.parquet(published_path(root, "daily_ranks", 1)).count() == 3
     assert published_path(root, "daily_ranks", 2).endswith("/published_tables/daily_ranks/v2")
 
 
+def test_failed_or_empty_publish_leaves_what_is_there(spark, tmp_path):
+    root, rows = str(tmp_path), spark.range(8).withColumn("day", F.col("id") % 4)
+    publish(rows, root, "t", 1, ["day"])
+    broken = rows.withColumn("id", F.when(F.col("day") < 3, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        publish(broken, root, "t", 1, ["day"])
+    with pytest.raises(ValueError, match="no rows"):
+        publish(rows.limit(0), root, "t", 1, ["day"])
+    assert spark.read.parquet(published_path(root, "t", 1)).count() == 8
+
+
 def test_refresh_table(spark):
     refresh_table(spark.range(5), "layer_table")
     refresh_table(spark.range(2), "layer_table")
@@ -206,7 +222,18 @@ def test_broadcast_only_below_the_bound(spark, plan):
 
 
 def test_scratch_path_is_below_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir")
     path = session.scratch_path(spark, "x")
     assert path != session.scratch_path(spark, "x")
-    assert not shared or path.startswith(shared)
+    assert path.startswith(shared)
+
+
+def test_nested_columns_are_measured(spark):
+    nested = spark.range(3).select(F.array(F.lit("x" * 1000)).alias("a"))
+    assert nested.select(session.row_bytes(nested).alias("n")).first()["n"] > 1000
+
+
+def test_staged_tables_are_removed(spark, tmp_path):
+    _, path = session.write_stage(spark.range(3), "gone")
+    session.discard(spark, path)
+    assert not os.path.exists(path)
