@@ -10,7 +10,10 @@ import snapledger
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.session import scratch_path
+from snapledger.session import discard
+from snapledger.session import write_stage as staged
+
+__all__ = ["components", "discard", "hex64", "ship", "staged", "table"]
 
 MAX_ROUNDS = 200
 _SHIPPED: set[str] = set()
@@ -34,22 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str, codec: str = "snappy") -> tuple[DataFrame, str]:
-    """``df`` written once below the shared folder and read back, with its path.
-
-    A written table cuts the lineage and outlives lost executors.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a staged table that nothing reads any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def hex64(value) -> F.Column:
     """A long as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))
