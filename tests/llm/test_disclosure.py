@@ -1,0 +1,84 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+from snapledger.llm.disclosure import base_spans, masked, personal_data
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+PARTS = [
+    "a", "b@c.d", "x.y@z-w.co.uk", "@", ".", "-", "_", "%", "4337166598464399", "4337 1665 9846 4399",
+    "+1 (389) 555-5010", "+", "12", "255", "256", "1.2.3.4", "001.02.3.255", "1.2.3", "..", " ", "  ", "(", ")",
+    "é", "日", "\n", "0", "7", "a@b.c_x@d.e", "a@b.c@d.e", "@d.e",
+]
+
+
+def luhn(number):
+    total = 0
+    for i, digit in enumerate(reversed(number)):
+        value = int(digit) * (2 if i % 2 else 1)
+        total += value - 9 if value > 9 else value
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text):
+            number = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card" and not (14 <= len(number) <= 19 and luhn(number)):
+                continue
+            if kind == "phone" and not 10 <= len(number) <= 15:
+                continue
+            out.append((m.start(), rank, kind, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_are_those_of_the_plain_patterns(docs):
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(PARTS, k=draw.randint(0, 14))) for _ in range(2500)]
+    texts += ["", "1" * 30000, "a" * 3000 + "@", "a." * 3000 + "@b" + ".c" * 20000, "7 " * 20000]
+    rows = docs(list(enumerate(texts))).select("doc_id", base_spans(F.col("text")).alias("b")).collect()
+    for row in rows:
+        found = [(s.start, s.rank, s.kind, s.end) for s in row.b]
+        assert found == plain_spans(texts[row.doc_id])
+
+
+def test_terms_that_reveal_an_entity(docs):
+    mail = "ann.bee@mail.example"
+    rows = [(i, f"the Kestrel project of {mail} is the best of the lot") for i in range(6)]
+    rows += [(10 + i, "the lot of the best is here and the best is there") for i in range(60)]
+    rows += [(90, "Kestrelling is no term"), (91, "is the lot here? x@y.example"), (92, None), (93, ""), (6, rows[0][1])]
+    frame = docs(rows)
+    got = {}
+    for r in personal_data(frame, generalise=0.6, remove=0.9, support=3).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert sum(map(len, got.values())) == len(rows)
+    text = rows[0][1]
+    for i in range(7):
+        (row,) = got[i]
+        kinds = {text[s.start : s.end]: s.kind for s in row.spans}
+        assert kinds == {mail: "email", "Kestrel": "term", "project": "term"}
+        assert [s.kind for s in row.base] == ["email"]
+    assert all(not r.spans for i in got for r in got[i] if i in (10, 90, 92, 93))
+    assert [s.kind for s in got[91][0].spans] == ["email"]
+    masks = personal_data(frame).where("doc_id = 1").select(masked(F.col("text"), F.col("spans")).alias("m")).first().m
+    assert masks == "the   of [EMAIL] is the best of the lot"
+    assert got[1][0].block == 5 and got[1][0].lang == "en"
+
+
+def test_masks_of_overlapping_spans(docs):
+    text = "call +4337166598464399 now"
+    frame = docs([(1, text)]).select("text", base_spans(F.col("text")).alias("spans"))
+    row = frame.select("spans", masked(F.col("text"), F.col("spans")).alias("m")).first()
+    assert "4337" not in row.m and row.m.startswith("call ") and row.m.endswith(" now")
+
+
+def test_empty_table(docs):
+    assert personal_data(docs([])).count() == 0

@@ -1,0 +1,112 @@
+import itertools
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from snapledger.llm import toxicity
+from snapledger.llm.toxicity import Model, expectations, marginals, toxic_spans, train
+
+BAD = ["scum", "worthless", "vequte", "vequlan", "vequris"]
+
+
+def model():
+    return Model({}, 0.0, np.array([0.3, -0.4]), np.array([[0.5, -0.2], [-0.6, 0.8]]), 1.0, 0.0)
+
+
+def paths(emission, m):
+    weight = {}
+    for path in itertools.product((0, 1), repeat=len(emission)):
+        score = m.start[path[0]] + sum(e for e, y in zip(emission, path) if y)
+        score += sum(m.change[a, b] for a, b in zip(path, path[1:]))
+        weight[path] = np.exp(score)
+    total = sum(weight.values())
+    return {path: w / total for path, w in weight.items()}
+
+
+def test_marginals_are_sums_over_all_paths():
+    draw, m = np.random.default_rng(1), model()
+    docs = [draw.normal(0, 2, n) for n in (1, 5, 9, 2, 1, 7)]
+    first = np.concatenate([[True] + [False] * (len(d) - 1) for d in docs])
+    got = np.split(marginals(np.concatenate(docs), first, m), np.cumsum([len(d) for d in docs])[:-1])
+    for emission, p in zip(docs, got):
+        every = paths(emission, m)
+        want = [sum(w for path, w in every.items() if path[t]) for t in range(len(emission))]
+        assert p == pytest.approx(want)
+
+
+def test_long_documents_do_not_underflow():
+    n = 20_000
+    first = np.zeros(n, bool)
+    first[0] = True
+    emission = np.where(np.arange(n) % 500 == 0, 12.0, -12.0)
+    p = marginals(emission, first, model())
+    assert np.isfinite(p).all() and (p > 0.5).sum() == n // 500
+
+
+def test_expectations_are_sums_over_all_paths():
+    m, emission = model(), np.array([[0.5, -1.0, 2.0], [1.0, 0.3, 0.0]])
+    inside = np.array([[True, True, True], [True, True, False]])
+    p, pairs = expectations(emission, inside, m)
+    want = np.zeros((2, 2))
+    for row, n in ((0, 3), (1, 2)):
+        every = paths(emission[row, :n], m)
+        for t in range(n):
+            assert p[row, t] == pytest.approx(sum(w for path, w in every.items() if path[t]))
+        for path, w in every.items():
+            for a, b in zip(path, path[1:]):
+                want[a, b] += w
+    assert pairs == pytest.approx(want)
+
+
+def corpus(count, seed):
+    draw = random.Random(seed)
+    rows = []
+    for i in range(count):
+        toxic = int(draw.random() < 0.25)
+        words = ["".join(draw.choices("abdefgh", k=draw.randint(2, 6))) for _ in range(draw.randint(5, 80))]
+        for _ in range(draw.randint(1, 3) if toxic else 0):
+            words.insert(draw.randrange(len(words)), draw.choice(BAD) + draw.choice(["", ",", "."]))
+        rows.append((i, " ".join(words).capitalize(), toxic))
+    return rows
+
+
+def test_held_out_documents(docs, shared):
+    rows = corpus(900, 5)
+    frame = docs([r[:2] for r in rows])
+    labels = shared.createDataFrame([(i, t) for i, _, t in rows] + [(3, None), (None, 1)], "doc_id long, toxic int")
+    learnt = labels.where(~toxicity.held_out("doc_id"))
+    fitted = train(frame, learnt)
+    held = {r.doc_id for r in labels.where(toxicity.held_out("doc_id")).collect()}
+    got = {r.doc_id: r for r in toxic_spans(frame, fitted).collect()}
+    right = sum(got[i].predicted == t for i, _, t in rows if i in held)
+    assert right >= 0.97 * len(held)
+    for i, text, toxic in rows:
+        for span in got[i].spans:
+            assert text[span.start : span.end].lower().strip(".,") in BAD
+    odd = docs([(1, None), (2, ""), (2, ""), (None, "scum"), (4, " \n "), (5, "fine " * 40000 + "Scum!")])
+    by = [(r.doc_id, r.predicted, len(r.spans)) for r in toxic_spans(odd, fitted).collect()]
+    assert sorted(by, key=str) == sorted(
+        [(1, 0, 0), (2, 0, 0), (2, 0, 0), (None, 1, 1), (4, 0, 0), (5, 1, 1)], key=str
+    )
+    assert toxic_spans(docs([]), fitted).count() == 0
+    kept = toxic_spans(docs([(1, "x")]), fitted, keep=["doc_id", "text", "block"]).first()
+    assert (kept.doc_id, kept.text, kept.block) == (1, "x", 5)
+
+
+def test_nothing_to_learn_from(docs, shared):
+    none = shared.createDataFrame([], "doc_id long, toxic int")
+    fitted = train(docs([(1, "a b")]), none)
+    (row,) = toxic_spans(docs([(1, "a b")]), fitted).collect()
+    assert 0 <= row.score <= 1 and row.spans == []
+
+
+def test_held_out_rule(shared):
+    row = shared.range(1).select(F.lit(17).alias("i")).select((F.crc32(F.lit("17").cast("binary")) % 5 == 0).alias("w"), toxicity.held_out("i").alias("h")).first()
+    assert row.w == row.h
+
+
+def test_sample_slices(shared):
+    scores, spans = toxicity.score_slice(pa.array([None, "", "a"]), model())
+    assert len(scores) == 3 and len(spans) == 3
