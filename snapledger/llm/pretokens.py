@@ -22,9 +22,9 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Runs that a worker remembers; beyond it starts anew.
-MAX_RUNS = 1_000_000
+MAX_RUNS = 400_000
 # Bytes of text that are taken at once.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 # White space as Unicode counts it and what Python adds to it, for RE2.
 SPACE = (
@@ -198,10 +198,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def slices(
+    batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """A batch in parts of limited text, each of one row at least."""
     sizes = np.asarray(pc.binary_length(batch[column]).fill_null(0), np.int64)
-    part = np.cumsum(sizes) // SLICE_BYTES
+    part = np.cumsum(sizes) // size
     edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1), len(sizes)]
     for start, end in zip(edges, edges[1:]):
         if end > start:

@@ -25,6 +25,8 @@ STEPS, RATE, RIDGE = 80, 0.2, 1e-3
 # Marginals from here on belong to a span.
 SPAN = 0.5
 SCAN = 64
+# Bytes of text that are scored at once; a token takes some 300 bytes meanwhile.
+TEXT_AT_ONCE = 2_000_000
 COPY_KEYS = 6
 TOKEN = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 EDGE = ".,;:!?|\"'()[]{}<>*_-“”„«»…"
@@ -381,7 +383,7 @@ def toxic_spans(docs: DataFrame, model: Model, keep: list[str] | None = None) ->
 
     def rate(batches):
         for batch in batches:
-            for part in slices(batch, "_scored"):
+            for part in slices(batch, "_scored", TEXT_AT_ONCE):
                 score, spans = score_slice(part["_scored"], model)
                 yield pa.RecordBatch.from_arrays(
                     [
