@@ -180,3 +180,68 @@ def id_from_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id", text.id_from_url(F.col("url"), r"/([0-9]+)/").alias("id")
     )
+
+
+# Shapes of texts that pages have, by number; K stands for the row's key.
+OPENINGS = [
+    ("$1 $K,000\n 3,K theaters", "K000", "3K"),
+    ("$K", "K", None),
+    ("3,K theaters / $K", "K", "3K"),
+    ("12 Theaters 7 THEATERS", None, "7"),
+    (" \t", None, None),
+    ("K million", None, None),
+    (None, None, None),
+]
+NOTES = [
+    ("A See full company information", "A"),
+    ("See full company informationSee full company information", ""),
+    (" KSee full company information B ", "K B"),
+    ("see full company information", "see full company information"),
+    ("\u3000K\u3000", "K"),
+    (None, None),
+]
+COUNTS = [("K theaters", "K"), (" \n1,K of 9", "1K"), ("about K", None), ("", None), ("\u3000K", "K"), (None, None)]
+
+
+def shape(shapes):
+    """Column with the text of each row's shape."""
+    key = F.col("l_orderkey").cast("string")
+    column = F.lit(None).cast("string")
+    for i, (given, *_) in enumerate(shapes):
+        if given is not None:
+            value = F.replace(F.lit(given), F.lit("K"), key)
+            column = F.when(F.col("l_orderkey") % len(shapes) == i, value).otherwise(column)
+    return column
+
+
+def shape_sql(shapes, at: int) -> str:
+    """SQL with what each row's shape has to give."""
+    cases = "".join(
+        f" WHEN {i} THEN replace('{shape[at]}', 'K', CAST(l_orderkey AS VARCHAR))"
+        for i, shape in enumerate(shapes)
+        if shape[at] is not None
+    )
+    return f"CASE l_orderkey % {len(shapes)}{cases} END"
+
+
+LINE = "l_orderkey, l_partkey, l_linenumber"
+
+
+@query(f"SELECT {LINE}, {shape_sql(OPENINGS, 1)} AS amount, {shape_sql(OPENINGS, 2)} AS theaters FROM lineitem")
+def opening_shapes(spark, sf_dir):
+    opening = shape(OPENINGS)
+    return table(spark, sf_dir, "lineitem").select(
+        *LINE.split(", "),
+        text.opening_amount(opening).alias("amount"),
+        text.opening_theaters(opening).alias("theaters"),
+    )
+
+
+@query(f"SELECT {LINE}, {shape_sql(NOTES, 1)} AS distributor, {shape_sql(COUNTS, 1)} AS widest FROM lineitem")
+def note_shapes(spark, sf_dir):
+    phrase = "See full company information"
+    return table(spark, sf_dir, "lineitem").select(
+        *LINE.split(", "),
+        text.strip_phrase(shape(NOTES), phrase).alias("distributor"),
+        text.first_number(shape(COUNTS)).alias("widest"),
+    )

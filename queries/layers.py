@@ -17,9 +17,9 @@ from queries.pages import (
     parse,
     part_releases,
 )
-from queries.registry import BASE_URL, markup, query, table
+from queries.registry import BASE_URL, markup, money, query, table
 from snapledger.functions import html
-from snapledger.operators import checks
+from snapledger.operators import checks, coverage
 from snapledger.operators import pages as page_ops
 from snapledger.plans import daily, layers
 from snapledger.plans import datasets as ds
@@ -429,3 +429,106 @@ def daily_run_failures(spark, sf_dir):
     twice = pages.where(number % 5 == 0).withColumn("page_key", F.concat("page_key", F.lit("again")))
     root, result = run_site(spark, sf_dir, pages.unionByName(twice))
     return result.failed_items(spark).where("dataset <> 'daily_ranks'")
+
+
+def mixed_lake(spark, sf_dir) -> str:
+    """Revenue snapshots whose files differ: numbers, texts, only nulls, more columns."""
+    base, orders = scratch_path(spark, "mixed"), table(spark, sf_dir, "orders")
+    keys = {"release_year": F.year("o_orderdate"), "scraped_date": F.trunc("o_orderdate", "month")}
+    title = markup("Film ", F.col("o_orderkey")).alias("Release Group")
+    whole = F.floor("o_totalprice")
+    kinds = {
+        "O": [whole.alias("Worldwide"), (whole / 2).alias("Domestic")],
+        "F": [money(whole).alias("Worldwide"), F.lit(None).cast("string").alias("Domestic")],
+        "P": [F.lit(None).cast("int").alias("Worldwide"), F.lit("x").alias("More"), whole.alias("Foreign")],
+    }
+    for status, columns in kinds.items():
+        rows = orders.where(F.col("o_orderstatus") == status).withColumns(keys)
+        rows.select(title, *columns, *keys).write.mode("append").partitionBy(*keys).parquet(base)
+    return base
+
+
+WHOLE = "CAST(floor(o_totalprice) AS BIGINT)"
+
+
+@query(
+    f"""
+    SELECT 'Film ' || o_orderkey AS title,
+           CAST(coalesce(try_cast(CASE o_orderstatus WHEN 'O' THEN substring(CAST({WHOLE} AS VARCHAR), 2)
+                WHEN 'F' THEN CAST({WHOLE} AS VARCHAR) END AS INTEGER), 0) AS INTEGER) AS revenue,
+           CAST(coalesce(try_cast(CASE o_orderstatus WHEN 'P' THEN
+                substring(CAST({WHOLE} AS VARCHAR), 2) END AS INTEGER), 0) AS INTEGER) AS foreign_rev,
+           CAST(date_trunc('month', o_orderdate) AS DATE) AS loaded_date,
+           CAST(year(o_orderdate) AS INTEGER) AS release_year
+    FROM orders
+    """
+)
+def raw_mixed_files(spark, sf_dir):
+    """Files of differing types and columns through the raw and cleaned layers."""
+    raw = layers.raw_revenue(spark, mixed_lake(spark, sf_dir), mixed=True)
+    return layers.cleaned_revenue(raw).drop("domestic_rev")
+
+
+@query(PUBLISHED_SQL)
+def models_as_tables(spark, sf_dir):
+    """The published model as a table, built from its raw and cleaned tables' models."""
+    root = scratch_path(spark, "models")
+    rows = spark.read.parquet(revenue_lake(spark, sf_dir))
+    write_snapshot(rows, f"{root}/raw/worldwide_box_office", "release_year")
+    names = [f"{layer}.worldwide_box_office" for layer in ("raw", "cleaned", "published")]
+    layers.refresh_models(spark, root, names, RUN_TS)
+    return spark.table("published.worldwide_box_office")
+
+
+@query(
+    """
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS release_year, CAST(count(*) AS BIGINT) AS rows,
+           CAST(1 AS BIGINT) AS stamps, 'timestamp_ntz' AS kind, true AS recent
+    FROM orders GROUP BY ALL
+    """
+)
+def published_stamp(spark, sf_dir):
+    """Without a given time, every row has the one UTC time of the query."""
+    published = layers.published_revenue(cleaned_revenue(spark, sf_dir))
+    stamp = F.col("published_timestamp_utc")
+    now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    old = F.lit((now - datetime.timedelta(hours=1)).isoformat(sep=" ")).cast("timestamp_ntz")
+    late = F.lit((now + datetime.timedelta(hours=3)).isoformat(sep=" ")).cast("timestamp_ntz")
+    return published.groupBy("release_year").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct(stamp).alias("stamps"),
+        F.max(F.typeof(stamp)).alias("kind"),
+        F.bool_and(stamp.between(old, late)).alias("recent"),
+    )
+
+
+@query(
+    """
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS release_year, 'latest two' AS request,
+           CAST(count(*) AS BIGINT) AS rows
+    FROM orders WHERE year(o_orderdate) IN (1996, 1995) GROUP BY ALL
+    UNION ALL
+    SELECT CAST(year(o_orderdate) AS INTEGER), 'since', CAST(count(*) AS BIGINT)
+    FROM orders WHERE year(o_orderdate) BETWEEN 1994 AND 1996 GROUP BY ALL
+    UNION ALL
+    SELECT CAST(year(o_orderdate) AS INTEGER), 'until', CAST(count(*) AS BIGINT)
+    FROM orders WHERE year(o_orderdate) BETWEEN 1977 AND 1993 GROUP BY ALL
+    UNION ALL
+    SELECT CAST(year(o_orderdate) AS INTEGER), 'named', CAST(count(*) AS BIGINT)
+    FROM orders WHERE year(o_orderdate) IN (1992, 1998) GROUP BY ALL
+    """
+)
+def requested_years(spark, sf_dir):
+    """Orders of the years that each kind of request asks for."""
+    as_of = datetime.date(1996, 5, 1)
+    asked = {
+        "latest two": coverage.requested_years(as_of),
+        "since": coverage.requested_years(as_of, start=1994),
+        "until": coverage.requested_years(as_of, end=1993),
+        "named": coverage.requested_years(as_of, [1992, 1998]),
+    }
+    pairs = [(name, year) for name, years in asked.items() for year in years]
+    wanted = spark.createDataFrame(pairs, "request string, release_year int")
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("release_year"))
+    found = orders.join(F.broadcast(wanted), "release_year")
+    return found.groupBy("release_year", "request").agg(F.count(F.lit(1)).alias("rows"))

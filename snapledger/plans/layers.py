@@ -16,6 +16,7 @@ from snapledger.functions import text
 from snapledger.operators import checks
 from snapledger.sinks.parquet import refresh_table
 from snapledger.sources import snapshots
+from snapledger.sources.union_by_name import read_text_by_name
 
 # The columns of the raw datasets.
 REVENUE_COLUMNS = ["Release Group", "Worldwide", "Domestic", "Foreign"]
@@ -60,21 +61,28 @@ PUBLISHED_SCHEMA = T.StructType(
 _with_file = snapshots.with_source_file
 
 
-def raw_revenue(spark: SparkSession, base: str) -> DataFrame:
+def _raw(spark, base, key, columns, mixed, missing_ok=True) -> DataFrame:
+    """Declared columns of a raw dataset; ``mixed`` reads files of any types as text."""
+    kind = _key_type(key)
+    if mixed:
+        own = [c for c in columns if c != key]
+        return read_text_by_name(spark, base, own, {key: kind, snapshots.DATE: "date"})
+    return _with_file(snapshots.read_snapshots(spark, base, key, kind, columns, missing_ok))
+
+
+def raw_revenue(spark: SparkSession, base: str, mixed: bool = False) -> DataFrame:
     """Revenue snapshots with year and date taken from the file path.
 
     They feed the published table, so a dataset that is not there is an error here: it
     must not replace what is published by nothing.
     """
-    rows = snapshots.read_snapshots(
-        spark, base, "release_year", columns=REVENUE_COLUMNS, missing_ok=False
-    )
-    return snapshots.with_path_values(_with_file(rows), "release_year")
+    rows = _raw(spark, base, "release_year", REVENUE_COLUMNS, mixed, missing_ok=False)
+    return snapshots.with_path_values(rows, "release_year")
 
 
-def raw_lookup(spark: SparkSession, base: str) -> DataFrame:
+def raw_lookup(spark: SparkSession, base: str, mixed: bool = False) -> DataFrame:
     """Groups with their domestic releases, by year."""
-    return _with_file(snapshots.read_snapshots(spark, base, "release_year", columns=LOOKUP_COLUMNS))
+    return _raw(spark, base, "release_year", LOOKUP_COLUMNS, mixed)
 
 
 def raw_daily_rows(
@@ -82,27 +90,30 @@ def raw_daily_rows(
     base: str,
     key: str = "release_year",
     columns: list[str] | None = None,
+    mixed: bool = False,
 ) -> DataFrame:
-    """Daily rows per release, all columns the pages had or the named ones.
-
-    Naming them saves the reading of every file's footer.
+    """Daily rows per release, all landed columns or the named ones.
 
-    The datasets driven by ids are read by ``release_year`` or, when they were landed
-    per entity, by that id as ``key``.
+    Naming them saves the reading of every file's footer. The datasets driven by ids are
+    read by ``release_year`` or, when they were landed per entity, by that id as ``key``.
     """
+    if mixed:
+        return _raw(spark, base, key, columns or ["release_id", *DAILY_COLUMNS], True)
     return _with_file(snapshots.read_snapshots(spark, base, key, _key_type(key), columns))
 
 
-def raw_metadata(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
+def raw_metadata(
+    spark: SparkSession, base: str, key: str = "release_year", mixed: bool = False
+) -> DataFrame:
     """Metadata per release."""
-    columns = METADATA_REQUIRED + METADATA_OPTIONAL
-    return _with_file(snapshots.read_snapshots(spark, base, key, _key_type(key), columns))
+    return _raw(spark, base, key, METADATA_REQUIRED + METADATA_OPTIONAL, mixed)
 
 
-def raw_markets(spark: SparkSession, base: str, key: str = "release_year") -> DataFrame:
+def raw_markets(
+    spark: SparkSession, base: str, key: str = "release_year", mixed: bool = False
+) -> DataFrame:
     """Regional rows per group."""
-    columns = [*MARKET_COLUMNS, "release_group_id"]
-    return _with_file(snapshots.read_snapshots(spark, base, key, _key_type(key), columns))
+    return _raw(spark, base, key, [*MARKET_COLUMNS, "release_group_id"], mixed)
 
 
 def _key_type(key: str) -> str:

@@ -7,6 +7,7 @@ into further scans, and those are united by name.
 
 from __future__ import annotations
 
+import sys
 from collections import defaultdict
 from functools import reduce
 from urllib.parse import quote
@@ -14,10 +15,13 @@ from urllib.parse import quote
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapledger.functions import text
 from snapledger.session import stage
 
 # Object-store schemes of Hadoop paths and their Arrow names.
@@ -67,7 +71,8 @@ def read_union_by_name(spark: SparkSession, base: str) -> DataFrame:
     clashing = [row["name"] for row in kinds.where(F.size("kinds") > 1).collect()]
     if not clashing:
         only_null = [r["name"] for r in kinds.where(F.array_contains("kinds", "null")).collect()]
-        return _scan(spark, base, [base], {}, only_null)
+        scan = _scan(spark, base, [base], {}, [])
+        return scan.withColumns({c: F.lit(None).cast("string") for c in only_null})
 
     scans: dict = defaultdict(list)
     for row in _classes(columns, clashing).collect():
@@ -114,3 +119,58 @@ def _scan(spark, base, paths, own, empty):
         spark.read.option("mergeSchema", "true").option("basePath", base).parquet(*paths)
     ).select("*", F.col("_metadata.file_path").alias("filename"))
     return scan.drop(*[F.col(f"`{name}`") for name in empty])
+
+
+def read_text_by_name(
+    spark: SparkSession, base: str, columns: list[str], keys: dict[str, str]
+) -> DataFrame:
+    """Every file below ``base`` with its values as text, whatever types the files have.
+
+    Gives the named ``columns`` (null where a file lacks one or has only nulls), the
+    values of ``keys`` (name and type) in the files' paths, and ``filename``. Spark lists
+    and reads the files with its own stores and credentials and hands each to a task; no
+    schema and no folder reaches the driver. A dataset that is not there is empty.
+    """
+    wanted = list(columns)
+
+    def read(batches):
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"]):
+                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                found = set(file.schema_arrow.names)
+                for rows in file.iter_batches(columns=[c for c in wanted if c in found]):
+                    texts = {
+                        c: _as_text(rows[c]) if c in found else pa.nulls(rows.num_rows, pa.string())
+                        for c in wanted
+                    }
+                    names = pa.array([path] * rows.num_rows, pa.string())
+                    yield pa.RecordBatch.from_pydict({**texts, "filename": names})
+
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*wanted, "filename"]])
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true")
+            .load(base)
+        )
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string, content binary")
+    rows = files.select("path", "content").mapInArrow(read, schema)
+    return rows.select(
+        *[F.col(f"`{c}`") for c in wanted],
+        *[text.path_value(F.col("filename"), k).try_cast(kind).alias(k) for k, kind in keys.items()],
+        "filename",
+    )
+
+
+def _as_text(values):
+    if pa.types.is_nested(values.type) or pa.types.is_binary(values.type):
+        return pa.array([None if v is None else str(v) for v in values.to_pylist()], pa.string())
+    return values.cast(pa.string())
+
+
+# Pickled by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -18,10 +18,12 @@ def tables():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    without = set(queries()) - set(oracle_sql())
+    assert set(oracle_sql()) <= set(queries())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query_equals_sql(spark, tables, name):
     frame = queries()[name](spark, SF_DIR)
     assert check_queries.difference(frame, tables, oracle_sql()[name]) is None
