@@ -71,4 +71,6 @@ def publish(df: DataFrame, root: str, name: str, major: int, keys: list[str]) ->
 
 def read_published(spark: SparkSession, root: str, name: str, major: int, schema) -> DataFrame:
     """A published table; empty when none of its rows are left."""
-    return spark.read.schema(schema).parquet(published_path(root, name, major))
+    rows = spark.read.schema(schema).parquet(published_path(root, name, major))
+    # The values of the partitions would come last otherwise.
+    return rows.select(*[F.col(f"`{field.name}`") for field in schema])
