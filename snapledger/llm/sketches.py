@@ -19,6 +19,7 @@ MAX_TRIES = 16
 # Lines beyond this length are taken apart at the ends of sentences.
 LONG_LINE = 800
 DOCS_PER_BLOCK, MAX_BLOCKS = 500, 1 << 16
+DOCS_PER_TASK = 20_000
 CHECK = 7919
 
 
@@ -293,7 +294,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             .select("row", "digest", "m.sign", (part * 4 + F.col("m.kind")).alias("member"))
         )
 
+    # Digests grow to many cells, so tasks are smaller than what they read would suggest.
     tasks = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, digests.where("version = -1").count() // DOCS_PER_TASK)
     placed = digests.repartition(tasks, "row")
     kind = F.col("member") % 4
     compared = kind >= EDIT
