@@ -405,20 +405,21 @@ def page_extra_columns(spark, sf_dir):
 
 @query(
     """
-    SELECT o_orderkey, CAST(0 AS INTEGER) AS pos, '/releasegroup/gr' || o_custkey || '/' AS href,
-           'Film ' || o_orderkey AS text, '$' || o_custkey AS "Worldwide"
-    FROM orders
+    SELECT s_suppkey, CAST(0 AS INTEGER) AS pos, '/releasegroup/gr' || s_nationkey || '/' AS href,
+           'Film ' || s_suppkey AS text, '$' || s_nationkey AS "Worldwide"
+    FROM supplier
     """
 )
 def page_deep_markup(spark, sf_dir):
     """Ordinary listings below thousands of tags that are never closed."""
     deep = F.repeat(F.lit("<b><i><span><div>"), 1500)
-    group = markup('<a href="/releasegroup/gr', F.col("o_custkey"), '/">Film ', F.col("o_orderkey"), "</a>")
-    revenue = html_table(row("Worldwide", tag="th"), row(markup("<b>$<i>", F.col("o_custkey"))))
-    pages = source(spark, sf_dir, "orders").select(
-        "o_orderkey", markup(deep, group, revenue, deep).alias("html")
+    nation, key = F.col("s_nationkey"), F.col("s_suppkey")
+    group = markup('<a href="/releasegroup/gr', nation, '/">Film ', key, "</a>")
+    revenue = html_table(row("Worldwide", tag="th"), row(markup("<b>$<i>", nation)))
+    pages = source(spark, sf_dir, "supplier").select(
+        "s_suppkey", markup(deep, group, revenue, deep).alias("html")
     )
-    parsed = parse(pages, ("a",), html.FIRST)
+    parsed = stage(parse(pages, ("a",), html.FIRST), "deep")
     links = page_ops.links(parsed, "/releasegroup/").drop("url")
     rows = page_ops.table_records(parsed, page_ops.first_table(), ["Worldwide"])
-    return links.join(rows.select("o_orderkey", "Worldwide"), "o_orderkey")
+    return links.join(rows.select("s_suppkey", "Worldwide"), "s_suppkey")
