@@ -23,6 +23,9 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){13}[0-
 TERM = r"\p{L}[\p{L}\p{M}]*+"
 # Characters on either side of an entity whose terms occur together with it.
 REACH = 80
+# Documents with a term that are added unseen, with the entity no oftener than by chance:
+# the fewer documents a term has, the less they count as evidence.
+UNSEEN = 1.0
 
 
 def digits(text: Column) -> Column:
@@ -148,17 +151,25 @@ def contexts(texts: DataFrame) -> DataFrame:
     )
 
 
+def revealed(both: Column, docs: Column, having: Column, total: int) -> Column:
+    """Share of an entity's information that a term reveals, by numbers of documents."""
+    chance = having / F.lit(float(total))
+    given = (both + UNSEEN * chance) / (docs + UNSEEN)
+    return F.when(chance < 1, F.log(given / chance) / -F.log(chance)).otherwise(0.0)
+
+
 def disclosing_terms(
     near: DataFrame, texts: DataFrame, words: DataFrame, generalise: float, remove: float, support: int
 ) -> DataFrame:
     """Pairs of ``entity`` and ``term`` that reveal too much, as ``kind``.
 
     Probabilities are shares of documents. An entity holds ``-log p(entity)`` of
-    information and a term reveals ``log p(term, entity) / (p(term) p(entity))`` of it;
-    the share revealed is 1 when every document with the term has the entity nearby,
-    and 0 when the two are independent. A pair needs ``support`` documents. ``words``
-    has the text of every document; the documents with a term are counted over all of
-    it, for terms that stand near an entity.
+    information and a term reveals ``log p(entity | term) / p(entity)`` of it; the share
+    revealed is 1 when every document with the term has the entity nearby, and 0 when
+    the two are independent. ``p(entity | term)`` is smoothed by ``UNSEEN`` documents, so
+    that a pair seen once counts, but for less than one seen often. ``support`` leaves
+    out pairs of fewer documents; 1 leaves out none. ``words`` has the text of every
+    document; the documents with a term are counted over all of it.
     """
     both = (
         near.select("digest", "copies", "entity", "term")
@@ -181,9 +192,7 @@ def disclosing_terms(
         .groupBy("term")
         .agg(F.count("*").alias("docs"))
     )
-    holds = -F.log(F.col("having") / total)
-    tells = F.log(F.col("both") * F.lit(float(total)) / (F.col("docs") * F.col("having")))
-    share = F.when(holds > 0, tells / holds).otherwise(0.0)
+    share = revealed(F.col("both"), F.col("docs"), F.col("having"), total)
     return (
         pairs.join(seen, "term")
         .join(having, "entity")
@@ -194,7 +203,7 @@ def disclosing_terms(
 
 
 def personal_data(
-    docs: DataFrame, generalise: float = 0.6, remove: float = 0.9, support: int = 3
+    docs: DataFrame, generalise: float = 0.6, remove: float = 0.9, support: int = 1
 ) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: what to mask in each whole text.
 

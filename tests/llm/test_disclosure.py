@@ -73,6 +73,19 @@ def test_terms_that_reveal_an_entity(docs):
     assert got[1][0].block == 5 and got[1][0].lang == "en"
 
 
+def test_terms_of_an_entity_that_occurs_once(docs):
+    text = "the Quillon file of zed@one.example is here"
+    rows = [(0, text)] + [(i, "the file is here and of no one") for i in range(1, 3000)]
+    (row,) = personal_data(docs(rows)).where("doc_id = 0").collect()
+    assert {text[s.start : s.end]: s.kind for s in row.spans} == {
+        "Quillon": "term", "zed@one.example": "email",
+    }
+    # Ten documents have the term, one of them the entity: evidence for a part of it.
+    rows = rows[:-9] + [(4000 + i, "Quillon is here") for i in range(9)]
+    (row,) = personal_data(docs(rows)).where("doc_id = 0").collect()
+    assert [s.kind for s in row.spans] == ["general", "email"]
+
+
 def test_masks_of_overlapping_spans(docs):
     text = "call +4337166598464399 now"
     frame = docs([(1, text)]).select("text", base_spans(F.col("text")).alias("spans"))
