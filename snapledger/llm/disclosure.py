@@ -21,11 +21,12 @@ PATTERNS = {
 # What a text has to hold before its pattern is tried.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){13}[0-9]", "phone": r"\+[0-9]"}
 TERM = r"\p{L}[\p{L}\p{M}]*+"
-# Characters on either side of an entity whose terms occur together with it.
-REACH = 80
 # Documents with a term that are added unseen, with the entity no oftener than by chance:
 # the fewer documents a term has, the less they count as evidence.
 UNSEEN = 1.0
+# Matches that are placed one after the other, so that long texts take no array that is
+# copied for each of them.
+RUN = 256
 
 
 def digits(text: Column) -> Column:
@@ -79,8 +80,7 @@ def located(text: Column, pattern: str) -> Column:
         ),
     )
     kept = F.filter(lengths, lambda x: x["value"].isNotNull())
-    nothing = F.array().cast("array<struct<value: string, start: bigint, end: bigint>>")
-    state = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("out"))
+    one = "struct<value: string, start: bigint, end: bigint>"
 
     def step(s: Column, x: Column) -> Column:
         start = s["at"] + x["gap"]
@@ -89,7 +89,29 @@ def located(text: Column, pattern: str) -> Column:
         )
         return F.struct((start + x["size"]).alias("at"), F.concat(s["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(kept, state, step, lambda s: s["out"])
+    def run(s: Column, part: Column) -> Column:
+        state = F.struct(s["at"].alias("at"), F.array().cast(f"array<{one}>").alias("out"))
+        placed = F.aggregate(part, state, step)
+        # Bound to a name, so that it is worked out once.
+        return F.get(
+            F.transform(
+                F.array(placed),
+                lambda p: F.struct(p["at"].alias("at"), F.concat(s["out"], F.array(p["out"])).alias("out")),
+            ),
+            0,
+        )
+
+    def runs(found: Column) -> Column:
+        starts = F.when(
+            F.size(found) > 0, F.sequence(F.lit(1), F.size(found), F.lit(RUN))
+        ).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(found, i, RUN))
+
+    state = F.struct(
+        F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{one}>>").alias("out")
+    )
+    parts = F.get(F.transform(F.array(kept), runs), 0)
+    return F.aggregate(parts, state, run, lambda s: F.flatten(s["out"]))
 
 
 def spans_of(text: Column, rank: int, kind: str) -> Column:
@@ -116,39 +138,40 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[spans_of(text, i, kind) for i, kind in enumerate(KINDS)]))
 
 
-def contexts(texts: DataFrame) -> DataFrame:
-    """Terms near each entity: ``digest``, ``copies``, ``entity``, ``term``, ``start``, ``end``.
+def lowered(words: Column) -> Column:
+    return F.array_distinct(F.transform(words, F.lower))
 
-    A term is a whole word within ``REACH`` characters of the entity.
-    """
-    spans = texts.select("digest", "copies", "text", F.explode("base").alias("e"))
-    # One character more on each side tells whether the outermost word is whole.
-    left = F.greatest(F.col("e.start") - REACH - 1, F.lit(0))
-    before = F.substring("text", (left + 1).cast("int"), (F.col("e.start") - left).cast("int"))
-    after = F.substring("text", (F.col("e.end") + 1).cast("int"), F.lit(REACH + 1))
-    sides = F.array(
-        F.struct(before.alias("part"), left.alias("from"), (left > 0).alias("cut"), F.lit(0).alias("side")),
-        F.struct(
-            after.alias("part"),
-            F.col("e.end").alias("from"),
-            (F.length("text") > F.col("e.end") + REACH + 1).alias("cut"),
-            F.lit(1).alias("side"),
-        ),
-    )
-    words = spans.select("digest", "copies", F.col("e.value").alias("entity"), F.explode(sides).alias("s")).select(
-        "digest", "copies", "entity", "s.*", F.explode(located(F.col("s.part"), TERM)).alias("w")
+
+def terms_of(text: Column, base: Column) -> Column:
+    """The whole words of a text that no base span touches, with their places."""
+    return F.filter(
+        located(text, TERM),
+        lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
     )
-    broken = F.col("cut") & F.when(F.col("side") == 0, F.col("w.start") == 0).otherwise(
-        F.col("w.end") == F.length("part")
+
+
+def owners(texts: DataFrame) -> DataFrame:
+    """``digest``, ``owner`` and ``having``: the entities of each text, by where they occur.
+
+    An entity is a piece of personal data, or the domain of a mail address. Entities of
+    the same texts have the same numbers with every term and are one owner; ``having``
+    is the number of documents with it.
+    """
+    values = F.transform("base", lambda b: b["value"])
+    mails = F.filter("base", lambda b: b["kind"] == "email")
+    domains = F.transform(mails, lambda b: F.lower(F.regexp_extract(b["value"], "@.*", 0)))
+    held = texts.select(
+        "digest", "copies", F.explode(F.array_distinct(F.concat(values, domains))).alias("entity")
     )
-    return words.where(~broken).select(
-        "digest",
-        "copies",
-        "entity",
-        F.lower("w.value").alias("term"),
-        (F.col("from") + F.col("w.start")).alias("start"),
-        (F.col("from") + F.col("w.end")).alias("end"),
+    mark = [F.bit_xor(F.xxhash64("digest", F.lit(seed))) for seed in (1, 2)]
+    entities, _ = staged(
+        held.groupBy("entity").agg(
+            F.concat_ws(".", *[m.cast("string") for m in mark], F.count("*").cast("string")).alias("owner"),
+            F.sum("copies").alias("having"),
+        ),
+        "owners",
     )
+    return held.join(entities, "entity").select("digest", "owner", "having").distinct()
 
 
 def revealed(both: Column, docs: Column, having: Column, total: int) -> Column:
@@ -159,47 +182,51 @@ def revealed(both: Column, docs: Column, having: Column, total: int) -> Column:
 
 
 def disclosing_terms(
-    near: DataFrame, texts: DataFrame, words: DataFrame, generalise: float, remove: float, support: int
+    texts: DataFrame, words: DataFrame, generalise: float, remove: float, support: int
 ) -> DataFrame:
-    """Pairs of ``entity`` and ``term`` that reveal too much, as ``kind``.
-
-    Probabilities are shares of documents. An entity holds ``-log p(entity)`` of
-    information and a term reveals ``log p(entity | term) / p(entity)`` of it; the share
-    revealed is 1 when every document with the term has the entity nearby, and 0 when
-    the two are independent. ``p(entity | term)`` is smoothed by ``UNSEEN`` documents, so
-    that a pair seen once counts, but for less than one seen often. ``support`` leaves
-    out pairs of fewer documents; 1 leaves out none. ``words`` has the text of every
-    document; the documents with a term are counted over all of it.
+    """Terms of each text (``digest``) that reveal too much of an entity in it, as ``kind``.
+
+    Probabilities are shares of documents, of whole texts. An entity holds
+    ``-log p(entity)`` of information and a term reveals ``log p(entity | term) /
+    p(entity)`` of it; the share revealed is 1 when every document with the term has the
+    entity, and 0 when the two are independent. ``p(entity | term)`` is smoothed by
+    ``UNSEEN`` documents, so that a pair seen once counts, but for less than one seen
+    often. ``support`` leaves out pairs of fewer documents; 1 leaves out none. ``words``
+    has the text of every document without personal data.
     """
-    both = (
-        near.select("digest", "copies", "entity", "term")
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.sum("copies").alias("both"))
-        .where(F.col("both") >= support)
-    )
-    pairs, _ = staged(both, "pairs")
-    having = (
-        texts.select("digest", "copies", F.explode(F.array_distinct(F.col("base.value"))).alias("entity"))
-        .groupBy("entity")
-        .agg(F.sum("copies").alias("having"))
+    held, _ = staged(
+        texts.select(
+            "digest",
+            "copies",
+            F.explode(lowered(F.transform(terms_of(F.col("text"), F.col("base")), lambda w: w["value"]))).alias("term"),
+        ),
+        "words",
     )
-    total = max(1, words.count())
-    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))
+    total = max(1, words.count() + (texts.agg(F.sum("copies")).first()[0] or 0))
+    found = F.regexp_extract_all("text", F.lit(TERM), 0)
     seen = (
-        words.select(F.explode(found).alias("term"))
-        .join(pairs.select("term").distinct(), "term", "left_semi")
+        words.select(F.explode(lowered(found)).alias("term"), F.lit(1).cast("long").alias("copies"))
+        .unionByName(held.select("term", "copies"))
         .groupBy("term")
-        .agg(F.count("*").alias("docs"))
+        .agg(F.sum("copies").alias("docs"))
     )
-    share = revealed(F.col("both"), F.col("docs"), F.col("having"), total)
-    return (
-        pairs.join(seen, "term")
-        .join(having, "entity")
-        .withColumn("share", share)
+    own, _ = staged(owners(texts), "owned")
+    # No more documents have both than have the entity: what cannot reach the share goes
+    # before pairs are made.
+    most = F.least("docs", "having")
+    reach = revealed(most, F.col("docs"), F.col("having"), total) >= generalise
+    widest = own.groupBy("digest").agg(F.max("having").alias("having"))
+    likely = held.join(widest, "digest").join(seen, "term").where(reach).drop("having")
+    pairs, _ = staged(likely.join(own, "digest").where(reach), "pairs")
+    both = (
+        pairs.groupBy("owner", "term")
+        .agg(F.sum("copies").alias("both"), F.first("docs").alias("docs"), F.first("having").alias("having"))
+        .where(F.col("both") >= support)
+        .withColumn("share", revealed(F.col("both"), F.col("docs"), F.col("having"), total))
         .where(F.col("share") >= generalise)
-        .select("entity", "term", F.when(F.col("share") >= remove, "term").otherwise("general").alias("kind"))
+        .select("owner", "term", F.when(F.col("share") >= remove, "term").otherwise("general").alias("kind"))
     )
+    return pairs.join(both, ["owner", "term"]).groupBy("digest", "term").agg(F.max("kind").alias("kind"))
 
 
 def personal_data(
@@ -208,9 +235,9 @@ def personal_data(
     """``docs`` with ``base`` and ``spans``: what to mask in each whole text.
 
     ``base`` has emails, addresses, cards and phone numbers; ``spans`` has them and the
-    terms near them that reveal at least ``generalise`` of one: ``general`` is to be
-    replaced by a general word, ``term`` (``remove`` or more) to be removed. A term that
-    overlaps a base span is left to it. Both are arrays of ``start``, ``rank``,
+    terms of the text that reveal at least ``generalise`` of one, wherever they stand:
+    ``general`` is to be replaced by a general word, ``term`` (``remove`` or more) to be
+    removed. A term that overlaps a base span is left to it. Both are arrays of ``start``, ``rank``,
     ``kind``, ``end`` (``base`` also of ``value``) in order of start and kind. Equal
     texts are looked at once and count as often as they occur. A null text is an empty
     one and has no spans; repeated rows stay; an empty table gives an empty result; all
@@ -232,14 +259,14 @@ def personal_data(
         ),
         "texts",
     )
-    near, _ = staged(contexts(texts), "contexts")
-    words = rows.select(F.coalesce("text", F.lit("")).alias("text"))
-    pairs = disclosing_terms(near, texts, words, generalise, remove, support)
+    words = rows.where("digest IS NULL").select(F.coalesce("text", F.lit("")).alias("text"))
+    terms, _ = staged(disclosing_terms(texts, words, generalise, remove, support), "disclosing")
     rank = F.when(F.col("kind") == "term", len(KINDS)).otherwise(len(KINDS) + 1)
     extra = (
-        near.join(pairs, ["entity", "term"])
-        .groupBy("digest", "start", "end")
-        .agg(F.max("kind").alias("kind"))
+        texts.join(terms.select("digest").distinct(), "digest", "left_semi")
+        .select("digest", F.explode(terms_of(F.col("text"), F.col("base"))).alias("w"))
+        .select("digest", F.lower("w.value").alias("term"), "w.start", "w.end")
+        .join(terms, ["digest", "term"])
         .groupBy("digest")
         .agg(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end")).alias("extra"))
     )
@@ -247,11 +274,7 @@ def personal_data(
     plain = F.transform(
         "base", lambda b: F.struct(b["start"].alias("start"), b["rank"].alias("rank"), b["kind"].alias("kind"), b["end"].alias("end"))
     )
-    free = F.filter(
-        "extra",
-        lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
-    spans = F.when(F.col("extra").isNull(), plain).otherwise(F.array_sort(F.concat(plain, free)))
+    spans = F.when(F.col("extra").isNull(), plain).otherwise(F.array_sort(F.concat(plain, F.col("extra"))))
     with_terms = rows.where("digest IS NOT NULL").join(extra, "digest", "left")
     columns = [*[F.col(f"`{c}`") for c in kept], F.col("base")]
     return with_terms.select(*columns, spans.alias("spans")).unionByName(

@@ -86,6 +86,24 @@ def test_terms_of_an_entity_that_occurs_once(docs):
     assert [s.kind for s in row.spans] == ["general", "email"]
 
 
+def test_terms_far_from_the_entity_and_all_their_mentions(docs):
+    fill = "the file is here and of no one " * 400
+    text = f"Quillon. {fill} mail zed@one.example now. {fill} QUILLON, not Quillons. {fill}quillon"
+    rows = [(i, text + " one" * i) for i in range(4)]
+    rows += [(10 + i, "the file is here and of no one not now mail quillons") for i in range(400)]
+    got = personal_data(docs(rows)).where("doc_id < 4").collect()
+    for row in got:
+        kinds = [(row.text[s.start : s.end], s.kind) for s in row.spans]
+        assert kinds == [
+            ("Quillon", "term"), ("zed@one.example", "email"), ("QUILLON", "term"), ("quillon", "term"),
+        ]
+    # Addresses that occur once share a domain, and the term reveals the domain.
+    rows = [(i, f"Quillon u{i}@one.example") for i in range(40)]
+    rows += [(100 + i, "nobody is here" if i else "Quillon") for i in range(400)]
+    got = personal_data(docs(rows)).where("doc_id < 40").collect()
+    assert all([s.kind for s in row.spans] == ["term", "email"] for row in got)
+
+
 def test_masks_of_overlapping_spans(docs):
     text = "call +4337166598464399 now"
     frame = docs([(1, text)]).select("text", base_spans(F.col("text")).alias("spans"))
