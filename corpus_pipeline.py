@@ -48,10 +48,14 @@ def private_terms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose token weights fit tempered shares of source, language and topic."""
+    """A sample whose token weights fit tempered shares of source, language and topic.
+
+    Documents that are wanted more than once are repeated.
+    """
     dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": layout_topic(F.col("text"))}
     sample = raked_sample(docs.select(*COLUMNS), dims, word_count(F.col("text")))
-    return sample.where("kept").select(*COLUMNS)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")
+    return sample.where("kept").select(*COLUMNS, times).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

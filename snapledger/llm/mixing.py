@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import discard, staged
 
 TOLERANCE, MAX_ROUNDS = 1e-4, 60
+# A share of the sample that is further than this from its target is reported.
+MISS = 1e-3
 # Stands for null, so that rows without a source, language or topic are cells as well.
 NONE = "\u0000"
 
@@ -107,6 +111,33 @@ def inclusion(cells: DataFrame, share: float) -> DataFrame:
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("factor") * multiple))
 
 
+def repetition(cells: DataFrame, share: float) -> DataFrame:
+    """``cells`` with ``expected``, the copies of a document: a common multiple of the factor.
+
+    ``share`` of all tokens is expected. No cell is held back at one copy, so the sample
+    has the shares that the factors have.
+    """
+    sums = cells.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("factor"))).first()
+    multiple = share * (sums[0] or 0) / sums[1] if sums[1] else 0.0
+    return cells.withColumn("expected", F.col("factor") * multiple)
+
+
+def missed(cells: DataFrame, targets: dict[str, DataFrame]) -> list[tuple[str, str, float, float]]:
+    """Dimension, value, target and share in the sample (``expected``) of what misses by ``MISS``."""
+    whole = cells.agg(F.sum(F.col("tokens") * F.col("expected"))).first()[0]
+    if not whole:
+        return []
+    out = []
+    for dim, target in targets.items():
+        goals = target.agg(F.sum("share")).first()[0] or 1.0
+        sums = cells.groupBy(dim).agg((F.sum(F.col("tokens") * F.col("expected")) / whole).alias("got"))
+        rows = target.select(dim, (F.col("share") / goals).alias("share")).join(sums, dim, "left").select(
+            dim, "share", F.coalesce("got", F.lit(0.0)).alias("got")
+        )
+        out += [(dim, *r) for r in rows.where(F.abs(F.col("got") - F.col("share")) > MISS).collect()]
+    return out
+
+
 def raked_sample(
     docs: DataFrame,
     dims: dict[str, Column],
@@ -115,15 +146,20 @@ def raked_sample(
     alpha: float = 0.5,
     share: float = 0.5,
     seed: int = 11,
+    repeat: bool = True,
 ) -> DataFrame:
-    """``docs`` with the dimensions, ``factor``, ``probability`` and ``kept``.
+    """``docs`` with the dimensions, ``factor``, ``probability``, ``kept`` and ``copies``.
 
     ``dims`` names two or more columns, such as source, language and topic. Token
     weights of their combinations are raked to ``targets`` (a table of value and
     ``share`` for each dimension; by default the token shares to the power ``alpha``),
     and a document is kept with the calibrated probability of its combination,
     decided by a hash of its doc_id (of its text without one), so that repeated rows
-    share their fate. ``share`` of all tokens is expected to be kept. Null values are
+    share their fate. Where a combination needs more tokens than it has, its documents
+    are wanted more than once: ``copies`` says how often, on average as often as the
+    targets ask, and the probability is 1. Without ``repeat`` no document is wanted more
+    than once, which misses targets where probabilities end at 1. Targets that are not met
+    give a warning. ``share`` of all tokens is expected to be kept. Null values are
     a value of their own; texts without tokens are in no way special; an empty table
     gives an empty result. All columns of ``docs`` are kept as they are: the dimensions
     come with the prefix ``mix_``.
@@ -140,16 +176,24 @@ def raked_sample(
     else:
         goals = {n: tempered(cells, n, alpha) for n in names}
     raked, _ = staged(rake(cells, goals), "raked")
-    chances, _ = staged(
-        inclusion(raked, share).select(*names, "factor", "probability"), "probabilities"
-    )
+    if repeat:
+        wanted = repetition(raked, share)
+    else:
+        wanted = inclusion(raked, share).withColumnRenamed("probability", "expected")
+    chances, _ = staged(wanted.select(*names, "tokens", "factor", "expected"), "probabilities")
+    if misses := missed(chances, goals):
+        listed = ", ".join(f"{d[4:]} {v}: {got:.4f} for {goal:.4f}" for d, v, goal, got in misses[:20])
+        warnings.warn(f"{len(misses)} targets are not met: {listed}", stacklevel=2)
+    chances = chances.drop("tokens")
     key = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
     draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
-    rest = [c for c in docs.columns if c.lower() not in ("factor", "probability", "kept", *names)]
+    rest = [c for c in docs.columns if c.lower() not in ("factor", "probability", "kept", "copies", "expected", *names)]
     drawn = docs.select(*[F.col(f"`{c}`") for c in rest], *[v.alias(n) for n, v in names.items()])
     return (
         drawn.join(chances, list(names), "left")
-        .withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("factor", "probability")})
-        .withColumn("kept", draw < F.col("probability"))
-        .select(*rest, *names, "factor", "probability", "kept")
+        .withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("factor", "expected")})
+        .withColumn("probability", F.least(F.lit(1.0), "expected"))
+        .withColumn("copies", F.floor("expected") + (draw < F.col("expected") % 1).cast("long"))
+        .withColumn("kept", F.col("copies") > 0)
+        .select(*rest, *names, "factor", "probability", "kept", "copies")
     )

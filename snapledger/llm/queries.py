@@ -189,5 +189,5 @@ def op3_raked_mixture(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": layout_topic(F.col("text"))}
     return raked_sample(docs, dims, word_count(F.col("text"))).select(
-        "doc_id", "mix_source", "mix_lang", "mix_topic", "factor", "probability", "kept"
+        "doc_id", "mix_source", "mix_lang", "mix_topic", "factor", "probability", "kept", "copies"
     )

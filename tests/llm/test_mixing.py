@@ -58,6 +58,22 @@ def test_documents_are_kept_by_their_probability(docs):
     assert (weight / weight.sum()).to_dict() == pytest.approx((plain / plain.sum()).to_dict(), rel=1e-3)
 
 
+def test_the_sample_meets_the_targets(docs):
+    # 1 in 40 documents is small: its target share is beyond what it has.
+    frame = docs([(i, "w " * (1 + i % 9) + ("|" if i % 50 else "\n")) for i in range(8000)])
+    frame = frame.withColumn("source", F.when(F.col("doc_id") % 41 > 0, "big").otherwise("small"))
+    got = sample(frame).toPandas()
+    tokens = got.text.str.count(r"\S+")
+    assert (tokens * got.copies).sum() == pytest.approx(0.5 * tokens.sum(), rel=0.05)
+    assert got.copies.max() > 1 and (got.kept == (got.copies > 0)).all()
+    for dim in ("mix_source", "mix_topic"):
+        weight = (tokens * got.copies).groupby(got[dim]).sum()
+        plain = tokens.groupby(got[dim]).sum() ** 0.5
+        assert (weight / weight.sum()).to_dict() == pytest.approx((plain / plain.sum()).to_dict(), rel=0.1)
+    with pytest.warns(UserWarning, match="source small"):
+        sample(frame, repeat=False)
+
+
 def test_odd_rows(docs):
     rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x"), (None, None), (4, "y " * 50000)]
     frame = docs(rows).withColumn("source", F.when(F.col("doc_id") > 2, F.lit("s")))
