@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,19 +73,26 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if measured["bytes"] <= max_bytes else df
 
 
-@contextmanager
-def partition_values_from_listing(spark: SparkSession):
-    """Answer distinct and maximum of partition columns from the file listing.
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session like ``spark`` with other settings; those of ``spark`` stay as they are.
+
+    It shares the application, the catalog and the cache.
+    """
+    other = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for key, value in settings.items():
+        other.conf.set(key, value)
+    return other
+
+
+def from_listing(df: DataFrame) -> DataFrame:
+    """``df``, distinct or largest partition values, answered by the listing of its files.
 
     The driver holds the listing of a scan anyway, so such a query needs no task at
     all instead of one per piece of every data file. A partition whose files are
-    empty then counts as present, which for snapshots is what is wanted. Only actions
-    run inside the block are affected.
+    empty then counts as present, which for snapshots is what is wanted. The query gets
+    a session of its own, so that no other query of the caller's session is affected.
     """
-    key = "spark.sql.optimizer.metadataOnly"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    other = with_settings(df.sparkSession, {"spark.sql.optimizer.metadataOnly": "true"})
+    plan = df._jdf.queryExecution().analyzed()
+    dataset = other._jvm.org.apache.spark.sql.classic.Dataset.ofRows(other._jsparkSession, plan)
+    return DataFrame(dataset, other)

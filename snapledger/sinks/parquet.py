@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.session import discard
-from snapledger.sources.snapshots import DATE
+from snapledger.session import discard, with_settings, write_stage
+from snapledger.sinks import switch
+from snapledger.sources.snapshots import DATE, NO_FILES
+
+# Publishes whose files stay: the current one, and the one that readers may still be at.
+KEPT = 2
+# Properties of a layer's view: the tables of its last refresh and of the one before.
+LAST_TABLE, TABLE_BEFORE = "refreshed", "refreshed.before"
 
 
 def write_snapshot(df: DataFrame, base: str, key: str) -> int:
@@ -18,22 +25,122 @@ def write_snapshot(df: DataFrame, base: str, key: str) -> int:
     brought together so that it has few files; adaptive execution merges small
     snapshots into one task and splits a large one over several, so one heavy key
     never lands in a single task.
+
+    A run writes below a folder of its own that readers do not see, and moves its
+    snapshots to their places when all of them are there and no other run is moving
+    (``switch.Busy`` if one is). So a run that fails changes nothing, and of two runs
+    that overlap each snapshot is one run's whole.
     """
+    spark, base = df.sparkSession, base.rstrip("/")
+    stage = f"{base}/_stage-{uuid.uuid4().hex}"
+    try:
+        rows = _write(df, stage, [key, DATE])
+        if rows:
+            with switch.turn(spark, base):
+                _move_snapshots(spark, stage, base)
+    finally:
+        discard(spark, stage)
+    return rows
+
+
+def _write(df: DataFrame, path: str, keys: list[str]) -> int:
     rows = Observation()
     (
-        df.hint("rebalance", key, DATE)
+        df.hint("rebalance", *keys)
         .observe(rows, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key, DATE)
-        .parquet(base)
+        .write.partitionBy(*keys)
+        .parquet(path)
     )
     return rows.get["rows"]
 
 
+def _move_snapshots(spark: SparkSession, stage: str, base: str) -> None:
+    """Puts every staged snapshot in the place of the one that is there.
+
+    The old one waits beside until the new one is in its place, and goes back if the
+    move fails.
+    """
+    fs, root = switch.file_system(spark, base)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for found in fs.globStatus(path(f"{stage}/*=*/{DATE}=*")) or []:
+        staged = found.getPath()
+        place = path(root, f"{staged.getParent().getName()}/{staged.getName()}")
+        old = path(f"{stage}/_old/{staged.getParent().getName()}/{staged.getName()}")
+        fs.mkdirs(place.getParent())
+        replaced = fs.exists(place)
+        if replaced:
+            fs.mkdirs(old.getParent())
+            if not fs.rename(place, old):
+                raise OSError(f"{place} could not be moved")
+        if not fs.rename(staged, place):
+            if replaced:
+                fs.rename(old, place)
+            raise OSError(f"{staged} could not be moved to {place}")
+
+
+def landed_rows(spark: SparkSession, datasets: dict[str, tuple[str, str, str]], date) -> DataFrame:
+    """``dataset, item, rows`` of the snapshots of one date, from the counts in the files' footers.
+
+    ``datasets`` has for each name its folder, its key and the key's type. No row is
+    read: the scan itself answers the counts by partition.
+    """
+    footers = {
+        "spark.sql.sources.useV1SourceList": "",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+    other = with_settings(spark, footers)
+    counts = other.createDataFrame([], "dataset string, item string, rows long")
+    for name, (base, key, kind) in datasets.items():
+        found = counted_by_footers(other, base, key, kind, date)
+        if found is not None:
+            item = F.col(key).cast("string").alias("item")
+            counts = counts.unionByName(found.select(F.lit(name).alias("dataset"), item, "rows"))
+    _, path = write_stage(counts, "landed-rows")
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def counted_by_footers(spark: SparkSession, base: str, key: str, kind: str, date):
+    """``key, scraped_date, rows`` of one date, or ``None`` when there is no such dataset."""
+    try:
+        found = spark.read.schema(f"`{key}` {kind}, `{DATE}` date").parquet(base)
+    except AnalysisException as problem:
+        if problem.getCondition() not in NO_FILES:
+            raise
+        return None
+    today = found.where(F.col(DATE) == F.lit(date))
+    return today.groupBy(key, DATE).agg(F.count("*").alias("rows"))
+
+
 def refresh_table(df: DataFrame, table: str) -> None:
-    """Replace a layer table by ``df`` (full refresh)."""
-    df.write.mode("overwrite").saveAsTable(table)
+    """Replace a layer table by ``df`` (full refresh).
+
+    Rows go to a table of their own; ``table`` is a view of the last one that is whole,
+    replaced by one change of the catalog. A refresh that fails leaves it as it was, and
+    one with other columns needs nothing else. The table before the last one stays for
+    those who read it now; the view's properties name both.
+    """
+    spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    prefix = f"`{database}`." if database else ""
+    view, fresh = f"{prefix}`{name}`", f"{name}__{uuid.uuid4().hex}"
+    try:
+        df.write.saveAsTable(f"{prefix}`{fresh}`")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}`{fresh}`")
+        raise
+    said = {}
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "VIEW":
+            said = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+        else:
+            spark.sql(f"DROP TABLE {view}")
+    last = said.get(LAST_TABLE, "")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES "
+        f"('{LAST_TABLE}' = '{fresh}', '{TABLE_BEFORE}' = '{last}') AS SELECT * FROM {prefix}`{fresh}`"
+    )
+    if said.get(TABLE_BEFORE):
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}`{said[TABLE_BEFORE]}`")
 
 
 def published_path(root: str, name: str, major: int) -> str:
@@ -43,34 +150,39 @@ def published_path(root: str, name: str, major: int) -> str:
 def publish(df: DataFrame, root: str, name: str, major: int, keys: list[str]) -> int:
     """Replace version ``major`` of a published table, by ``keys``; returns the rows.
 
-    New files are written beside the old ones and put in their place, partition by
-    partition, only when all tasks are done, so a failed publish leaves readers what
-    they had. Partitions that the new table does not have go last. A table without any
-    row is an error and replaces nothing.
+    A publish writes a folder of its own, once, and then one mark that names it is the
+    switch: readers have the old table whole until it is there, and the new one whole
+    after it. A publish that fails or ends early anywhere has changed nothing. Of several
+    publishers the last to finish is what readers have. A table without any row is an
+    error and replaces nothing.
     """
     spark, path = df.sparkSession, published_path(root, name, major)
-    rows = Observation()
-    (
-        df.hint("rebalance", *keys)
-        .observe(rows, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-    if not rows.get["rows"]:
-        raise ValueError(f"no rows to publish as {name}")
-    landed = read_published(spark, root, name, major, df.schema).select(*keys).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys])
-    gone = landed.alias("l").join(df.select(*keys).distinct().alias("d"), same, "left_anti")
-    for row in gone.collect():
-        parts = [f"{k}={'__HIVE_DEFAULT_PARTITION__' if row[k] is None else row[k]}" for k in keys]
-        discard(spark, "/".join([path, *parts]))
-    return rows.get["rows"]
+    folder = f"_data/{uuid.uuid4().hex}"
+    try:
+        rows = _write(df, f"{path}/{folder}", keys)
+        if not rows:
+            raise ValueError(f"no rows to publish as {name}")
+        switch.mark(spark, path, folder)
+    except Exception:
+        discard(spark, f"{path}/{folder}")
+        raise
+    for number, old in switch.marks(spark, path)[KEPT:]:
+        discard(spark, f"{path}/{old}")
+        discard(spark, f"{path}/{switch.MARKS}/{number:010d}")
+    return rows
+
+
+def published_files(spark: SparkSession, root: str, name: str, major: int) -> str:
+    """The folder with the files of a published table, by its last mark."""
+    path = published_path(root, name, major)
+    folder = switch.current(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return f"{path}/{folder}"
 
 
 def read_published(spark: SparkSession, root: str, name: str, major: int, schema) -> DataFrame:
-    """A published table; empty when none of its rows are left."""
-    rows = spark.read.schema(schema).parquet(published_path(root, name, major))
+    """A published table as of now; later publishes do not change what was read."""
+    rows = spark.read.schema(schema).parquet(published_files(spark, root, name, major))
     # The values of the partitions would come last otherwise.
     return rows.select(*[F.col(f"`{field.name}`") for field in schema])

@@ -13,8 +13,8 @@ from snapledger.functions import text
 from snapledger.session import (
     BROADCAST_BYTES,
     broadcast_if_small,
-    partition_values_from_listing,
-    stage,
+    from_listing,
+    write_stage,
 )
 
 DATE = "scraped_date"
@@ -109,12 +109,12 @@ def latest_snapshot(
     broadcast while their measured size allows it, which prunes at run time; beyond
     that the semi-join shuffles and adaptive execution splits a heavy key.
     """
-    latest = latest_dates(snapshots, key, as_of)
-    with partition_values_from_listing(snapshots.sparkSession):
-        pairs = latest.limit(max_pairs + 1).collect()
-        if len(pairs) <= max_pairs:
-            return snapshots.where(_any_pair(pairs, key))
-        latest = stage(latest, "latest")
+    latest = from_listing(latest_dates(snapshots, key, as_of))
+    pairs = latest.limit(max_pairs + 1).collect()
+    if len(pairs) <= max_pairs:
+        return snapshots.where(_any_pair(pairs, key))
+    _, path = write_stage(latest, "latest")
+    latest = snapshots.sparkSession.read.schema(latest.schema).parquet(path)
     latest = latest.where(F.col(DATE) <= _last_day(as_of))
     # A broadcast side with a comparison is what lets Catalyst prune partitions at run
     # time, hence the filter on the staged pairs as well.

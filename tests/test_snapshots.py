@@ -1,12 +1,23 @@
 import datetime
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapledger import session
-from snapledger.sinks.parquet import publish, published_path, refresh_table, write_snapshot
+from snapledger.sinks import switch
+from snapledger.sinks.parquet import (
+    counted_by_footers,
+    landed_rows,
+    publish,
+    published_path,
+    read_published,
+    refresh_table,
+    write_snapshot,
+)
 from snapledger.sources import snapshots
 from snapledger.sources.union_by_name import read_union_by_name
 
@@ -117,12 +128,31 @@ def test_index_and_keys_read_no_column(spark, lake, plan):
 
 def test_partition_values_come_from_the_listing(spark, lake, plan):
     latest = snapshots.latest_dates(read(spark, lake), "release_year")
-    with session.partition_values_from_listing(spark):
-        assert "FileScan" not in plan(latest)
-        assert values(latest) == [(2022, D3), (2023, D2), (2024, D1)]
+    listed = session.from_listing(latest)
+    assert "FileScan" not in plan(listed)
+    assert values(listed) == [(2022, D3), (2023, D2), (2024, D1)]
+    # Queries of the caller's own session, before and after and meanwhile, are not affected.
+    assert "FileScan" in plan(latest) and values(latest) == values(listed)
     assert spark.conf.get("spark.sql.optimizer.metadataOnly") == "false"
 
 
+def test_concurrent_queries_keep_their_own_plans(spark, lake, plan):
+    rows = read(spark, lake)
+
+    def listed(_):
+        found = session.from_listing(rows.select("release_year").distinct())
+        return "FileScan" in plan(found), values(found)
+
+    def scanned(_):
+        found = rows.select("release_year").distinct()
+        return "FileScan" in plan(found), values(found)
+
+    with ThreadPoolExecutor(8) as pool:
+        mine = [pool.submit(f, n) for n in range(8) for f in (listed, scanned)]
+    years = [(2022,), (2023,), (2024,)]
+    assert [m.result() for m in mine] == [(False, years), (True, years)] * 8
+
+
 def test_keys_that_are_no_numbers_are_skipped(spark, tmp_path):
     base = str(tmp_path / "odd")
     frame = spark.createDataFrame(
@@ -184,34 +214,171 @@ def test_union_by_name_with_both_kinds_in_one_directory(spark, tmp_path):
     assert values(read_union_by_name(spark, str(tmp_path)).select("v")) == [("1",), ("2",), ("x",)]
 
 
-def test_publish_is_versioned_and_replaces(spark, tmp_path):
-    root = str(tmp_path)
+def days(spark, n):
+    return spark.range(n).withColumn("day", F.col("id") % 4)
+
 
-    def days(n):
-        return spark.range(n).withColumn("day", F.col("id") % 4)
+def published(spark, root, name="t", major=1):
+    return values(read_published(spark, root, name, major, T.StructType.fromDDL("id long, day long")))
 
-    assert publish(days(5), root, "daily_ranks", 1, ["day"]) == 5
-    assert publish(days(3), root, "daily_ranks", 1, ["day"]) == 3
-    assert publish(days(7), root, "daily_ranks", 2, ["day"]) == 7
-    assert spark.read.parquet(published_path(root, "daily_ranks", 1)).count() == 3
-    assert published_path(root, "daily_ranks", 2).endswith("/published_tables/daily_ranks/v2")
+
+def test_publish_is_versioned_and_replaces(spark, tmp_path):
+    root = str(tmp_path)
+    assert publish(days(spark, 5), root, "t", 1, ["day"]) == 5
+    assert publish(days(spark, 3), root, "t", 1, ["day"]) == 3
+    assert publish(days(spark, 7), root, "t", 2, ["day"]) == 7
+    assert len(published(spark, root)) == 3 and len(published(spark, root, major=2)) == 7
+    assert published_path(root, "t", 2).endswith("/published_tables/t/v2")
+    with pytest.raises(FileNotFoundError):
+        published(spark, root, "other")
 
 
 def test_failed_or_empty_publish_leaves_what_is_there(spark, tmp_path):
-    root, rows = str(tmp_path), spark.range(8).withColumn("day", F.col("id") % 4)
+    root, rows = str(tmp_path), days(spark, 8)
     publish(rows, root, "t", 1, ["day"])
     broken = rows.withColumn("id", F.when(F.col("day") < 3, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
     with pytest.raises(Exception, match="no"):
         publish(broken, root, "t", 1, ["day"])
     with pytest.raises(ValueError, match="no rows"):
         publish(rows.limit(0), root, "t", 1, ["day"])
-    assert spark.read.parquet(published_path(root, "t", 1)).count() == 8
+    assert len(published(spark, root)) == 8
+    assert len(os.listdir(f"{published_path(root, 't', 1)}/_data")) == 1
+
+
+def test_publish_that_breaks_at_its_switch_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    publish(days(spark, 8), root, "t", 1, ["day"])
+
+    def broken(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(switch, "created", broken)
+        with pytest.raises(OSError, match="gone"):
+            publish(days(spark, 99), root, "t", 1, ["day"])
+    assert len(published(spark, root)) == 8
+    # A mark that was begun and not finished counts for nothing, and its number is left out.
+    open(f"{published_path(root, 't', 1)}/_marks/0000000002", "w").close()
+    assert len(published(spark, root)) == 8
+    publish(days(spark, 5), root, "t", 1, ["day"])
+    assert len(published(spark, root)) == 5
+    assert switch.marks(spark, published_path(root, "t", 1))[0][0] == 3
+
+
+def test_readers_keep_the_table_they_began_with(spark, tmp_path):
+    root = str(tmp_path)
+    publish(days(spark, 8), root, "t", 1, ["day"])
+    before = read_published(spark, root, "t", 1, T.StructType.fromDDL("id long, day long"))
+    publish(days(spark, 3), root, "t", 1, ["day"])
+    assert before.count() == 8 and len(published(spark, root)) == 3
+    for n in (4, 5, 6):
+        publish(days(spark, n), root, "t", 1, ["day"])
+    assert len(os.listdir(f"{published_path(root, 't', 1)}/_data")) == 2
+    # Whoever reads the folder itself sees no rows rather than those of several publishes.
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        spark.read.parquet(published_path(root, "t", 1))
+
+
+def test_publishing_evaluates_its_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    publish(days(spark, 40).mapInArrow(count, "id long, day long"), str(tmp_path), "t", 1, ["day"])
+    assert seen.value == 40
+
+
+def test_one_of_many_publishers_is_what_readers_have(spark, tmp_path):
+    root = str(tmp_path)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: publish(days(spark, n), root, "t", 1, ["day"]), [4, 5, 6, 7]))
+    found = published(spark, root)
+    assert len(found) in (4, 5, 6, 7) and len({r[0] for r in found}) == len(found)
+
+
+def test_two_writers_of_a_snapshot_leave_one_result(spark, tmp_path):
+    base = str(tmp_path / "lake")
+
+    def rows(writer):
+        return spark.range(40).select(
+            F.lit(writer).alias("writer"),
+            (2000 + F.col("id") % 5).cast("int").alias("release_year"),
+            F.lit(D1).alias("scraped_date"),
+        )
+
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda w: write_snapshot(rows(w), base, "release_year"), "abcd"))
+    assert counts == [40] * 4
+    found = snapshots.read_snapshots(spark, base, "release_year", columns=["writer"]).collect()
+    assert len(found) == 40
+    for year in range(2000, 2005):
+        assert len({r["writer"] for r in found if r["release_year"] == year}) == 1
+    assert [n for n in os.listdir(base) if n.startswith("_")] == []
+
+
+def test_a_snapshot_that_cannot_be_moved_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "lake")
+    frame = spark.createDataFrame([("old", 2024, D1)], "v string, release_year int, scraped_date date")
+    write_snapshot(frame, base, "release_year")
+    broken = frame.withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        write_snapshot(broken, base, "release_year")
+    with switch.turn(spark, base):
+        monkeypatch.setattr(switch, "WAIT_SECONDS", 0)
+        with pytest.raises(switch.Busy), switch.turn(spark, base, wait_seconds=0):
+            pass
+    assert values(read(spark, base).select("v")) == [("old",)]
+    assert [n for n in os.listdir(base) if n.startswith("_")] == []
+
+
+def test_the_turn_of_a_writer_that_is_gone_is_taken_over(spark, tmp_path):
+    base = str(tmp_path)
+    assert switch.created(spark, f"{base}/_turn", "someone")
+    with pytest.raises(switch.Busy), switch.turn(spark, base, wait_seconds=0):
+        pass
+    with switch.turn(spark, base, wait_seconds=5, stale_seconds=-1) as own:
+        assert switch.content(spark, f"{base}/_turn") == own != "someone"
+    assert os.listdir(base) == []
+
+
+def test_rows_by_key_come_from_the_footers(spark, lake, plan):
+    datasets = {"a": (lake, "release_year", "int"), "none": (lake + "-none", "release_year", "int")}
+    assert values(landed_rows(spark, datasets, D1)) == sorted(
+        ("a", str(r["release_year"]), r["count"])
+        for r in read(spark, lake).where(F.col("scraped_date") == F.lit(D1)).groupBy("release_year").count().collect()
+    )
+    footers = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    other = session.with_settings(spark, footers)
+    text = plan(counted_by_footers(other, lake, "release_year", "int", D1))
+    assert "PushedAggregation: [COUNT(*)]" in text
 
 
 def test_refresh_table(spark):
     refresh_table(spark.range(5), "layer_table")
     refresh_table(spark.range(2), "layer_table")
     assert spark.table("layer_table").count() == 2
+    refresh_table(spark.range(3).withColumn("more", F.lit("x")), "layer_table")
+    assert spark.table("layer_table").columns == ["id", "more"]
+    tables = [r["tableName"] for r in spark.sql("SHOW TABLES LIKE 'layer_table*'").collect()]
+    assert len(tables) == 3
+
+
+def test_a_failing_refresh_leaves_the_table(spark):
+    refresh_table(spark.range(5), "failing_table")
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        refresh_table(broken, "failing_table")
+    assert spark.table("failing_table").count() == 5
+    assert spark.sql("SHOW TABLES LIKE 'failing_table*'").count() == 2
+
+
+def test_a_table_of_old_becomes_a_view(spark):
+    spark.range(4).write.mode("overwrite").saveAsTable("older_table")
+    refresh_table(spark.range(6), "older_table")
+    assert spark.table("older_table").count() == 6
 
 
 def test_broadcast_only_below_the_bound(spark, plan):
