@@ -21,10 +21,11 @@ from queries.registry import BASE_URL, markup, money, query, table
 from snapledger.functions import html
 from snapledger.operators import checks, coverage
 from snapledger.operators import pages as page_ops
-from snapledger.plans import daily, layers
+from snapledger.plans import daily, layers, page_index
 from snapledger.plans import datasets as ds
 from snapledger.session import scratch_path, stage
 from snapledger.sinks.parquet import publish, read_published, write_snapshot
+from snapledger.sources.snapshots import DATE
 
 DAY = "2024-05-01"
 PARTS = ["release_year", "loaded_date"]
@@ -175,7 +176,7 @@ GROUP_IDS_SQL = f"""
 
 
 def release_ids(spark, sf_dir) -> DataFrame:
-    return ds.lookup_ids(lookup_lake(spark, sf_dir), "domestic_release_url", ds.RELEASE_ID)
+    return ds.lookup_ids(lookup_lake(spark, sf_dir), "domestic_release_url", page_index.RELEASE_ID)
 
 
 @query(IDS_SQL)
@@ -188,9 +189,12 @@ DAILY = ["Date", "DOW", "Daily", "Theaters"]
 
 def wanted_releases(spark, sf_dir) -> DataFrame:
     """Release pages of parts whose id the lookup has."""
-    ids = stage(release_ids(spark, sf_dir), "ids")
-    pages = part_releases(spark, sf_dir).withColumn("page_key", F.col("url"))
-    return ds.with_ids(ds.with_page_id(pages, ds.RELEASE_ID), ids)
+    day = F.lit(DAY).cast("date").alias("fetched_date")
+    pages = part_releases(spark, sf_dir).select(F.col("url").alias("page_key"), "url", "html", day)
+    firsts = page_index.first_pages(page_index.page_index(pages, BASE_URL, RUN_TS.date()))
+    ids = ds.with_years(release_ids(spark, sf_dir))
+    wanted = stage(page_index.listed_pages(firsts, page_index.RELEASE_PATH, ids), "wanted")
+    return page_index.with_markup(wanted, pages, RUN_TS.date()).drop(DATE)
 
 
 @query(
@@ -335,7 +339,7 @@ def batch_totals(spark, sf_dir):
 def site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as year listings, customers as groups and parts as releases, one page each."""
     listings = order_listings(spark, sf_dir).select(
-        markup(f"{BASE_URL}{ds.YEAR_PATH}", F.col("release_year"), "/?page=", F.col("o_orderkey")).alias("url"),
+        markup(f"{BASE_URL}{page_index.YEAR_PATH}", F.col("release_year"), "/?page=", F.col("o_orderkey")).alias("url"),
         "html",
     )
     groups = customer_groups(spark, sf_dir).select("url", "html")
@@ -422,7 +426,7 @@ def daily_run_rows(spark, sf_dir):
 def daily_run_failures(spark, sf_dir):
     """Ids without a page and repeated pages; other spellings of a URL lose nothing."""
     pages = site(spark, sf_dir)
-    group = F.col("url").contains(ds.GROUP_PATH)
+    group = F.col("url").contains(page_index.GROUP_PATH)
     url = F.regexp_replace("url", "^https:", "HTTPS:")
     pages = pages.withColumn("url", F.when(group, F.regexp_replace(url, "/$", "")).otherwise(F.col("url")))
     number = F.regexp_extract("url", r"/gr(\d+)$", 1).try_cast("long")

@@ -13,6 +13,7 @@ from snapledger.functions import html
 from snapledger.operators import checks
 from snapledger.operators import pages as page_ops
 from snapledger.plans import datasets as ds
+from snapledger.plans import page_index
 from snapledger.plans import layers
 from snapledger.session import stage
 
@@ -104,7 +105,7 @@ def release_page() -> Column:
 def customer_groups(spark, sf_dir) -> DataFrame:
     return source(spark, sf_dir, "customer").select(
         "c_custkey",
-        markup(f"{BASE_URL}{ds.GROUP_PATH}gr", F.col("c_custkey"), "/").alias("url"),
+        markup(f"{BASE_URL}{page_index.GROUP_PATH}gr", F.col("c_custkey"), "/").alias("url"),
         group_page().alias("html"),
     )
 
@@ -112,7 +113,7 @@ def customer_groups(spark, sf_dir) -> DataFrame:
 def part_releases(spark, sf_dir) -> DataFrame:
     return source(spark, sf_dir, "part").select(
         "p_partkey",
-        markup(f"{BASE_URL}{ds.RELEASE_PATH}rl", F.col("p_partkey"), "/").alias("url"),
+        markup(f"{BASE_URL}{page_index.RELEASE_PATH}rl", F.col("p_partkey"), "/").alias("url"),
         release_page().alias("html"),
     )
 
@@ -160,7 +161,7 @@ DOMESTIC_SQL = f"""
 @query(f"SELECT c_custkey, {DOMESTIC_SQL} || '?ref_=x' AS url FROM customer")
 def page_labelled_link(spark, sf_dir):
     parsed = parse(customer_groups(spark, sf_dir), ("a",))
-    link = page_ops.labelled_link(ds.RELEASE_PATH, ds.DOMESTIC, BASE_URL)
+    link = page_ops.labelled_link(page_index.RELEASE_PATH, ds.DOMESTIC, BASE_URL)
     return parsed.select("c_custkey", link.alias("url"))
 
 

@@ -78,8 +78,11 @@ def _move_snapshots(spark: SparkSession, stage: str, base: str) -> None:
             raise OSError(f"{staged} could not be moved to {place}")
 
 
-def landed_rows(spark: SparkSession, datasets: dict[str, tuple[str, str, str]], date) -> DataFrame:
-    """``dataset, item, rows`` of the snapshots of one date, from the counts in the files' footers.
+def landed_rows(
+    spark: SparkSession, datasets: dict[str, tuple[str, str, str]], date
+) -> tuple[DataFrame, str]:
+    """``dataset, item, rows`` of the snapshots of one date, from the counts in the files'
+    footers, staged; and where.
 
     ``datasets`` has for each name its folder, its key and the key's type. No row is
     read: the scan itself answers the counts by partition.
@@ -96,7 +99,7 @@ def landed_rows(spark: SparkSession, datasets: dict[str, tuple[str, str, str]],
             item = F.col(key).cast("string").alias("item")
             counts = counts.unionByName(found.select(F.lit(name).alias("dataset"), item, "rows"))
     _, path = write_stage(counts, "landed-rows")
-    return spark.read.schema(counts.schema).parquet(path)
+    return spark.read.schema(counts.schema).parquet(path), path
 
 
 def counted_by_footers(spark: SparkSession, base: str, key: str, kind: str, date):

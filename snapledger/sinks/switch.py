@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 MARKS = "_marks"
@@ -36,12 +37,20 @@ def created(spark: SparkSession, path: str, content: str) -> bool:
     """Whether this call made the file: false if there is one already."""
     fs, target = file_system(spark, path)
     fs.mkdirs(target.getParent())
+    local = fs.getUri().getScheme() == "file"
     try:
-        out = fs.create(target, False)
-    except Exception as problem:
-        if fs.exists(target):
+        if local:
+            # Hadoop's local files are looked for first and made then, which two may do at once.
+            nothing = spark.sparkContext._gateway.new_array(
+                spark._jvm.java.nio.file.attribute.FileAttribute, 0
+            )
+            place = spark._jvm.java.io.File(target.toUri().getPath()).toPath()
+            spark._jvm.java.nio.file.Files.createFile(place, nothing)
+        out = fs.create(target, local)
+    except Py4JJavaError as problem:
+        if "FileAlreadyExistsException" in str(problem.java_exception):
             return False
-        raise problem
+        raise
     try:
         out.write((content + "\n").encode())
     finally:
