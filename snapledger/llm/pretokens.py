@@ -1,19 +1,21 @@
 """Encoding texts piece by piece: each distinct piece of a text goes to the tokenizer once.
 
-Most of a tokenizer's time is spent on words it has met before. Texts are split at
-blanks, and the distinct pieces between them further into runs that the tokenizer's own
-rules never join; only runs not seen before by this Python worker are encoded. A text in
-which such a split could change the result, as it holds a special token or several white
-space characters in a row, is encoded whole.
+Most of a tokenizer's time is spent on words it has met before. Texts are cut at blanks and
+between words and the marks around them, where the tokenizer's own rules never join. A Python
+worker remembers the pieces it has met with their ids, so that only new ones are encoded. A
+text in which such a cut could change the result, as it holds a special token or several
+white space characters in a row, is encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
+import string
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Runs that a worker remembers; beyond it starts anew.
-MAX_RUNS = 400_000
+# Pieces that a worker remembers in one generation, of which it keeps two.
+MAX_PIECES = 250_000
 # Bytes of text that are taken at once.
 SLICE_BYTES = 4_000_000
 
@@ -34,8 +36,8 @@ SPACE = (
 # A blank inside or at the end of a run of white space: there a byte-level tokenizer may
 # join what a split at the blank would part.
 UNSAFE = SPACE + " (?:" + SPACE + r"|\z)"
-MARKS = ".,;:!?|"
-INNER_LINE_END = re.compile(r"(?<=\S)(\n)(?=\S)")
+# Punctuation that is apart from words around it; an apostrophe may belong to one.
+MARKS = string.punctuation.replace("'", "")
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -59,12 +61,94 @@ def ends_word(char: str) -> bool:
     return char.isalnum() and unicodedata.normalize("NFC", char.lower()).isalnum()
 
 
+@cache
+def kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By byte: marks, and ASCII characters that are no space; by code point: word ends."""
+    marks, solid = np.zeros(256, bool), np.zeros(256, bool)
+    marks[[ord(c) for c in MARKS]] = True
+    solid[33:127] = True
+    words = np.fromiter((ends_word(chr(c)) for c in range(1 << 16)), bool, 1 << 16)
+    return marks, solid, words
+
+
+def word_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a character that ends a word ends right before each of the places.
+
+    Characters of four bytes do not count, so that nothing is cut behind them.
+    """
+    last, second, third = (data[np.maximum(at - n, 0)].astype(np.int64) for n in (1, 2, 3))
+    two = (second & 0x1F) << 6 | last & 0x3F
+    three = (third & 0x0F) << 12 | (second & 0x3F) << 6 | last & 0x3F
+    code = np.where(last < 0x80, last, np.where(second >= 0xC0, two, np.where(third >= 0xE0, three, 0)))
+    return kinds()[2][code] & (at > 0)
+
+
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces of the texts in ``data`` (UTF-8, one after another) begin.
+
+    A piece begins with each text, with each blank, between a word and a mark, and around
+    the end of a line between two lines that have no space there.
+    """
+    marks, solid, words = kinds()
+    cut = data == 32
+    cut[starts[starts < len(data)]] = True
+    mark = np.flatnonzero(marks[data])
+    cut[mark[word_before(data, mark)]] = True
+    after = mark[mark + 1 < len(data)] + 1
+    cut[after[words[data[after]] & (data[after] < 0x80)]] = True
+    line = np.flatnonzero(data == 10)
+    line = line[(line > 0) & (line + 1 < len(data))]
+    line = line[(solid[data[line - 1]] | word_before(data, line)) & solid[data[line + 1]]]
+    cut[line] = True
+    cut[line + 1] = True
+    return np.flatnonzero(cut)
+
+
+class Generation:
+    """Pieces by their text, and the ids of each."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.count = self.used = 0
+        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pool = np.zeros(1 << 18, np.uint32)
+
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, self.count = self.count, self.count + len(pieces)
+        self.place.update(zip(pieces, range(first, self.count)))
+        self.begin, self.size = (grown(x, self.count) for x in (self.begin, self.size))
+        self.pool = grown(self.pool, self.used + len(ids))
+        self.begin[first : self.count] = self.used + np.cumsum(sizes) - sizes
+        self.size[first : self.count] = sizes
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def find(self, pieces: list[str]) -> np.ndarray:
+        """Places of the pieces, -1 for those that are not here."""
+        return np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after another, and how many each has."""
+        sizes = self.size[places]
+        return self.pool[gather(self.begin[places], sizes)], sizes
+
+
+def grown(values: np.ndarray, least: int) -> np.ndarray:
+    """The array with room for ``least`` values."""
+    if least <= len(values):
+        return values
+    return np.concatenate([values, np.zeros(max(least, 2 * len(values)) - len(values), values.dtype)])
+
+
 class Encoder:
-    """A tokenizer file, and the runs that this worker has encoded with it.
+    """A tokenizer file, and the pieces that this worker has encoded with it.
+
+    When a generation of pieces is full, the next begins; what is met again moves over
+    from the one before, so that frequent pieces stay and rare ones go.
 
     ``drops_space`` tells a tokenizer that ignores white space and never joins across
-    it from a byte-level one that puts a blank in front of the following word; any
-    other kind of file gets whole texts only.
+    it from a byte-level one that puts a blank in front of the following word, as pieces
+    have it; any other kind of file gets whole texts only.
     """
 
     def __init__(self, path: str):
@@ -86,53 +170,31 @@ class Encoder:
         split = (kind.get("pretokenizers") or [{}])[0]
         self.drops_space = split.get("type") == "Split" and bool(split.get("invert"))
         self.whole_only = not (byte_level or self.drops_space)
-        self.forget()
-
-    def forget(self) -> None:
-        self.runs: dict[str, int] = {}
-        self.pool = np.zeros(1 << 20, np.uint32)
-        self.used = 0
-        self.ends = [0]
+        self.young, self.old = Generation(), Generation()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
-    def split(self, unit: str) -> list[str]:
-        """A piece between blanks as runs that are tokenized apart in any case."""
-        runs = []
-        for part in INNER_LINE_END.split(unit) if "\n" in unit else (unit,):
-            head = part.rstrip(MARKS)
-            if head and len(head) < len(part) and ends_word(head[-1]):
-                runs += (head, part[len(head) :])
-            elif part:
-                runs.append(part)
-        return runs
-
-    def places(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the runs of all units, and how many each unit has."""
-        if len(self.runs) > MAX_RUNS:
-            self.forget()
-        known, flat, counts, new = self.runs, [], [], {}
-        for unit in units:
-            runs = self.split(unit)
-            counts.append(len(runs))
-            for run in runs:
-                place = known.get(run)
-                if place is None:
-                    place = new.setdefault(run, len(known) + len(new))
-                flat.append(place)
-        fresh = list(new)
-        for at in range(0, len(fresh), 100_000):
-            for found in self.whole(fresh[at : at + 100_000]):
-                if self.used + len(found) > len(self.pool):
-                    spare = np.zeros(len(self.pool) + len(found), np.uint32)
-                    self.pool = np.concatenate([self.pool, spare])
-                self.pool[self.used : self.used + len(found)] = found
-                self.used += len(found)
-                self.ends.append(self.used)
-        known.update(new)
-        return np.array(flat, np.int64), np.array(counts, np.int64)
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """Places of distinct pieces in the young generation, where each of them is now."""
+        if self.young.count > MAX_PIECES:
+            self.young, self.old = Generation(), self.young
+        found = self.young.find(pieces)
+        at = np.flatnonzero(found < 0)
+        if len(at):
+            unknown = [pieces[i] for i in at.tolist()]
+            before = self.old.find(unknown)
+            again = np.flatnonzero(before >= 0)
+            self.young.add([unknown[i] for i in again.tolist()], *self.old.ids(before[again]))
+            new = [unknown[i] for i in np.flatnonzero(before < 0).tolist()]
+            for first in range(0, len(new), 100_000):
+                some = new[first : first + 100_000]
+                ids = self.whole(some)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                self.young.add(some, np.concatenate(ids), sizes)
+            found[at] = self.young.find(unknown)
+        return found
 
     def encode(self, texts: pa.Array, with_ids: bool = True):
         """Ids of all texts in a row (or ``None``), and the number of ids of each."""
@@ -145,9 +207,9 @@ class Encoder:
         if not self.drops_space:
             odd |= np.asarray(pc.match_substring_regex(texts, UNSAFE))
         if not odd.any():
-            return self._by_unit(texts, with_ids)
+            return self._by_piece(texts, with_ids)
         whole = iter(self.whole([t.as_py() for t in texts.filter(pa.array(odd))]))
-        ids, lengths = self._by_unit(texts.filter(pa.array(~odd)), with_ids)
+        ids, lengths = self._by_piece(texts.filter(pa.array(~odd)), with_ids)
         ends = np.cumsum(lengths)
         parts = iter(np.split(ids, ends[:-1])) if with_ids and len(ends) else iter(())
         sizes = iter(lengths)
@@ -159,33 +221,24 @@ class Encoder:
         joined = np.concatenate(every) if with_ids else None
         return joined, np.array(counts, np.int64)
 
-    def _by_unit(self, texts: pa.Array, with_ids: bool):
+    def _by_piece(self, texts: pa.Array, with_ids: bool):
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        pieces = pc.split_pattern(texts, " ")
-        offsets = np.asarray(pieces.offsets, np.int64)
-        coded = pieces.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices, np.int64)
-        per_text = np.diff(offsets)
-        if not self.drops_space:
-            # The first piece of a text stands without the blank, the others with it.
-            first = np.flatnonzero(per_text) if len(per_text) else per_text
-            starts = offsets[:-1][first] - offsets[0]
-            bare, where = np.unique(codes[starts], return_inverse=True)
-            units = [" " + w for w in words] + [words[i] for i in bare]
-            codes[starts] = len(words) + where
-        else:
-            units = words
-        places, counts = self.places(units)
-        ends = np.array(self.ends, np.int64)
-        begin, size = ends[:-1][places], np.diff(ends)[places]
-        unit_size = sums(size, counts)
-        lengths = sums(unit_size[codes], per_text)
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        begin = cuts(data, ends[:-1])
+        # Pieces lie one after another, so they are the same bytes between other places.
+        pieces = pa.Array.from_buffers(
+            pa.large_string(), len(begin), [None, pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data)]
+        )
+        coded = pieces.dictionary_encode()
+        places = self.places(coded.dictionary.to_pylist())[np.asarray(coded.indices, np.int64)]
+        per_text = np.diff(np.searchsorted(begin, ends))
         if not with_ids:
-            return None, lengths
-        pool = self.pool[gather(begin, size)]
-        unit_begin = np.cumsum(unit_size) - unit_size
-        return pool[gather(unit_begin[codes], unit_size[codes])], lengths
+            return None, sums(self.young.size[places], per_text)
+        ids, sizes = self.young.ids(places)
+        return ids, sums(sizes, per_text)
 
 
 _ENCODERS: dict[str, Encoder] = {}

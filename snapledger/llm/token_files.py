@@ -120,7 +120,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     a run of segments of about ``SEGMENT`` ids that end with a document. A row of the
     files is a segment: its shard, its number, the ids of the shard before it, the
     documents with their lengths, and the packed blocks. ``end_id`` closes each
-    document, so none is empty. Rows of one doc_id are written in order of their text.
+    document, so none is empty, not that of a null text. Rows of one doc_id are written
+    in the order of a hash of their text, those alike one after another, and may be many
+    shards. A text of any length is one document of one segment. Other columns are not
+    looked at; an empty table writes no segment.
     """
 
     ship(docs.sparkSession)
@@ -170,10 +173,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             yield close()
 
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    # Rows without doc_id, of one doc_id or all alike may be very many: they are cut as well.
+    order = ["doc_id", "hash", "number"]
     (
         docs.select(F.col("doc_id").cast("long"), text)
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumns({"hash": F.xxhash64("text"), "number": F.monotonically_increasing_id()})
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
         .mapInArrow(segments, SEGMENTS)
         .write.option("compression", "none")
         .parquet(path)
@@ -184,7 +191,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Documents of written files: ``doc_id``, ``start``, ``n_tokens``, ``ids`` (binary).
 
     ``start`` counts the ids of all documents before; only one number per shard is
-    summed up in a single task.
+    summed up in a single task. Repeated rows and rows without doc_id come back as they
+    were written, and files of an empty table give no row.
     """
 
     ship(spark)

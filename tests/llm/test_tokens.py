@@ -15,7 +15,7 @@ BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_b
 PARTS = [
     " ", "  ", "   ", "\n", "\n ", " \n", "\t", "a", "Bc", "é", "ß", "1", "23", "²", ".", ",", "!?",
     "'s", "'re", "_", "-", "|", "<|endoftext|>", "<|startoftext|>", "日本", "́", "\xa0", " ",
-    "\x1c", "\x85", "word", "I'll", "İ", "Σ", "ς", "​", "½", "٣", "क़",
+    "\x1c", "\x85", "word", "I'll", "İ", "Σ", "ς", "​", "½", "٣", "क़", "=", "̸", "😀", "#%", "o'", "$5.0", "x_y",
 ]
 ROWS = [(3, "the cat, the dog."), (1, None), (2, ""), (7, "a b " * 3000), (7, "a b " * 3000),
         (None, "no id"), (5, "x\n\n  y <|endoftext|> z"), (9, "word, Word. " * 700)]
@@ -39,7 +39,7 @@ def test_pieces_give_the_ids_of_whole_texts(path):
 
 
 def test_forgetting_keeps_results(monkeypatch):
-    monkeypatch.setattr("snapledger.llm.pretokens.MAX_RUNS", 3)
+    monkeypatch.setattr("snapledger.llm.pretokens.MAX_PIECES", 3)
     encoder = Encoder(BYTES)
     for text in ("one two three four", "five six one two", "seven eight nine"):
         ids, _ = encoder.encode(pa.array([text]))
