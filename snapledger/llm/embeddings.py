@@ -169,13 +169,17 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     Vectors that are null, empty, zero or hold null or non-finite components, vectors
     of different lengths, and rows without label or vec_id link with nothing. Equal vectors of a
     label are compared once and counted with their copies. A bucket of any size is
-    compared whole, by pairs of blocks that are separate tasks. The result depends on
+    compared whole, by pairs of blocks that are separate tasks. Cosines are computed in
+    double precision from the components as given, whatever their size. The result depends on
     a fixed seed; a pair at the threshold is missed with a chance of ``MISS`` at most.
     Repeated rows count as others; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     ship(spark)
-    vec = F.col("embedding").cast("array<float>")
+    # Floats stay floats on their way; all other numbers are doubles, and all are compared so.
+    given = vectors.schema["embedding"].dataType.simpleString()
+    kind = "array<float>" if given == "array<float>" else "array<double>"
+    vec = F.col("embedding").cast(kind)
     sound = (
         F.col("label").isNotNull()
         & F.col("vec_id").isNotNull()
@@ -204,7 +208,7 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
             "vec",
         ).mapInArrow(
             lambda batches: encode(batches, bits, tables),
-            "id long, label_code long, label string, copies long, dim int, vec array<float>, "
+            f"id long, label_code long, label string, copies long, dim int, vec {kind}, "
             "keys array<long>, factor double",
         ),
         "codes",

@@ -15,7 +15,7 @@ import string
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Pieces that a worker remembers in one generation, of which it keeps two.
-MAX_PIECES = 250_000
+MAX_PIECES = 500_000
 # Bytes of text that are taken at once.
 SLICE_BYTES = 4_000_000
 
@@ -172,9 +172,11 @@ class Encoder:
         self.whole_only = not (byte_level or self.drops_space)
         self.young, self.old = Generation(), Generation()
 
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, as the tokenizer gives them, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def places(self, pieces: list[str]) -> np.ndarray:
         """Places of distinct pieces in the young generation, where each of them is now."""
@@ -190,9 +192,7 @@ class Encoder:
             new = [unknown[i] for i in np.flatnonzero(before < 0).tolist()]
             for first in range(0, len(new), 100_000):
                 some = new[first : first + 100_000]
-                ids = self.whole(some)
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                self.young.add(some, np.concatenate(ids), sizes)
+                self.young.add(some, *self.whole(some))
             found[at] = self.young.find(unknown)
         return found
 
@@ -208,7 +208,8 @@ class Encoder:
             odd |= np.asarray(pc.match_substring_regex(texts, UNSAFE))
         if not odd.any():
             return self._by_piece(texts, with_ids)
-        whole = iter(self.whole([t.as_py() for t in texts.filter(pa.array(odd))]))
+        whole, each = self.whole([t.as_py() for t in texts.filter(pa.array(odd))])
+        whole = iter(np.split(whole, np.cumsum(each)[:-1]))
         ids, lengths = self._by_piece(texts.filter(pa.array(~odd)), with_ids)
         ends = np.cumsum(lengths)
         parts = iter(np.split(ids, ends[:-1])) if with_ids and len(ends) else iter(())

@@ -41,8 +41,8 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
     return int(packed.view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (long) of every whole text; a null text is an empty one."""
+def fingerprints(docs: DataFrame, shingle: int = 3, *keep: str) -> DataFrame:
+    """``doc_id``, ``fp`` (long) and ``keep`` of every whole text; a null text is an empty one."""
 
     ship(docs.sparkSession)
 
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     def fingerprint(texts: pd.Series) -> pd.Series:
         return pd.Series([text_fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", fingerprint("text").alias("fp"))
+    return docs.select("doc_id", fingerprint("text").alias("fp"), *keep)
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -120,31 +120,59 @@ def near_links(codes: DataFrame, radius: int) -> DataFrame:
     )
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+def linked_codes(prints: DataFrame, radius: int = 2) -> tuple[DataFrame, str]:
+    """``fp, component_id, first`` for every code of ``prints`` (``row, doc_id, fp``), staged.
+
+    Codes are known by the first of their rows, in the order of doc_id (null last) and row,
+    whether it has a doc_id or not. ``first`` is the row that comes first of all that links
+    reach, and ``component_id`` its doc_id: null only when none of them has one.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    codes, codes_path = staged(prints.groupBy("fp").agg(F.min(first).alias("first")), "codes")
+    found = components(near_links(codes.select(F.col("first.row").alias("rep"), "fp"), radius))
+    rooted, rooted_path = staged(
+        codes.withColumn("rep", F.col("first.row"))
+        .join(found.withColumnRenamed("id", "rep"), "rep", "left")
+        .select("fp", "first", F.coalesce("component", "rep").alias("root")),
+        "roots",
+    )
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    labels, path = staged(
+        rooted.join(least, "root").select(
+            "fp", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("first")
+        ),
+        "labels",
+    )
+    for done in (codes_path, rooted_path):
+        discard(prints.sparkSession, done)
+    return labels, path
+
+
+def simhash_components(
+    docs: DataFrame, shingle: int = 3, radius: int = 2, key: str | None = None
+) -> DataFrame:
     """``doc_id``, ``fingerprint``, ``component_id`` and ``kept`` for every row of ``docs``.
 
     Two rows are linked when their fingerprints differ in at most ``radius`` bits;
     ``component_id`` is the smallest doc_id that links reach. Equal fingerprints are
-    one code whatever their number, so copies cost nothing beyond their own row.
-    Texts without words have fingerprint zero and are linked like any other. ``kept``
-    marks the rows with the smallest doc_id. A row without doc_id gets the component of
-    its links, or null when it is alone. Repeated rows stay repeated; an empty table
-    gives an empty result; other columns are not looked at.
+    one code whatever their number, so copies cost nothing beyond their own row. Texts
+    without words have fingerprint zero and are linked like any other; a text of any
+    length is taken whole. ``kept`` marks one row of each component: the first by doc_id,
+    of rows that agree in it or have none any one. Rows without doc_id link like others
+    and get the component of their links, or null when no row there has a doc_id.
+    Repeated rows and reused ids stay as they are; an empty table gives an empty result;
+    other columns are not looked at. ``key`` names a column of distinct longs that tells
+    the rows apart and is returned as well; without it rows are numbered here.
     """
-    spark = docs.sparkSession
-    prints, _ = staged(fingerprints(docs, shingle), "fingerprints")
-    codes, codes_path = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "codes")
-    found = components(near_links(codes.where("rep IS NOT NULL"), radius))
-    labels, _ = staged(
-        codes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "fp", F.coalesce("component", "rep").alias("component_id")
-        ),
-        "labels",
+    number = F.col(key) if key else F.monotonically_increasing_id()
+    prints, _ = staged(
+        fingerprints(docs.withColumn("row", number), shingle, "row"), "fingerprints"
     )
-    discard(spark, codes_path)
+    labels, _ = linked_codes(prints, radius)
     return prints.join(labels, "fp").select(
         "doc_id",
         hex64(F.col("fp")).alias("fingerprint"),
         "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+        (F.col("row") == F.col("first")).alias("kept"),
+        *([F.col("row").alias(key)] if key else []),
     )

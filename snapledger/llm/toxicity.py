@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +20,8 @@ from snapledger.llm.pretokens import slices
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_200, 4_000, 100_000
 # Tokens of a training sequence, and clean sequences taken from a document.
 CHUNK, PER_CLEAN = 40, 3
+# Toxic sequences that are trained on at most, drawn from all.
+TOXIC_CHUNKS = 2 * TOXIC_ROWS
 PREFIXES = (3, 4, 5)
 STEPS, RATE, RIDGE = 80, 0.2, 1e-3
 # Marginals from here on belong to a span.
@@ -177,23 +179,32 @@ def label_tokens(rows: list[tuple[str, bool]], markers: set[str], seed: int):
     """Training sequences: tokens and their labels.
 
     A token of a toxic document is labelled 1 when it carries a marker, every token of
-    a clean document is labelled 0. Toxic documents give the text around their markers,
-    clean ones a few random stretches.
+    a clean document is labelled 0. Toxic documents give the text around all their markers,
+    of which at most ``TOXIC_CHUNKS`` are drawn from the whole sample; one without any
+    marker says nothing about its tokens and is left out. Clean ones give a few random
+    stretches.
     """
     draw = np.random.default_rng(seed)
-    out = []
+    toxic_chunks, clean_chunks = [], []
     for text, toxic in rows:
         tokens = TOKEN.findall(text)
-        marked = [toxic and not markers.isdisjoint(features(t)) for t in tokens]
-        if any(marked):
-            starts = {max(0, marked.index(True) - CHUNK // 2)}
-        else:
+        if toxic:
+            marked = [not markers.isdisjoint(features(t)) for t in tokens]
+            covered = 0
+            for at in np.flatnonzero(marked).tolist():
+                if at >= covered:
+                    start = max(covered, at - CHUNK // 2)
+                    covered = start + CHUNK
+                    toxic_chunks.append((tokens[start:covered], marked[start:covered]))
+        elif tokens:
             most = max(1, len(tokens) - CHUNK)
-            starts = {int(x) for x in draw.integers(0, most, 1 if toxic else PER_CLEAN)}
-        for s in starts:
-            if tokens[s : s + CHUNK]:
-                out.append((tokens[s : s + CHUNK], marked[s : s + CHUNK]))
-    return out
+            for start in {int(x) for x in draw.integers(0, most, PER_CLEAN)}:
+                some = tokens[start : start + CHUNK]
+                clean_chunks.append((some, [False] * len(some)))
+    if len(toxic_chunks) > TOXIC_CHUNKS:
+        drawn = draw.choice(len(toxic_chunks), TOXIC_CHUNKS, replace=False)
+        toxic_chunks = [toxic_chunks[i] for i in np.sort(drawn)]
+    return toxic_chunks + clean_chunks
 
 
 def expectations(score: np.ndarray, inside: np.ndarray, model: Model):
@@ -300,7 +311,10 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
 
     The sample holds at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` documents, in the order
     of a hash of doc_id, of at most ``SAMPLE_CHARS`` characters each. Labels that are
-    null, contradict one another or are neither 0 nor 1 are left out.
+    null, contradict one another or are neither 0 nor 1 are left out. Of rows that share
+    a doc_id the one with the smallest text is taken, so the sample is bounded in rows
+    too. Null and very long texts are not in it; without any labelled text, as in empty
+    tables, the model scores all texts alike and as clean.
     """
     known = (
         labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
@@ -314,10 +328,14 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
     for value, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
         part = known.where(F.col("toxic") == value).orderBy("rank", "doc_id").limit(most)
         taken = part if taken is None else taken.unionAll(part)
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     rows = (
         docs.select("doc_id", "text")
         .where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
         .join(F.broadcast(taken.select("doc_id", "toxic")), "doc_id")
+        .withColumn("copy", one)
+        .where("copy = 1")
+        .drop("copy")
         .toPandas()
         .sort_values(["doc_id", "text"])
     )

@@ -84,3 +84,14 @@ def test_tables_miss_hardly_any_pair(rows):
     bits, tables = plan_tables(rows, 0.98)
     agree = (1 - math.acos(0.98) / math.pi) ** bits
     assert (1 - agree) ** tables <= embeddings.MISS and 2**bits >= min(4 * rows, 2**40)
+
+
+def test_doubles_are_compared_as_they_are(spark):
+    rows = [(1, [1e39, 2e39], 0), (2, [1e39, 2e39], 0), (3, [1e-300, 2e-300], 0), (4, [2e39, -1e39], 0)]
+    # Equal as floats, but on either side of the threshold as doubles.
+    turn = math.acos(0.98)
+    rows += [(5, [1.0, 0.0], 1), (6, [math.cos(turn - 1e-12), math.sin(turn - 1e-12)], 1)]
+    rows += [(7, [1.0, 0.0], 2), (8, [math.cos(turn + 1e-12), math.sin(turn + 1e-12)], 2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_links(frame).collect()}
+    assert got == {1: 2, 2: 2, 3: 2, 4: 0, 5: 1, 6: 1, 7: 0, 8: 0}

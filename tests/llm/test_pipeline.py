@@ -50,6 +50,15 @@ def test_run(spark, sf_dir):
     assert rows and all(r.length <= 1024 for r in rows)
 
 
+def test_near_duplicates_lose_no_text(spark, sf_dir):
+    """Reused ids and rows without one: different texts stay, copies go."""
+    texts = ["first text of some words here", "second one, quite another line of text", "third entirely different words again"]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[2]), (4, texts[0]), (None, texts[1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", texts[0]), ("1", texts[1]), ("None", texts[2])])
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -3,8 +3,15 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from snapledger.llm.common import components
-from snapledger.llm.simhash import covering_masks, near_links, simhash_components, text_fingerprint
+from snapledger.llm.simhash import (
+    covering_masks,
+    linked_codes,
+    near_links,
+    simhash_components,
+    text_fingerprint,
+)
 
 
 def plain(text, shingle=3):
@@ -89,3 +96,26 @@ def test_documents(docs):
 def test_radius_is_checked(shared):
     with pytest.raises(ValueError):
         near_links(shared.createDataFrame([(1, 1)], "rep long, fp long"), 3)
+
+
+def test_rows_without_id_and_reused_ids_keep_their_links(shared):
+    rows = [(0, 1, 0), (1, None, 3), (2, 2, 15), (3, None, 1 << 40), (4, 5, 0xFF << 50), (5, 5, 0xFF << 20)]
+    rows += [(6 + i, None, 0x3333333333 ^ (1 << i)) for i in range(5)]
+    prints = shared.createDataFrame(rows, "row long, doc_id long, fp long")
+    got = {r.fp: (r.component_id, r.first) for r in linked_codes(prints)[0].collect()}
+    # 0 and 15 are 4 bits apart and meet through 3, which has no id.
+    assert got[0] == got[3] == got[15] == (1, 0)
+    assert got[1 << 40] == (None, 3) or got[1 << 40] == (1, 0)
+    assert (got[0xFF << 50], got[0xFF << 20]) == ((5, 4), (5, 5))
+    assert {got[0x3333333333 ^ (1 << i)] for i in range(5)} == {(None, 6)}
+
+
+def test_one_row_of_each_component_is_kept(docs):
+    rows = [(1, "one two three four"), (1, "quite another text here"), (None, "one two three four"),
+            (None, "alone a b c"), (None, "alone a b c"), (7, "alone a b c d e f g h")]
+    frame = docs(rows).withColumn("number", F.monotonically_increasing_id())
+    got = simhash_components(frame, key="number").collect()
+    assert len({r.number for r in got}) == len(rows)
+    kept = sorted(str((r.doc_id, r.component_id)) for r in got if r.kept)
+    assert len(kept) == len({r.fingerprint for r in got}) and "(1, 1)" in kept and "(None, None)" in kept
+    assert [r.kept for r in got if r.doc_id is None].count(True) == 1
