@@ -2,7 +2,7 @@
 are mixed to target weights, and what remains is packed into sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. Rows
-without doc_id are documents like any other, except that near copies among them stay.
+without doc_id, or that share one, are documents like any other.
 """
 
 from __future__ import annotations
@@ -22,7 +22,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the random field scores below one half stay."""
+    """Documents that the random field scores below one half stay.
+
+    Null and empty texts score low and stay, repeated rows are judged each, and without
+    labels or documents nothing goes. Other columns end here.
+    """
     labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
     return toxic_spans(docs.select(*COLUMNS), train(docs, labels), keep=COLUMNS).where(
         "predicted = 0"
@@ -30,14 +34,24 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id."""
-    keep = simhash_components(docs, shingle=3, radius=2).where("kept").select("doc_id").distinct()
-    known = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    """One document of each SimHash group stays: the first by doc_id, null last.
+
+    Rows are numbered, so that different texts under one doc_id, and texts without any,
+    are documents like all others. Null texts are empty ones; the columns of an empty
+    table come back without rows.
+    """
+    numbered, _ = staged(
+        docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "numbered", "zstd"
+    )
+    keep = simhash_components(numbered, shingle=3, radius=2, key="row").where("kept")
+    return numbered.join(keep.select("row"), "row", "left_semi").select(*COLUMNS)
 
 
 def private_terms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and disclosing terms are masked; every document stays."""
+    """Personal data and disclosing terms are masked; every document stays.
+
+    A null text stays null. Repeated rows are masked alike; an empty table stays empty.
+    """
     text = masked(F.coalesce("text", F.lit("")), F.col("spans"))
     return (
         personal_data(docs.select(*COLUMNS))
@@ -50,7 +64,8 @@ def private_terms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose token weights fit tempered shares of source, language and topic.
 
-    Documents that are wanted more than once are repeated.
+    Documents that are wanted more than once are repeated. Nulls are a value of their
+    own in every dimension; repeated rows are drawn each; an empty table stays empty.
     """
     dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": layout_topic(F.col("text"))}
     sample = raked_sample(docs.select(*COLUMNS), dims, word_count(F.col("text")))
@@ -59,7 +74,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All pieces of all documents with their ids and places in sequences of 1024."""
+    """All pieces of all documents with their ids and places in sequences of 1024.
+
+    A null text is an empty one, which is its end id alone; repeated rows are packed
+    each; an empty table gives no piece.
+    """
     return pack(docs, tokenizer_path("byte_bpe_50k.json"), window=1024, end_id=0)
 
 
