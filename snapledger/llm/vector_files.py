@@ -13,7 +13,7 @@ from snapledger.llm import blocks
 from snapledger.llm.common import discard, ship, staged
 
 # Cells of one component; a cell number takes a byte at most.
-CELLS = 32
+CELLS = 64
 
 QUERY = "keys array<long>, ids array<long>, q array<long>"
 CELL_BLOCK = "row_keys array<long>, row_ids array<long>, cells binary, lows array<long>, highs array<long>"
