@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import quote
 
@@ -24,12 +25,17 @@ from pyspark.sql import types as T
 from snapledger.functions import text
 from snapledger.session import stage
 
-# Object-store schemes of Hadoop paths and their Arrow names.
-ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+FOOTER = "path string, name string, kind string"
+# Footers that are read at once where only Spark opens the store.
+READERS = 16
 
 
 def footer_columns(spark: SparkSession, base: str) -> DataFrame:
-    """``(dir, file, name, kind)`` for every column of every file, from the footers."""
+    """``(path, dir, name, kind)`` for every column of every file, from the footers.
+
+    Tasks open footers of files that they reach as files. In any other store they are read
+    by Spark's own reader, with its credentials, a few at a time.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
@@ -37,26 +43,35 @@ def footer_columns(spark: SparkSession, base: str) -> DataFrame:
         .load(base)
         .select("path")
     )
-    schemes = dict(ARROW_SCHEMES)
-
-    def read(batches):
-        for batch in batches:
-            found = {"path": [], "name": [], "kind": []}
-            for path in batch.column("path").to_pylist():
-                scheme, _, rest = path.partition(":")
-                uri = f"{schemes.get(scheme, scheme)}://{quote(rest.removeprefix('//'), safe='/=@:')}"
-                store, name = fs.FileSystem.from_uri(uri)
-                with store.open_input_file(name) as file:
-                    for field in pq.read_schema(file):
-                        found["path"].append(path)
-                        found["name"].append(field.name)
-                        found["kind"].append(str(field.type))
-            yield pa.RecordBatch.from_pydict(found)
-
-    columns = files.mapInArrow(read, "path string, name string, kind string")
+    here = F.col("path").startswith("file:")
+    columns = files.where(here).mapInArrow(_local_footers, FOOTER)
+    others = [row["path"] for row in files.where(~here).collect()]
+    if others:
+        with ThreadPoolExecutor(READERS) as pool:
+            found = [row for rows in pool.map(lambda p: _footer(spark, p), others) for row in rows]
+        columns = columns.unionByName(spark.createDataFrame(found, FOOTER))
     return columns.withColumn("dir", F.regexp_replace("path", "[^/]+$", ""))
 
 
+def _local_footers(batches):
+    for batch in batches:
+        found = {"path": [], "name": [], "kind": []}
+        for path in batch.column("path").to_pylist():
+            uri = f"file://{quote(path.partition(':')[2].removeprefix('//'), safe='/=@:')}"
+            store, name = fs.FileSystem.from_uri(uri)
+            with store.open_input_file(name) as file:
+                for field in pq.read_schema(file):
+                    found["path"].append(path)
+                    found["name"].append(field.name)
+                    found["kind"].append(str(field.type))
+        yield pa.RecordBatch.from_pydict(found)
+
+
+def _footer(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    fields = spark.read.parquet(path).schema.fields
+    return [(path, f.name, f.dataType.simpleString()) for f in fields]
+
+
 def read_union_by_name(spark: SparkSession, base: str) -> DataFrame:
     """Every file below ``base``: missing columns are null, clashing types widen.
 
@@ -127,49 +142,65 @@ def read_text_by_name(
     """Every file below ``base`` with its values as text, whatever types the files have.
 
     Gives the named ``columns`` (null where a file lacks one or has only nulls), the
-    values of ``keys`` (name and type) in the files' paths, and ``filename``. Spark lists
-    and reads the files with its own stores and credentials and hands each to a task; no
-    schema and no folder reaches the driver. A dataset that is not there is empty.
+    values of ``keys`` (name and type) in the files' paths, and ``filename``. Files that
+    agree in the types of these columns are one scan of Spark's, split and pruned like
+    any other whatever the files' size, and each scan's columns become text. Only where
+    types clash are there several scans. A dataset that is not there is empty.
     """
-    wanted = list(columns)
-
-    def read(batches):
-        for batch in batches:
-            for path, content in zip(batch["path"].to_pylist(), batch["content"]):
-                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                found = set(file.schema_arrow.names)
-                for rows in file.iter_batches(columns=[c for c in wanted if c in found]):
-                    texts = {
-                        c: _as_text(rows[c]) if c in found else pa.nulls(rows.num_rows, pa.string())
-                        for c in wanted
-                    }
-                    names = pa.array([path] * rows.num_rows, pa.string())
-                    yield pa.RecordBatch.from_pydict({**texts, "filename": names})
-
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*wanted, "filename"]])
+    schema = ", ".join([*(f"`{c}` string" for c in columns), "filename string"])
     try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .load(base)
-        )
+        footers = stage(footer_columns(spark, base).where(F.col("name").isin(columns)), "footers")
+        files = stage(_files(spark, base), "files")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = spark.createDataFrame([], "path string, content binary")
-    rows = files.select("path", "content").mapInArrow(read, schema)
+        rows = spark.createDataFrame([], schema)
+    else:
+        kinds = footers.groupBy("name").agg(F.collect_set("kind").alias("kinds"))
+        clashing = [row["name"] for row in kinds.where(F.size("kinds") > 1).collect()]
+        scans: dict = defaultdict(list)
+        if clashing:
+            for row in _classes(footers, clashing).collect():
+                scans[row["class"]].append(row["dir"])
+            # Files with none of these columns still have rows.
+            bare = files.join(footers.select("dir").distinct(), "dir", "left_anti")
+            scans[""] += [row["dir"] for row in bare.select("dir").distinct().collect()]
+        elif not files.isEmpty():
+            scans[""] = [base]
+        frames = [spark.createDataFrame([], schema)]
+        only_null = {row["name"] for row in kinds.where("array_contains(kinds, 'null')").collect()}
+        for key, paths in sorted(scans.items()):
+            own = dict(part.split("\t") for part in key.split("\n") if part)
+            if paths:
+                empty = {name for name in only_null if own.get(name, "null") == "null"}
+                frames.append(_as_text(_scan(spark, base, paths, own, []), columns, empty))
+        rows = reduce(lambda a, b: a.unionByName(b), frames)
     return rows.select(
-        *[F.col(f"`{c}`") for c in wanted],
+        *[F.col(f"`{c}`") for c in columns],
         *[text.path_value(F.col("filename"), k).try_cast(kind).alias(k) for k, kind in keys.items()],
         "filename",
     )
 
 
-def _as_text(values):
-    if pa.types.is_nested(values.type) or pa.types.is_binary(values.type):
-        return pa.array([None if v is None else str(v) for v in values.to_pylist()], pa.string())
-    return values.cast(pa.string())
+def _files(spark: SparkSession, base: str) -> DataFrame:
+    """``(path, dir)`` of every file, from the listing."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(base)
+    )
+    return files.select("path", F.regexp_replace("path", "[^/]+$", "").alias("dir"))
+
+
+def _as_text(scan: DataFrame, columns: list[str], empty: set[str]) -> DataFrame:
+    """The columns of a scan as text, and its ``filename``; null where it has none."""
+    found = {name for name in scan.columns if name not in empty}
+    texts = [
+        (F.col(f"`{c}`").cast("string") if c in found else F.lit(None).cast("string")).alias(c)
+        for c in columns
+    ]
+    return scan.select(*texts, "filename")
 
 
 # Pickled by value, so executors need no copy of this package.

@@ -19,7 +19,7 @@ from snapledger.sinks.parquet import (
     write_snapshot,
 )
 from snapledger.sources import snapshots
-from snapledger.sources.union_by_name import read_union_by_name
+from snapledger.sources.union_by_name import read_text_by_name, read_union_by_name
 
 D1, D2, D3 = (datetime.date(2024, 5, d) for d in (1, 2, 3))
 ROWS = [("a", 2023, D1), ("b", 2023, D2), ("c", 2024, D1), ("d", 2024, D1), ("e", 2022, D3)]
@@ -214,6 +214,42 @@ def test_union_by_name_with_both_kinds_in_one_directory(spark, tmp_path):
     assert values(read_union_by_name(spark, str(tmp_path)).select("v")) == [("1",), ("2",), ("x",)]
 
 
+def test_text_by_name_of_files_that_clash(spark, tmp_path, plan):
+    keys = {"release_year": "int", "scraped_date": "date"}
+    drop(tmp_path, 2022, "2022-01-01", pd.DataFrame({"v": [1, 2], "w": ["a", None]}))
+    drop(tmp_path, 2023, "2023-01-01", pd.DataFrame({"v": ["x", None], "more": [1.5, 2.5]}))
+    drop(tmp_path, 2024, "2024-01-01", pd.DataFrame({"other": [7]}))
+    drop(tmp_path, 2024, "2024-01-01", pd.DataFrame({"v": [None, None]}))
+    rows = read_text_by_name(spark, str(tmp_path), ["v", "w", "none"], keys)
+    found = rows.select("v", "w", "none", "release_year", F.col("scraped_date").cast("string")).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [("1", "a", None, 2022, "2022-01-01"), ("2", None, None, 2022, "2022-01-01"),
+         ("x", None, None, 2023, "2023-01-01"), (None, None, None, 2023, "2023-01-01")]
+        + [(None, None, None, 2024, "2024-01-01")] * 3, key=str,
+    )
+    assert rows.where("filename IS NULL").count() == 0
+    text = plan(rows)
+    assert "MapInArrow" not in text and "more" not in text and "FileScan parquet" in text
+
+
+def test_text_by_name_of_one_kind_is_one_scan(spark, lake, plan):
+    rows = read_text_by_name(spark, lake, ["v"], {"release_year": "int"})
+    assert plan(rows).count("FileScan") == 1
+    assert rows.count() == len(ROWS)
+    none = read_text_by_name(spark, f"{lake}-none", ["v"], {"release_year": "int"})
+    assert none.columns == ["v", "release_year", "filename"] and none.isEmpty()
+
+
+def test_footers_of_stores_that_only_spark_opens(spark, tmp_path):
+    drop(tmp_path, 2022, "2022-01-01", pd.DataFrame({"v": [1]}))
+    drop(tmp_path, 2023, "2023-01-01", pd.DataFrame({"v": ["x"]}))
+    other = session.with_settings(spark, {})
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.lake.link./in", f"file://{tmp_path}")
+    rows = read_text_by_name(other, "viewfs://lake/in", ["v"], {"release_year": "int"})
+    assert values(rows.select("v", "release_year")) == [("1", 2022), ("x", 2023)]
+
+
 def days(spark, n):
     return spark.range(n).withColumn("day", F.col("id") % 4)
 
