@@ -23,8 +23,8 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Pieces that a worker remembers in one generation, of which it keeps two.
-MAX_PIECES = 500_000
+# Pieces that a worker remembers in one generation, of which it keeps two, if not told else.
+MAX_PIECES = 250_000
 # Bytes of text that are taken at once.
 SLICE_BYTES = 4_000_000
 
@@ -151,7 +151,7 @@ class Encoder:
     have it; any other kind of file gets whole texts only.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -170,6 +170,7 @@ class Encoder:
         split = (kind.get("pretokenizers") or [{}])[0]
         self.drops_space = split.get("type") == "Split" and bool(split.get("invert"))
         self.whole_only = not (byte_level or self.drops_space)
+        self.most = most or MAX_PIECES
         self.young, self.old = Generation(), Generation()
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +181,7 @@ class Encoder:
 
     def places(self, pieces: list[str]) -> np.ndarray:
         """Places of distinct pieces in the young generation, where each of them is now."""
-        if self.young.count > MAX_PIECES:
+        if self.young.count > self.most:
             self.young, self.old = Generation(), self.young
         found = self.young.find(pieces)
         at = np.flatnonzero(found < 0)
@@ -242,14 +243,14 @@ class Encoder:
         return ids, sums(sizes, per_text)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, most: int | None = None) -> Encoder:
+    """The encoder of this worker for a tokenizer file, remembering so many pieces."""
+    if (path, most) not in _ENCODERS:
+        _ENCODERS[path, most] = Encoder(path, most)
+    return _ENCODERS[path, most]
 
 
 def slices(

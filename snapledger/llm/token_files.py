@@ -18,6 +18,8 @@ BLOCK = 256
 PERCENTILE = 90
 # Ids of a segment, after which it ends with the document at hand.
 SEGMENT = 1 << 18
+# Pieces of a generation that a worker remembers.
+PIECES = 500_000
 MAGIC = 0x31524650
 WIDTHS = ((8, "<u1"), (16, "<u2"), (32, "<u4"))
 
@@ -151,7 +153,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, counts = encoder(tokenizer).encode(part["text"])
+                ids, counts = encoder(tokenizer, PIECES).encode(part["text"])
                 total = counts + 1
                 ends = np.cumsum(total)
                 whole = np.empty(len(ids) + len(counts), np.uint32)
