@@ -431,11 +431,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         more = retried if more is None else more.unionAll(retried)
     else:
         raise RuntimeError(f"sketches did not come out in {MAX_TRIES} tries")
-    if more is not None:
-        result = result.join(more.groupBy("row").agg(*gathered(more, "more")), "row", "left")
-    else:
-        none = [F.lit(None).cast(result.schema[f"got{k}"].dataType).alias(f"more{k}") for k in range(4)]
+    # Only rows with a part that failed are joined: the fingerprints of all others stay where they are.
+    none = [F.lit(None).cast(result.schema[f"got{k}"].dataType).alias(f"more{k}") for k in range(4)]
+    if more is None:
         result = result.select("*", *none)
+    else:
+        again = F.size("failed") > 0
+        mended = result.where(again).join(more.groupBy("row").agg(*gathered(more, "more")), "row", "left")
+        result = result.where(~F.coalesce(again, F.lit(False))).select("*", *none).unionByName(mended)
 
     def fingerprint(k: int) -> Column:
         empty = F.array().cast(result.schema[f"got{k}"].dataType)
