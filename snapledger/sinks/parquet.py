@@ -8,9 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.session import discard, with_settings, write_stage
+from snapledger.session import discard, from_listing, with_settings, write_stage
 from snapledger.sinks import switch
-from snapledger.sources.snapshots import DATE, NO_FILES
+from snapledger.sources.snapshots import DATE, FILE, NO_FILES, PACKED, read_snapshots
 
 # Publishes whose files stay: the current one, and the one that readers may still be at.
 KEPT = 2
@@ -78,6 +78,78 @@ def _move_snapshots(spark: SparkSession, stage: str, base: str) -> None:
             raise OSError(f"{staged} could not be moved to {place}")
 
 
+def pack_snapshots(spark: SparkSession, base: str, key: str, key_type: str, before) -> int:
+    """Bring snapshots dated before ``before`` together by date; returns how many files went.
+
+    A dataset by id has a folder and a file for each id and day. Packed, it has a few files
+    a day, sorted by the key so that a key skips row groups; ``read_snapshots`` gives the
+    same rows, keys, dates and source files. Only days with loose snapshots are written.
+    They take their place in the turn of one writer; until the loose files are gone, readers
+    take those. A snapshot that is written again meanwhile stays loose, and so newer.
+    A query that listed the loose files before fails when they go under it; pack when no
+    scan of those days is running.
+    """
+    base = base.rstrip("/")
+    limit = F.col(DATE) < F.lit(before)
+    try:
+        loose = spark.read.schema(f"`{key}` {key_type}, `{DATE}` date").parquet(base)
+    except AnalysisException as problem:
+        if problem.getCondition() not in NO_FILES:
+            raise
+        return 0
+    # The dates of the listing, and the files of those alone.
+    days = [r[0] for r in from_listing(loose.where(limit).select(DATE).distinct()).collect()]
+    files = sorted({f for f in loose.inputFiles() if _day(f) in {str(d) for d in days}})
+    if not files:
+        return 0
+    stage = f"{base}/_stage-{uuid.uuid4().hex}"
+    try:
+        rows = read_snapshots(spark, base, key, key_type, source_file=True)
+        rows = rows.where(F.col(DATE).isin(days))
+        together = rows.hint("rebalance", DATE).sortWithinPartitions(DATE, key)
+        together.write.partitionBy(DATE).parquet(stage)
+        with switch.turn(spark, base):
+            _move_days(spark, stage, f"{base}/{PACKED}")
+            for file in files:
+                _remove_file(spark, file)
+    finally:
+        discard(spark, stage)
+    return len(files)
+
+
+def _day(file: str) -> str:
+    return file.rsplit(f"/{DATE}=", 1)[-1].split("/")[0]
+
+
+def _move_days(spark: SparkSession, stage: str, place: str) -> None:
+    fs, root = switch.file_system(spark, place)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(root)
+    fs.mkdirs(path(f"{stage}/_old"))
+    for found in fs.globStatus(path(f"{stage}/{DATE}=*")) or []:
+        staged = found.getPath()
+        target, old = path(root, staged.getName()), path(f"{stage}/_old/{staged.getName()}")
+        replaced = fs.exists(target)
+        if replaced and not fs.rename(target, old):
+            raise OSError(f"{target} could not be moved")
+        if not fs.rename(staged, target):
+            if replaced:
+                fs.rename(old, target)
+            raise OSError(f"{staged} could not be moved to {target}")
+
+
+def _remove_file(spark: SparkSession, file: str) -> None:
+    """Remove a packed file, and the folders of its day and key when nothing else is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(path, False)
+    for folder in (path.getParent(), path.getParent().getParent()):
+        visible = [s for s in fs.listStatus(folder) if s.getPath().getName()[0] not in "_."]
+        if visible:
+            return
+        fs.delete(folder, True)
+
+
 def landed_rows(
     spark: SparkSession, datasets: dict[str, tuple[str, str, str]], date
 ) -> tuple[DataFrame, str]:

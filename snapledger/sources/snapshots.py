@@ -1,4 +1,7 @@
-"""Snapshot tables: Parquet below ``<key>=<value>/scraped_date=<YYYY-MM-DD>/``."""
+"""Snapshot tables: Parquet below ``<key>=<value>/scraped_date=<YYYY-MM-DD>/``.
+
+Many small snapshots may be packed by date (``snapledger.sinks.parquet.pack_snapshots``).
+"""
 
 from __future__ import annotations
 
@@ -16,9 +19,14 @@ from snapledger.session import (
     from_listing,
     write_stage,
 )
+from snapledger.sinks import switch
 
 DATE = "scraped_date"
 
+# Below a dataset's folder: its packed snapshots, by date, hidden from scans of the others.
+PACKED = "_packed/data"
+FILE = "filename"
+
 # How Spark says that a dataset has no files, or none yet.
 NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -33,6 +41,7 @@ def read_snapshots(
     key_type: str = "int",
     columns: list[str] | str | None = None,
     missing_ok: bool = True,
+    source_file: bool = False,
 ) -> DataFrame:
     """All snapshots of a dataset with their path values as columns.
 
@@ -40,7 +49,41 @@ def read_snapshots(
     schema and a file without a column gives null; otherwise the files' schemas are
     merged. The key keeps its type whatever its values look like. A dataset that does
     not exist yet is empty unless ``missing_ok`` is false.
+
+    Packed snapshots are read as if they were not, without those that were written again
+    since. ``source_file`` adds the path of the file that a row was written to, which
+    packed rows remember.
     """
+    packed_at = f"{base.rstrip('/')}/{PACKED}"
+    if not switch.names(spark, packed_at):
+        rows = _read_loose(spark, base, key, key_type, columns, missing_ok)
+        return with_source_file(rows) if source_file else rows
+    loose = with_source_file(_read_loose(spark, base, key, key_type, columns, True))
+    packed = _read_packed(spark, packed_at, key, key_type, columns)
+    # The listing tells what was written again: a few snapshots, or the join shuffles.
+    again = broadcast_if_small(from_listing(snapshot_index(loose, key)))
+    packed = packed.join(again, [F.col(f"p.{c}").eqNullSafe(again[c]) for c in (key, DATE)], "left_anti")
+    rows = loose.unionByName(packed, allowMissingColumns=True)
+    # Path values come last, as from a scan of the snapshots themselves.
+    last = [key, DATE] + ([FILE] if source_file else [])
+    return rows.select(*[f"`{c}`" for c in rows.columns if c not in (key, DATE, FILE)], *last)
+
+
+def _read_packed(spark: SparkSession, path: str, key: str, key_type: str, columns) -> DataFrame:
+    if columns is None:
+        rows = spark.read.option("mergeSchema", "true").parquet(path)
+        typed = {key: F.col(key).cast(key_type), DATE: F.col(DATE).cast("date")}
+        return rows.withColumns(typed).alias("p")
+    if not isinstance(columns, str):
+        columns = ", ".join(f"`{c}` string" for c in columns)
+    fields = [f for f in T.StructType.fromDDL(columns).fields if f.name not in (key, DATE)]
+    own = T.StructType.fromDDL(f"`{key}` {key_type}, `{FILE}` string, `{DATE}` date").fields
+    return spark.read.schema(T.StructType(fields + own)).parquet(path).alias("p")
+
+
+def _read_loose(
+    spark: SparkSession, base: str, key: str, key_type: str, columns, missing_ok: bool
+) -> DataFrame:
     keys = T.StructType.fromDDL(f"`{key}` {key_type}, `{DATE}` date")
     fields = []
     try:

@@ -12,6 +12,7 @@ from snapledger.sinks import switch
 from snapledger.sinks.parquet import (
     counted_by_footers,
     landed_rows,
+    pack_snapshots,
     publish,
     published_path,
     read_published,
@@ -392,6 +393,67 @@ def test_rows_by_key_come_from_the_footers(spark, lake, plan):
     assert "PushedAggregation: [COUNT(*)]" in text
 
 
+def by_id(spark, rows, base):
+    frame = spark.createDataFrame(rows, "v string, w long, release_id string, scraped_date date")
+    write_snapshot(frame, base, "release_id")
+
+
+def parquet_files(base):
+    return [f for _, _, names in os.walk(base) for f in names if f.endswith(".parquet")]
+
+
+def test_packed_snapshots_read_like_loose_ones(spark, tmp_path):
+    base = str(tmp_path / "ids")
+    rows = [(f"v{i}", i, f"{i:03d}", d) for i in range(15) for d in (D1, D2, D3)]
+    by_id(spark, rows, base)
+
+    def scan(columns=None):
+        return snapshots.read_snapshots(spark, base, "release_id", "string", columns, source_file=True)
+
+    before = values(scan())
+    assert pack_snapshots(spark, base, "release_id", "string", D3) == 30
+    assert len(parquet_files(base)) <= 15 + 4
+    assert values(scan()) == before and scan().columns == ["v", "w", "release_id", "scraped_date", "filename"]
+    assert values(scan("v string, w long")) == before
+    by_path = snapshots.with_path_values(scan(["v"]), "release_id").where("release_id = '007'")
+    assert {r["release_id_from_path"] for r in by_path.collect()} == {"007"}
+    assert pack_snapshots(spark, base, "release_id", "string", D3) == 0
+    latest = snapshots.latest_snapshot(scan().drop("filename"), "release_id", D2)
+    assert values(latest) == sorted(r for r in rows if r[3] == D2)
+
+
+def test_a_packed_snapshot_that_is_written_again_is_the_new_one(spark, tmp_path):
+    base = str(tmp_path / "ids")
+    by_id(spark, [("a", 1, "1", D1), ("b", 2, "2", D1), ("n", 3, None, D1)], base)
+    pack_snapshots(spark, base, "release_id", "string", D3)
+    by_id(spark, [("new", 9, "1", D1)], base)
+    want = [("b", 2, "2", D1), ("n", 3, None, D1), ("new", 9, "1", D1)]
+
+    def scan():
+        return {tuple(r) for r in snapshots.read_snapshots(spark, base, "release_id", "string").collect()}
+
+    assert scan() == set(want)
+    assert pack_snapshots(spark, base, "release_id", "string", D3) == 1
+    assert scan() == set(want) and len(parquet_files(base)) == 1
+
+
+def test_packing_that_breaks_leaves_the_rows(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "ids")
+    rows = [(f"v{i}", i, str(i), D1) for i in range(4)]
+    by_id(spark, rows, base)
+    from snapledger.sinks import parquet
+
+    def breaks(*_):
+        raise OSError("gone")
+
+    monkeypatch.setattr(parquet, "_remove_file", breaks)
+    with pytest.raises(OSError, match="gone"):
+        pack_snapshots(spark, base, "release_id", "string", D3)
+    read = snapshots.read_snapshots(spark, base, "release_id", "string")
+    assert values(read) == sorted(rows)
+    assert pack_snapshots(spark, str(tmp_path / "none"), "release_id", "string", D3) == 0
+
+
 def test_refresh_table(spark):
     refresh_table(spark.range(5), "layer_table")
     refresh_table(spark.range(2), "layer_table")
