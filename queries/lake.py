@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from queries.registry import query, table
 from snapledger.operators import coverage
 from snapledger.session import scratch_path
-from snapledger.sinks.parquet import write_snapshot
+from snapledger.sinks.parquet import pack_snapshots, write_snapshot
 from snapledger.sources import snapshots
 from snapledger.sources.union_by_name import read_union_by_name
 
@@ -83,6 +83,33 @@ def snapshot_scan_by_id(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT c_custkey, 'gr' || c_nationkey AS release_group_id, c_acctbal < 0 AS again,
+           CASE WHEN c_acctbal < 0 THEN '2024-05-02' ELSE '2024-05-01' END AS scraped_date
+    FROM customer
+    """
+)
+def packed_scan_by_id(spark, sf_dir):
+    """Two days of customers by nation, packed; then the second day is written once more."""
+    again = F.col("c_acctbal") < 0
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        again.alias("again"),
+        F.concat(F.lit("gr"), "c_nationkey").alias("release_group_id"),
+        F.when(again, "2024-05-02").otherwise("2024-05-01").cast("date").alias("scraped_date"),
+    )
+    base = scratch_path(spark, "packed-groups")
+    write_snapshot(rows, base, "release_group_id")
+    pack_snapshots(spark, base, "release_group_id", "string", "2024-05-03")
+    write_snapshot(rows.where("again"), base, "release_group_id")
+    return with_text_date(
+        snapshots.read_snapshots(
+            spark, base, "release_group_id", "string", "c_custkey bigint, again boolean"
+        )
+    )
+
+
 @query(
     f"""
     SELECT o_orderkey, CAST(release_year AS VARCHAR) AS release_year,
