@@ -18,7 +18,7 @@ from queries.pages import (
     part_releases,
 )
 from queries.registry import BASE_URL, markup, money, query, table
-from snapledger.functions import html
+from snapledger.functions import grids
 from snapledger.operators import checks, coverage
 from snapledger.operators import pages as page_ops
 from snapledger.plans import daily, layers, page_index
@@ -229,7 +229,7 @@ PRICE = "CAST(floor(p_retailprice) AS BIGINT)"
     )
 )
 def release_daily_rows(spark, sf_dir):
-    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=(), tables=html.LAST)
+    parsed = page_ops.parse(wanted_releases(spark, sf_dir), tags=(), tables=grids.LAST)
     dated = ds.by_year(parsed.withColumn("scraped_date", F.lit(DAY).cast("date")))
     return ds.daily_rows(dated, DAILY).drop("scraped_date", "extras")
 

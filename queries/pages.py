@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queries.registry import BASE_URL, RE2_SPACE, escaped, markup, money, query, table
-from snapledger.functions import html
+from snapledger.functions import grids
 from snapledger.operators import checks
 from snapledger.operators import pages as page_ops
 from snapledger.plans import datasets as ds
@@ -185,7 +185,7 @@ def page_tables(spark, sf_dir):
         row("Source", "Language", "Text", tag="th"), row(F.col("source"), F.col("lang"), words)
     )
     docs = source(spark, sf_dir, "documents").select("doc_id", page.alias("html"))
-    rows = page_ops.table_rows(parse(docs, (), html.EVERY))
+    rows = page_ops.table_rows(parse(docs, (), grids.EVERY))
     return rows.withColumn("cells", F.array_join("cells", " | "))
 
 
@@ -231,7 +231,7 @@ def order_listings(spark, sf_dir) -> DataFrame:
     """
 )
 def page_first_table(spark, sf_dir):
-    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), html.FIRST)
+    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), grids.FIRST)
     records = page_ops.table_records(parsed, page_ops.first_table(), layers.REVENUE_COLUMNS)
     return records.select("o_orderkey", *layers.REVENUE_COLUMNS)
 
@@ -244,7 +244,7 @@ def page_first_table(spark, sf_dir):
     """
 )
 def page_last_table(spark, sf_dir):
-    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), html.LAST)
+    parsed = parse(order_listings(spark, sf_dir).select("o_orderkey", "html"), (), grids.LAST)
     return page_ops.table_records(parsed, page_ops.last_table(), ["0"]).drop("extras")
 
 
@@ -373,7 +373,7 @@ def required_columns(spark, sf_dir):
     page = html_table(heading, row(escaped(F.col("p_name")), money(F.floor("p_retailprice")), "-", "-"))
     pages = source(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
     first, wanted = page_ops.first_table(), ["Release Group", "Worldwide"]
-    complete = parse(pages, (), html.FIRST).where(page_ops.has_columns(first, layers.REVENUE_COLUMNS))
+    complete = parse(pages, (), grids.FIRST).where(page_ops.has_columns(first, layers.REVENUE_COLUMNS))
     return page_ops.table_records(complete, first, wanted).select("p_partkey", *wanted)
 
 
@@ -391,7 +391,7 @@ def page_extra_columns(spark, sf_dir):
     cells = row(markup("A", key), markup("B", key), markup("C", F.col("o_custkey")), tag="td")
     body = F.replace(cells, F.lit("</tr>"), F.lit('<td colspan="2000000000">D</td></tr>'))
     pages = source(spark, sf_dir, "orders").select("o_orderkey", html_table(heading, body).alias("html"))
-    parsed = parse(pages, (), html.FIRST)
+    parsed = parse(pages, (), grids.FIRST)
     rows = page_ops.table_records(parsed, page_ops.first_table(), ["Date"])
     extra = F.col("extras")
     return rows.select(
@@ -420,7 +420,7 @@ def page_deep_markup(spark, sf_dir):
     pages = source(spark, sf_dir, "supplier").select(
         "s_suppkey", markup(deep, group, revenue, deep).alias("html")
     )
-    parsed = stage(parse(pages, ("a",), html.FIRST), "deep")
+    parsed = stage(parse(pages, ("a",), grids.FIRST), "deep")
     links = page_ops.links(parsed, "/releasegroup/").drop("url")
     rows = page_ops.table_records(parsed, page_ops.first_table(), ["Worldwide"])
     return links.join(rows.select("s_suppkey", "Worldwide"), "s_suppkey")

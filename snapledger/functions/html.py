@@ -1,11 +1,17 @@
 """The one Python step: markup of a page to flat, nested-set numbered elements.
 
-``parse_page`` runs as an Arrow UDF over batches of pages. It only turns markup
-into rows; which links, headings, sections and tables count, and what they mean, is
-decided afterwards by Column expressions (``snapledger.operators.pages``).
+``parse_page`` runs as an Arrow UDF over batches of pages. It only turns markup into
+elements and pieces of text; which links, headings and sections count is decided
+afterwards by Column expressions (``snapledger.operators.pages``), and so is what the
+rows and cells of a table mean (``snapledger.functions.grids``).
 
 An element has its own number ``ix`` and the number ``last`` of its last descendant,
-so the descendants of ``e`` are exactly the slice ``e.ix + 1 .. e.last``.
+so the descendants of ``e`` are exactly the slice ``e.ix + 1 .. e.last``. Rows and cells
+have the number of their ``table``, rows the section (``part``) they stand in.
+
+Tokens are found by one pattern: the event parser of the standard library looks through
+the rest of the page again for each tag that does not end, which takes a broken page of
+some hundred kilobytes minutes, and drops what follows an open script.
 """
 
 from __future__ import annotations
@@ -21,22 +27,20 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 ELEMENT = (
-    "struct<ix:int,last:int,tag:string,href:string,cls:string,colspan:string,"
-    "nth:int,first:int,end:int>"
+    "struct<ix:int,last:int,tag:string,href:string,cls:string,colspan:string,rowspan:string,"
+    "nth:int,first:int,end:int,raw_first:int,raw_end:int,table:int,part:string>"
+)
+PAGE = (
+    "struct<error:string,texts:array<string>,pieces:array<string>,"
+    f"elements:array<{ELEMENT}>>"
 )
-NAME = "struct<name:string,base:string,nth:int,at:int,width:int>"
-CELLS_OF = "array<struct<at:int,width:int,text:string>>"
-ROWS = f"array<struct<ix:int,times:int,cells:{CELLS_OF}>>"
-TABLE = f"struct<width:int,names:array<{NAME}>,head:{ROWS},body:{ROWS}>"
-PAGE = f"struct<error:string,texts:array<string>,elements:array<{ELEMENT}>,tables:array<{TABLE}>>"
 
 INTS, TEXTS = pa.int32(), pa.string()
 ELEMENT_FIELDS = {
     "ix": INTS, "last": INTS, "tag": TEXTS, "href": TEXTS, "cls": TEXTS, "colspan": TEXTS,
-    "nth": INTS, "first": INTS, "end": INTS,
+    "rowspan": TEXTS, "nth": INTS, "first": INTS, "end": INTS, "raw_first": INTS, "raw_end": INTS,
+    "table": INTS, "part": TEXTS,
 }
-NAME_FIELDS = {"name": TEXTS, "base": TEXTS, "nth": INTS, "at": INTS, "width": INTS}
-CELL_FIELDS = {"at": INTS, "width": INTS, "text": TEXTS}
 
 # Elements that are kept, and those whose text is collected.
 CONTAINERS = frozenset(["div", "table", "thead", "tbody", "tfoot", "tr"])
@@ -45,6 +49,7 @@ KEPT = CONTAINERS | TEXT_TAGS
 CELLS = frozenset(["td", "th"])
 SECTIONS = frozenset(["thead", "tbody", "tfoot"])
 ROW = frozenset(["tr"])
+TABLE_TAGS = CELLS | SECTIONS | ROW | {"table"}
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 
 # Elements without content, which are never open.
@@ -65,15 +70,6 @@ WALLS = BLOCKS | CONTAINERS | CELLS | {"li", "dt", "dd"}
 # Characters of markup whose elements are held as Python objects at a time.
 CHUNK = 4_000_000
 
-# Which tables of a page are read.
-FIRST, LAST, EVERY = "first", "last", "every"
-
-# Fixed value: the most rows that a cell spans in HTML.
-MAX_ROWSPAN = 65534
-
-# Largest number that a position can be.
-MOST = 2**31 - 1
-
 # What a start tag closes when it is open, looked for no further than the second set.
 ONLY_TABLE = frozenset(["table"])
 CELL_OR_TABLE = CELLS | ONLY_TABLE
@@ -106,7 +102,6 @@ TOKEN = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
-BREAKS = re.compile(r"[\r\n]+|\s{2,}")
 
 
 def attributes(source):
@@ -117,15 +112,10 @@ def attributes(source):
     return found
 
 
-def span(value):
-    digits = re.match(r"\s*(\d+)", value or "")
-    return min(max(int(digits.group(1)), 1), MOST) if digits else 1
-
-
 class Element:
     """One kept element while its page is read; its text is ``pieces[first:end]``."""
 
-    __slots__ = ("ix", "last", "tag", "given", "nth", "first", "end")
+    __slots__ = ("ix", "last", "tag", "given", "nth", "first", "end", "table", "part")
 
     def __init__(self, ix, tag, given, first):
         self.ix = self.last = ix
@@ -133,6 +123,7 @@ class Element:
         self.given = given
         self.nth = None
         self.first = self.end = first
+        self.table = self.part = None
 
 
 def read_elements(markup, wanted=KEPT):
@@ -173,6 +164,11 @@ def read_elements(markup, wanted=KEPT):
                 href = given.get("href")
                 node.nth = seen.get(href, 0)
                 seen[href] = node.nth + 1
+            elif tag in CELLS or tag == "tr":
+                table = nearest(ONLY_TABLE)
+                if table >= 0:
+                    node.table, section = nodes[table].ix, nearest(SECTIONS)
+                    node.part = names[section] if section > table else "tbody"
         places[tag].append(len(names))
         if tag in WALLS:
             walls.append(len(names))
@@ -225,8 +221,8 @@ def page_texts(pieces):
 def write_elements(out, elements, before, tags):
     """Add elements of ``tags`` to the output, numbered anew with the same nesting.
 
-    The text of an element is a slice of the page's texts, so text is never copied
-    however deep elements nest.
+    The text of an element is a slice of the page's texts, and one of its pieces, so text
+    is never copied however deep elements nest.
     """
     upto, kept = [], []
     for element in elements:
@@ -241,191 +237,58 @@ def write_elements(out, elements, before, tags):
         out["href"].append(given.get("href"))
         out["cls"].append(" ".join(given["class"].split()) if "class" in given else None)
         out["colspan"].append(given.get("colspan"))
+        out["rowspan"].append(given.get("rowspan"))
         out["nth"].append(element.nth)
         out["first"].append(before[element.first] if has_text else 0)
         out["end"].append(before[element.end] if has_text else 0)
-
-
-def read_tables(elements, pieces, which):
-    """Tables with any text as heading and body rows of cells; ``which`` ones by request."""
-    tables, enclosing = [], []
-    for element in elements:
-        while enclosing and element.ix > enclosing[-1]["last"]:
-            enclosing.pop()
-        if element.tag == "table":
-            table = {"last": element.last, "rows": [], "section": None}
-            tables.append(table)
-            enclosing.append(table)
-        elif enclosing:
-            table = enclosing[-1]
-            if element.tag in CELLS:
-                table["rows"][-1][1].append(element)
-            elif element.tag == "tr":
-                section = table["section"]
-                inside = section is not None and element.ix <= section.last
-                table["rows"].append((section.tag if inside else "tbody", []))
-            elif element.tag in SECTIONS:
-                table["section"] = element
-    for table in reversed(tables) if which == LAST else tables:
-        cells = (cell for _, row in table["rows"] for cell in row)
-        if not any(piece.strip() for cell in cells for piece in pieces[cell.first : cell.end]):
-            continue
-        parts = {"thead": [], "tbody": [], "tfoot": []}
-        for part, row in table["rows"]:
-            parts[part].append(row)
-        if not parts["thead"]:
-            plain = (i for i, row in enumerate(parts["tbody"]) if any(c.tag == "td" for c in row))
-            first = next(plain, len(parts["tbody"]))
-            parts["thead"], parts["tbody"] = parts["tbody"][:first], parts["tbody"][first:]
-        head = fill_spans(parts["thead"], pieces)
-        body = fill_spans(parts["tbody"], pieces)
-        body += fill_spans(parts["tfoot"], pieces, after=body)
-        rows = [row for _, _, row in head + body if row]
-        width = max((row[-1][0] + row[-1][1] for row in rows), default=0)
-        yield {"width": width, "names": column_names(head, body, width), "head": head, "body": body}
-        if which in (FIRST, LAST):
-            return
-
-
-def column_names(head, body, width):
-    """Names of runs of columns: ``(name, base, nth, at, width)``.
-
-    Several heading rows are joined by a blank, no heading row numbers the columns
-    from 0, an empty name becomes ``Unnamed: i`` and a repeated one gets ``.n``. A run
-    of columns under the same headings is one entry, ``name`` being that of its first;
-    ``nth`` columns of the same ``base`` stand before it.
-    """
-    head = [row for _, _, row in head]
-    starts = {at for row in head for at, _, _ in row} | {at + n for row in head for at, n, _ in row}
-    if not head or any(not row or row[-1][0] + row[-1][1] < width for row in head):
-        starts |= {at for _, _, row in body for at, _, _ in row}
-    starts = sorted(at for at in starts | {0} if at < width)
-    coming = [list(reversed(row)) for row in head]
-    names, used, taken = [], {}, set()
-    for at, after in zip(starts, [*starts[1:], width]):
-        parts = {}
-        for row in coming:
-            while row and row[-1][0] + row[-1][1] <= at:
-                row.pop()
-            if row and row[-1][0] <= at and row[-1][2]:
-                parts[row[-1][2]] = None
-        base = " ".join(parts)
-        name = base or (f"Unnamed: {at}" if head else str(at))
-        nth = used.get(name, 0)
-        while nth and f"{name}.{nth}" in taken:
-            nth += 1
-        used[name] = nth + (after - at if base else 1)
-        names.append((f"{name}.{nth}" if nth else name, name, nth, at, after - at))
-        taken.add(names[-1][0])
-    return names
-
-
-def cell_text(cell, pieces):
-    """All text of a cell, breaks and runs of white space as one blank."""
-    return BREAKS.sub(" ", "".join(pieces[cell.first : cell.end]).strip())
-
-
-def fill_spans(rows, pieces, after=()):
-    """Rows as ``(ix, times, cells)``, cells as ``(at, width, text)``.
-
-    A cell also stands in the rows that it hangs into. Column spans stay widths, whatever
-    their number, and cells that hang below the last row make rows that are written
-    once with the times they repeat, so no text is copied for a large span.
-    """
-    filled, hanging, ix = [], [], sum(times for _, times, _ in after)
-
-    def put(row, at, width, text, more):
-        row.append((at, width, text))
-        if more > 1:
-            hanging.append((at, width, text, more - 1))
-        return at + width
-
-    for cells in rows:
-        row, at, nth = [], 0, 0
-        waiting, hanging = hanging, []
-        for cell in cells:
-            while nth < len(waiting) and waiting[nth][0] <= at:
-                at = put(row, at, *waiting[nth][1:])
-                nth += 1
-            width = min(span(cell.given.get("colspan")), MOST - at)
-            depth = min(span(cell.given.get("rowspan")), MAX_ROWSPAN)
-            at = put(row, at, width, cell_text(cell, pieces), depth)
-        for start, width, text, more in waiting[nth:]:
-            at = put(row, max(at, start), width, text, more)
-        filled.append((ix, 1, row))
-        ix += 1
-    while hanging:
-        times = min(more for *_, more in hanging)
-        filled.append((ix, times, [cell[:3] for cell in hanging]))
-        ix += times
-        hanging = [(*cell, more - times) for *cell, more in hanging if more > times]
-    return filled
+        out["raw_first"].append(element.first if has_text else 0)
+        out["raw_end"].append(element.end if has_text else 0)
+        has_table = element.table is not None and elements[element.table].tag in tags
+        out["table"].append(upto[element.table] - 1 if has_table else None)
+        out["part"].append(element.part)
 
 
 class Pages:
     """Output of several pages as flat lists, one per field, with list lengths."""
 
     def __init__(self):
-        self.errors, self.texts, self.tables = [], [], {"width": [], "names": [], "head": [], "body": []}
-        self.counts = {"texts": [], "elements": [], "tables": []}
+        self.errors, self.texts, self.pieces = [], [], []
+        self.counts = {"texts": [], "pieces": [], "elements": []}
         self.elements = {name: [] for name in ELEMENT_FIELDS}
 
-    def add(self, markup, tags, which):
+    def add(self, markup, tags, tables):
         """One page. Whatever goes wrong stays with that page."""
-        error, texts, elements, tables = None, [], [], []
+        error, texts, pieces, elements = None, [], [], []
         if not markup or markup.isspace():
             error = "empty page"
         else:
             try:
-                found, pieces = read_elements(markup, tags | CELLS if which else tags)
-                texts, before = page_texts(pieces)
-                tables = list(read_tables(found, pieces, which)) if which else []
-                elements = found
+                wanted = tags | TABLE_TAGS if tables else tags
+                elements, found = read_elements(markup, wanted)
+                texts, before = page_texts(found)
+                pieces = found if tables else []
             except Exception as problem:
-                error, texts = f"{type(problem).__name__}: {problem}", []
+                error, texts, elements = f"{type(problem).__name__}: {problem}", [], []
         size = len(self.elements["ix"])
         if elements:
-            write_elements(self.elements, elements, before, tags)
-        for table in tables:
-            for name, values in self.tables.items():
-                values.append(table[name])
+            write_elements(self.elements, elements, before, wanted)
+        if not tags & TEXT_TAGS:
+            texts = []
         self.errors.append(error)
         self.texts += texts
+        self.pieces += pieces
         self.counts["texts"].append(len(texts))
+        self.counts["pieces"].append(len(pieces))
         self.counts["elements"].append(len(self.elements["ix"]) - size)
-        self.counts["tables"].append(len(tables))
 
     def array(self):
-        def records(values, fields):
-            columns = list(zip(*values)) or [[]] * len(fields)
-            return struct({f: pa.array(c, k) for (f, k), c in zip(fields.items(), columns)})
-
-        def rows_of(tables):
-            rows = [row for table in tables for row in table]
-            cells = records([cell for *_, row in rows for cell in row], CELL_FIELDS)
-            columns = {
-                "ix": pa.array([ix for ix, _, _ in rows], INTS),
-                "times": pa.array([times for _, times, _ in rows], INTS),
-                "cells": lists(cells, [len(row) for *_, row in rows]),
-            }
-            return lists(struct(columns), map(len, tables))
-
         elements = struct({n: pa.array(self.elements[n], k) for n, k in ELEMENT_FIELDS.items()})
-        names = self.tables["names"]
-        tables = struct(
-            {
-                "width": pa.array(self.tables["width"], INTS),
-                "names": lists(records([n for t in names for n in t], NAME_FIELDS), map(len, names)),
-                "head": rows_of(self.tables["head"]),
-                "body": rows_of(self.tables["body"]),
-            }
-        )
         return struct(
             {
                 "error": pa.array(self.errors, TEXTS),
                 "texts": lists(pa.array(self.texts, TEXTS), self.counts["texts"]),
+                "pieces": lists(pa.array(self.pieces, TEXTS), self.counts["pieces"]),
                 "elements": lists(elements, self.counts["elements"]),
-                "tables": lists(tables, self.counts["tables"]),
             }
         )
 
@@ -441,7 +304,7 @@ def lists(values, lengths):
 def page_reader(tags, tables):
     """Arrow UDF from markup to a ``PAGE`` struct with the elements of ``tags`` only.
 
-    ``tables`` says which tables are read: none, ``FIRST``, ``LAST`` or ``EVERY`` one. It
+    With ``tables`` it has the rows, cells and raw pieces of text of the tables as well. It
     is declared nondeterministic so that no filter on its result is pushed below it,
     which would parse every page twice.
     """

@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.functions import html, text
+from snapledger.functions import grids, html, text
 
 # Cell texts that count as missing in a page table.
 MISSING_CELLS = [
@@ -38,15 +38,19 @@ RELEASE_NOTE = "See full company information"
 
 
 def parse(
-    pages: DataFrame, html_col: str = "html", tags=html.KEPT, tables: str | None = html.EVERY
+    pages: DataFrame, html_col: str = "html", tags=html.KEPT, tables: str | None = grids.EVERY
 ) -> DataFrame:
     """Replace the markup by the parsed ``page``.
 
     ``tags`` and ``tables`` say what is needed, so that nothing else is copied out of
     the Python worker. Pages that cannot be parsed keep their row with ``page.error``.
     """
-    page = html.page_reader(tags, tables)(F.col(html_col)).alias("page")
-    return pages.select(*[c for c in pages.columns if c != html_col], page)
+    others = [c for c in pages.columns if c != html_col]
+    read = html.page_reader(tags, tables is not None)(F.col(html_col)).alias("page")
+    found = grids.tables_of(F.col("page"), tables)
+    page = F.col("page").dropFields("pieces").withField("tables", found)
+    # An array of one is exploded so that tables are built once, whatever uses them.
+    return pages.select(*others, read).select(*others, F.explode(F.array(page)).alias("page"))
 
 
 def parse_failures(parsed: DataFrame, dataset: str, item: Column) -> DataFrame:
@@ -71,14 +75,13 @@ def _elements(tag: str, wanted: str | None = None) -> Column:
 
 
 def _inside(element: Column) -> Column:
-    """Descendants of ``element``: the slice after it (slices count from 1)."""
-    return F.slice(F.col("page.elements"), element["ix"] + 2, element["last"] - element["ix"])
+    """Descendants of ``element``: those numbered after it, up to its last."""
+    return grids.pick(F.col("page.elements"), element["ix"] + 1, element["last"] + 1)
 
 
 def _text(element: Column, between: str = "") -> Column:
-    """Text of an element: its slice of the page's texts."""
-    texts = F.slice(F.col("page.texts"), element["first"] + 1, element["end"] - element["first"])
-    return F.array_join(texts, between)
+    """Text of an element: its part of the page's texts."""
+    return F.array_join(grids.pick(F.col("page.texts"), element["first"], element["end"]), between)
 
 
 def _carry(parsed: DataFrame) -> list[str]:
@@ -177,7 +180,7 @@ def _position(table: Column, name: str) -> Column:
     exact = F.transform(F.filter(table["names"], lambda n: n["name"] == name), lambda n: n["at"])
     found = F.get(exact, 0)
     repeated = re.fullmatch(r"(?s)(.*)\.(\d+)", name)
-    if repeated and int(repeated.group(2)) <= html.MOST:
+    if repeated and int(repeated.group(2)) <= grids.MOST:
         base, nth = repeated.group(1), int(repeated.group(2))
         within = F.filter(
             table["names"],

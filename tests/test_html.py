@@ -1,39 +1,68 @@
+import random
 import time
 
-from hypothesis import given, settings
+import pytest
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from snapledger.functions import html
+from snapledger.functions import grids, html
+from snapledger.operators import pages as page_ops
 
 ALL = html.KEPT
 
 
-def read(markup, tags=ALL, tables=html.EVERY):
+@pytest.fixture
+def pages_of(spark):
+    """Parsed pages of several markups, in their order."""
+
+    def parsed(markups, tags=(), tables=grids.EVERY):
+        frame = spark.createDataFrame(list(enumerate(markups)), "k int, html string")
+        rows = page_ops.parse(frame, tags=tags, tables=tables).collect()
+        return [r["page"].asDict(recursive=True) for r in sorted(rows, key=lambda r: r["k"])]
+
+    return parsed
+
+
+def even(table):
+    """Names and rows of a table with every span written out."""
+
+    def rows(part):
+        cells = [row["cells"] for row in table[part] for _ in range(row["times"])]
+        filled = [[c["text"] for c in row for _ in range(c["width"])] for row in cells]
+        return [row + [""] * (table["width"] - len(row)) for row in filled]
+
+    names = [
+        f"{n['base']}.{n['nth'] + i}" if n["nth"] + i and i else n["name"]
+        for n in table["names"]
+        for i in range(n["width"])
+    ]
+    return names, rows("head"), rows("body")
+
+
+@pytest.fixture
+def grid(pages_of):
+    def first(markup):
+        names, _, body = even(pages_of([markup])[0]["tables"][0])
+        return names, body
+
+    return first
+
+
+def raw(markup, tags=ALL, tables=False):
     pages = html.Pages()
     pages.add(markup, frozenset(tags), tables)
-    (page,) = pages.array().to_pylist()
+    return pages.array().to_pylist()[0]
+
+
+def read(markup, tags=ALL):
+    page = raw(markup, tags)
     for element in page["elements"]:
         element["strings"] = page["texts"][element["first"] : element["end"]]
-    for table in page["tables"]:
-        for part in ("head", "body"):
-            rows = [row["cells"] for row in table[part] for _ in range(row["times"])]
-            filled = [[c["text"] for c in row for _ in range(c["width"])] for row in rows]
-            table[part] = [row + [""] * (table["width"] - len(row)) for row in filled]
-        table["names"] = [
-            f"{n['base']}.{n['nth'] + i}" if n["nth"] + i and i else n["name"]
-            for n in table["names"]
-            for i in range(n["width"])
-        ]
     return page
 
 
 def elements(markup, *tags):
-    return read(markup, tags, None)["elements"]
-
-
-def grid(markup, at=0):
-    table = read(markup, ())["tables"][at]
-    return table["names"], table["body"]
+    return read(markup, tags)["elements"]
 
 
 def test_text_pieces_and_entities():
@@ -86,16 +115,16 @@ def test_nested_elements_keep_their_own_text():
     assert [(e["ix"], e["last"]) for e in spans] == [(0, 2), (1, 1), (2, 2)]
 
 
-def test_implied_ends_in_tables():
+def test_implied_ends_in_tables(grid):
     names, body = grid("<table><tr><th>A<th>B<tr><td>1<td>2<tr><td>3<td>4</table>")
     assert (names, body) == (["A", "B"], [["1", "2"], ["3", "4"]])
 
 
-def test_cells_without_row():
+def test_cells_without_row(grid):
     assert grid("<table><td>1<td>2</table>") == (["0", "1"], [["1", "2"]])
 
 
-def test_heading_from_thead_and_footer_last():
+def test_heading_from_thead_and_footer_last(grid):
     markup = (
         "<table><tfoot><tr><td>sum</td></tr></tfoot><thead><tr><td>Name</td></tr></thead>"
         "<tbody><tr><th>a</th></tr></tbody></table>"
@@ -103,7 +132,7 @@ def test_heading_from_thead_and_footer_last():
     assert grid(markup) == (["Name"], [["a"], ["sum"]])
 
 
-def test_row_and_column_spans():
+def test_row_and_column_spans(grid):
     markup = (
         "<table><tr><th rowspan=2>A<th colspan=2>B<tr><th>b1<th>b2"
         "<tr><td>1<td rowspan=3>2<td>3<tr><td>x<td>y</table>"
@@ -111,42 +140,95 @@ def test_row_and_column_spans():
     assert grid(markup) == (["A", "B b1", "B b2"], [["1", "2", "3"], ["x", "2", "y"], ["2", "", ""]])
 
 
-def test_column_names():
+def test_column_names(grid):
     assert grid("<table><tr><th>x<th><th>x<tr><td>1</table>") == (["x", "Unnamed: 1", "x.1"], [["1", "", ""]])
 
 
-def test_cell_text_is_squeezed():
+def test_cell_text_is_squeezed(grid):
     assert grid("<table><tr><td> a\n\n b  c<br>d</table>")[1] == [["a  b cd"]]
     assert grid("<table><tr><td> a\r\nb   c</td></tr></table>")[1] == [["a b c"]]
 
 
-def test_nested_and_empty_tables():
+def test_nested_and_empty_tables(pages_of):
     markup = "<table></table><table><tr><td>o<table><tr><td>i</td></tr></table></td></tr></table>"
-    tables = read(markup, ())["tables"]
-    assert [t["body"] for t in tables] == [[["oi"]], [["i"]]]
-
+    every, first, last = (pages_of([markup], (), which)[0]["tables"] for which in ("every", "first", "last"))
+    assert [even(t)[2] for t in every] == [[["oi"]], [["i"]]]
+    assert (first, last) == (every[:1], every[1:])
 
-def raw(markup, tags=ALL, tables=html.EVERY):
-    pages = html.Pages()
-    pages.add(markup, frozenset(tags), tables)
-    return pages.array().to_pylist()[0]
 
-
-def test_large_spans_are_kept_as_numbers():
+def test_large_spans_are_kept_as_numbers(pages_of):
     markup = "<table>" + "<tr><td rowspan=65534 colspan=2000000000>x</td></tr>" * 2 + "</table>"
-    page = raw(markup)
+    beyond = "<table><tr><td colspan=99999999999>x<td colspan=2>y<tr><td rowspan=0>z</table>"
+    page, other = pages_of([markup, beyond])
     assert page["error"] is None
     (table,) = page["tables"]
     assert sum(row["times"] for row in table["body"]) == 65535
     assert len(table["body"]) <= 4
-
-
-def test_depth_and_repetition_have_no_limit():
+    assert [c["width"] for c in other["tables"][0]["body"][0]["cells"]] == [grids.MOST, 0]
+    assert other["tables"][0]["body"][1]["cells"][0]["text"] == "z"
+
+
+def test_many_rows_and_columns(pages_of):
+    tall = "<table>" + "".join(f"<tr><td>{i}<td rowspan={i % 3}>x" for i in range(3000)) + "</table>"
+    wide = "<table><tr>" + "<th>a" * 400 + "<tr>" + "<td>1" * 400 + "</table>"
+    first, second = (even(page["tables"][0]) for page in pages_of([tall, wide]))
+    assert [row[0] for row in first[2][:3]] == ["0", "1", "2"] and len(first[2]) >= 3000
+    assert second[0] == ["a", *[f"a.{i}" for i in range(1, 400)]] and second[2] == [["1"] * 400]
+
+
+def placed(rows):
+    """Cells of rows by hand: ``(at, width, text)``, every row written out."""
+    rows, hanging, done = list(rows), [], []
+    while rows or hanging:
+        row, at, after = [], 0, []
+        for cell in [*(rows.pop(0) if rows else []), None]:
+            while hanging and (cell is None or hanging[0][0] <= at):
+                start, *up = hanging.pop(0)
+                at = max(at, start)
+                row.append((at, *up))
+                at += up[0]
+            if cell is not None:
+                row.append((at, *cell))
+                at += cell[0]
+        done.append([(at, width, text) for at, width, text, _ in row])
+        hanging = [(at, width, text, more - 1) for at, width, text, more in row if more > 1]
+    return done
+
+
+def test_spans_equal_those_placed_by_hand(pages_of):
+    draw = random.Random(5)
+    tables = [
+        [
+            [(draw.choice([1, 1, 2, 4]), f"{r}.{c}", draw.choice([1, 1, 1, 2, 5])) for c in range(draw.randint(0, 5))]
+            for r in range(draw.randint(1, 7))
+        ]
+        for _ in range(300)
+    ]
+    tables = [rows for rows in tables if any(rows)]
+    markups = [
+        "<table>"
+        + "".join(
+            "<tr>" + "".join(f"<td colspan={w} rowspan={d}>{text}" for w, text, d in row) for row in rows
+        )
+        + "</table>"
+        for rows in tables
+    ]
+    for rows, page in zip(tables, pages_of(markups)):
+        (table,) = page["tables"]
+        # Rows without a cell above the first plain one are heading rows.
+        above = next(i for i, row in enumerate(rows) if row)
+        body = [[(c["at"], c["width"], c["text"]) for c in r["cells"]] for r in table["body"] for _ in range(r["times"])]
+        assert body == placed(rows[above:])
+        assert table["width"] == max(at + width for row in body for at, width, _ in row)
+        assert sum(n["width"] for n in table["names"]) == table["width"]
+
+
+def test_depth_and_repetition_have_no_limit(pages_of):
     page = raw("<span>" * 5000 + "x")
     assert page["error"] is None and len(page["elements"]) == 5000
     assert page["texts"] == ["x"] and page["elements"][0]["end"] == 1
     row = "<tr><td>1</td></tr>"
-    deep = raw("<b><i><div>" * 4000 + f"<table>{row}</table>" + "<b>" * 3000)
+    (deep,) = pages_of(["<b><i><div>" * 4000 + f"<table>{row}</table>" + "<b>" * 3000])
     assert deep["error"] is None and deep["tables"][0]["body"][0]["cells"][0]["text"] == "1"
 
 
@@ -179,16 +261,27 @@ FRAGMENTS = st.lists(
 
 @settings(max_examples=400, deadline=None)
 @given(FRAGMENTS)
-def test_any_markup_gives_nested_elements_and_even_tables(fragments):
-    page = read("".join(fragments) + ".")
+def test_any_markup_gives_nested_elements(fragments):
+    page = raw("".join(fragments) + ".", ALL, True)
     assert page.get("error") is None
     rows = page["elements"]
     for at, element in enumerate(rows):
         assert element["ix"] == at <= element["last"] < len(rows)
         for inside in rows[at + 1 : element["last"] + 1]:
             assert inside["last"] <= element["last"]
-    for table in page["tables"]:
-        assert {len(row) for row in table["head"] + table["body"]} == {len(table["names"])}
+        if element["table"] is not None:
+            around = rows[element["table"]]
+            assert around["tag"] == "table" and around["ix"] < at <= around["last"]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(FRAGMENTS, min_size=60, max_size=120))
+def test_any_markup_gives_even_tables(pages_of, pages):
+    for page in pages_of(["".join(fragments) + "." for fragments in pages]):
+        assert page["error"] is None
+        for table in page["tables"]:
+            names, head, body = even(table)
+            assert {len(row) for row in head + body} == {len(names)}
 
 
 @settings(max_examples=200, deadline=None)
@@ -196,4 +289,4 @@ def test_any_markup_gives_nested_elements_and_even_tables(fragments):
 def test_reading_fewer_tags_gives_the_same_elements(fragments, tags):
     markup = "".join(fragments) + "."
     full = [(e["tag"], e["href"], e["nth"]) for e in read(markup)["elements"] if e["tag"] in tags]
-    assert [(e["tag"], e["href"], e["nth"]) for e in read(markup, tags, False)["elements"]] == full
+    assert [(e["tag"], e["href"], e["nth"]) for e in read(markup, tags)["elements"]] == full
