@@ -322,9 +322,19 @@ def _names(head: Column, body: Column, width: Column) -> Column:
 
         def free(label, seen):
             """The first number from ``seen`` that no column before is called by."""
-            numbers = F.sequence(seen, seen + F.size(out))
-            unused = F.filter(numbers, lambda n: ~F.exists(out, lambda e: e["name"] == later(label, n)))
-            return F.when(seen == 0, F.lit(0).cast("bigint")).otherwise(F.get(unused, 0))
+            called = F.transform(out, lambda e: e["name"])
+
+            def next_free(names):
+                unused = F.get(F.array_except(names, called), 0)
+                return seen + F.array_position(names, unused) - 1
+
+            numbers = F.transform(F.sequence(seen, seen + F.size(out)), lambda n: later(label, n))
+            taken = F.exists(out, lambda e: e["name"] == later(label, seen))
+            return (
+                F.when(seen == 0, F.lit(0).cast("bigint"))
+                .when(~taken, seen)
+                .otherwise(let(numbers, next_free))
+            )
 
         def entry(label, nth):
             return F.struct(
