@@ -138,16 +138,14 @@ def _table(page: Column, table: Column) -> Column:
         parts = F.when(F.exists(rows, lambda r: r["part"] == "thead"), given).otherwise(
             let(part(rows, "tbody"), by_cells)
         )
-        return let(
-            parts,
-            lambda p: F.struct(
-                _filled(p["head"], F.lit(0)).alias("head"),
-                let(
-                    _filled(p["body"], F.lit(0)),
-                    lambda body: F.concat(body, _filled(part(rows, "tfoot"), _count(body))),
-                ).alias("body"),
-            ),
-        )
+        three = let(parts, lambda p: F.array(p["head"], p["body"], part(rows, "tfoot")))
+        return let(F.transform(three, _filled), joined)
+
+    def joined(filled):
+        """Rows of the foot are numbered on behind the body."""
+        head, body, foot = (F.get(filled, i) for i in range(3))
+        foot = F.transform(foot, lambda r: r.withField("ix", r["ix"] + _count(body)))
+        return F.struct(head.alias("head"), F.concat(body, foot).alias("body"))
 
     def named(parts):
         widest = F.array_max(F.transform(F.concat(parts["head"], parts["body"]), _end))
@@ -228,7 +226,7 @@ def _row(ix: Column, times: Column, cells: Column) -> Column:
     return F.struct(ix.alias("ix"), times.alias("times"), _bare(cells).alias("cells"))
 
 
-def _filled(rows: Column, start: Column) -> Column:
+def _filled(rows: Column) -> Column:
     """Rows as ``ix``, ``times`` and ``cells`` of ``at``, ``width`` and ``text``.
 
     A cell also stands in the rows that it hangs into. Column spans stay widths, whatever
@@ -246,13 +244,13 @@ def _filled(rows: Column, start: Column) -> Column:
                     lambda c: c.withField("more", c["more"] - 1),
                 ).alias("hanging"),
                 F.concat(
-                    state["out"], F.array(_row(start + F.size(state["out"]), F.lit(1), placed))
+                    state["out"], F.array(_row(F.size(state["out"]), F.lit(1), placed))
                 ).alias("out"),
             ),
         )
 
     def below(state):
-        ix = start + F.size(state["out"])
+        ix = F.size(state["out"])
 
         def row(levels, more, i):
             before = F.when(i == 0, 0).otherwise(F.get(levels, i - 1))
@@ -267,7 +265,7 @@ def _filled(rows: Column, start: Column) -> Column:
     state = F.struct(none_of(PLACED).alias("hanging"), none_of(ROWS).alias("out"))
     hangs = F.exists(rows, lambda r: F.exists(r["cells"], lambda c: c["depth"] > 1))
     return F.when(hangs, F.aggregate(rows, state, step, below)).otherwise(
-        F.transform(rows, lambda r, i: _row(start + i, F.lit(1), _place(r["cells"])))
+        F.transform(rows, lambda r, i: _row(i, F.lit(1), _place(r["cells"])))
     )
 
 
