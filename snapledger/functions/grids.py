@@ -1,8 +1,8 @@
-"""Tables of a page as Column expressions over its numbered elements.
+"""Tables of a page as Column expressions over its rows and cells.
 
-What the reader (``snapledger.functions.html``) leaves is flat: rows and cells know the
-table they belong to. Which table counts, which rows are headings, where spans put a
-cell and what its column is called is decided here, inside the page's row.
+The reader (``snapledger.functions.html``) gives the tables that are asked for, each as
+rows of cells with their raw attributes and pieces of text. Which rows are headings, where
+spans put a cell and what its column is called is decided here, inside the page's row.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from snapledger.functions.html import EVERY, FIRST, LAST  # noqa: F401
+
 NAME = "struct<name:string,base:string,nth:int,at:int,width:int>"
 CELLS_OF = "array<struct<at:int,width:int,text:string>>"
 ROWS = f"array<struct<ix:int,times:int,cells:{CELLS_OF}>>"
@@ -19,9 +21,6 @@ TABLES = f"array<struct<width:int,names:array<{NAME}>,head:{ROWS},body:{ROWS}>>"
 PLACED = "array<struct<at:int,width:int,text:string,more:int>>"
 NAMED = "array<struct<name:string,base:string,nth:bigint,at:int,width:int,step:int>>"
 
-# Which tables of a page are read.
-FIRST, LAST, EVERY = "first", "last", "every"
-
 # Fixed value: the most rows that a cell spans in HTML.
 MAX_ROWSPAN = 65534
 
@@ -38,8 +37,8 @@ EDGES = rf"^{WHITE}{{1,2}}|{WHITE}{{1,2}}\z"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), 0)
+    """``use`` of a value that is worked out once, and not copied as elements of arrays are."""
+    return F.aggregate(none_of("array<int>"), value, lambda known, _: known, use)
 
 
 def none_of(kind: str) -> Column:
@@ -53,25 +52,10 @@ def pick(values: Column, first: Column, end: Column) -> Column:
 
 
 def tables_of(page: Column, which: str | None) -> Column:
-    """Tables with any text, in document order; the ``which`` one by request."""
+    """The tables that the reader gave, in document order."""
     if which is None:
         return none_of(TABLES)
-    full = F.filter(
-        page["elements"],
-        lambda t: (t["tag"] == "table")
-        & F.exists(_inside(page, t), lambda c: _cell_of(c, t) & (c["first"] < c["end"])),
-    )
-    if which != EVERY:
-        full = let(full, lambda f: F.slice(f, 1 if which == FIRST else F.greatest(F.size(f), F.lit(1)), 1))
-    return F.transform(full, lambda t: _table(page, t))
-
-
-def _inside(page: Column, element: Column) -> Column:
-    return pick(page["elements"], element["ix"] + 1, element["last"] + 1)
-
-
-def _cell_of(element: Column, table: Column) -> Column:
-    return element["tag"].isin("td", "th") & (element["table"] == table["ix"])
+    return F.transform(page["grids"], lambda t: _table(page, t))
 
 
 def _span(value: Column) -> Column:
@@ -98,19 +82,16 @@ def _cell_text(page: Column, cell: Column) -> Column:
 def _table(page: Column, table: Column) -> Column:
     def cells(row):
         return F.transform(
-            F.filter(_inside(page, row), lambda c: _cell_of(c, table)),
+            row["cells"],
             lambda c: F.struct(
                 _span(c["colspan"]).alias("width"),
                 F.least(_span(c["rowspan"]), F.lit(MAX_ROWSPAN)).alias("depth"),
                 _cell_text(page, c).alias("text"),
-                (c["tag"] == "td").alias("plain"),
+                c["plain"].alias("plain"),
             ),
         )
 
-    rows = F.transform(
-        F.filter(_inside(page, table), lambda r: (r["tag"] == "tr") & (r["table"] == table["ix"])),
-        lambda r: F.struct(r["part"].alias("part"), cells(r).alias("cells")),
-    )
+    rows = F.transform(table["rows"], lambda r: F.struct(r["part"].alias("part"), cells(r).alias("cells")))
 
     def part(rows, name):
         return F.filter(rows, lambda r: r["part"] == name)
@@ -172,6 +153,13 @@ def _end(row: Column) -> Column:
     return F.coalesce(last["at"] + last["width"], F.lit(0))
 
 
+def text_at(cells: Column, at: Column) -> Column:
+    """Text of the cell over column ``at``; without spans it is the cell of that number."""
+    over = F.filter(cells, lambda c: (c["at"] <= at) & (at - c["at"] < c["width"]))
+    same = F.get(cells, at)
+    return F.when(same["at"] == at, same["text"]).otherwise(F.get(over, 0)["text"])
+
+
 def _place(cells: Column, waiting: Column | None = None) -> Column:
     """Cells of a row side by side, with the ``waiting`` ones that hang into it from above."""
 
@@ -262,10 +250,19 @@ def _filled(rows: Column) -> Column:
             state["out"], let(levels, lambda ls: F.transform(ls, lambda more, i: row(ls, more, i)))
         )
 
+    def apart(row, ix):
+        side_by_side = F.transform(
+            row["cells"],
+            lambda c, i: F.struct(i.alias("at"), c["width"].alias("width"), c["text"].alias("text")),
+        )
+        even = F.forall(row["cells"], lambda c: c["width"] == 1)
+        cells = F.when(even, side_by_side).otherwise(_bare(_place(row["cells"])))
+        return F.struct(ix.alias("ix"), F.lit(1).alias("times"), cells.alias("cells"))
+
     state = F.struct(none_of(PLACED).alias("hanging"), none_of(ROWS).alias("out"))
     hangs = F.exists(rows, lambda r: F.exists(r["cells"], lambda c: c["depth"] > 1))
     return F.when(hangs, F.aggregate(rows, state, step, below)).otherwise(
-        F.transform(rows, lambda r, i: _row(i, F.lit(1), _place(r["cells"])))
+        F.transform(rows, apart)
     )
 
 
@@ -286,17 +283,15 @@ def _names(head: Column, body: Column, width: Column) -> Column:
     short = (F.size(head) == 0) | F.exists(head, lambda r: _end(r) < width)
     cells = F.flatten(F.transform(body, lambda r: F.transform(r["cells"], lambda c: c["at"])))
     cells = F.when(short, cells).otherwise(none_of("array<int>"))
-    starts = F.array_sort(
+    any_starts = F.array_sort(
         F.array_distinct(F.filter(F.concat(edges, cells, F.array(F.lit(0))), lambda at: at < width))
     )
+    # Where every row ends at its number of cells, each column is a run of its own.
+    even = F.forall(F.concat(head, body), lambda r: _end(r) == F.size(r["cells"]))
+    starts = F.when(even & (width > 0), F.sequence(F.lit(0), width - 1)).otherwise(any_starts)
 
     def heading(at):
-        over = F.transform(
-            head,
-            lambda r: F.get(
-                F.filter(r["cells"], lambda c: (c["at"] <= at) & (at - c["at"] < c["width"])), 0
-            )["text"],
-        )
+        over = F.transform(head, lambda r: text_at(r["cells"], at))
         return F.array_join(F.array_distinct(F.filter(over, lambda x: x.isNotNull() & (x != ""))), " ")
 
     def runs(starts):
@@ -352,14 +347,35 @@ def _names(head: Column, body: Column, width: Column) -> Column:
 
         return let(F.coalesce(label, run["at"].cast("string")), labelled)
 
-    named = F.aggregate(let(starts, runs), none_of(NAMED), name)
-    return F.transform(
-        named,
-        lambda n: F.struct(
-            n["name"].alias("name"),
-            n["base"].alias("base"),
-            F.least(n["nth"], F.lit(MOST)).cast("int").alias("nth"),
-            n["at"].alias("at"),
-            n["width"].alias("width"),
-        ),
-    )
+    def entries(runs):
+        """Names need the ones before only where a heading is repeated or empty."""
+        bases = F.transform(runs, lambda run: run["base"])
+        apart = let(
+            bases,
+            lambda b: (F.size(F.array_distinct(b)) == F.size(b)) & ~F.array_contains(b, ""),
+        )
+        own = F.transform(runs, lambda run: entry_of(run, run["base"]))
+        numbered = F.transform(runs, lambda run: entry_of(run, run["at"].cast("string")))
+        named = F.aggregate(runs, none_of(NAMED), name)
+        any_entries = F.transform(
+            named,
+            lambda n: F.struct(
+                n["name"].alias("name"),
+                n["base"].alias("base"),
+                F.least(n["nth"], F.lit(MOST)).cast("int").alias("nth"),
+                n["at"].alias("at"),
+                n["width"].alias("width"),
+            ),
+        )
+        return F.when(F.size(head) == 0, numbered).when(apart, own).otherwise(any_entries)
+
+    def entry_of(run, label):
+        return F.struct(
+            label.alias("name"),
+            label.alias("base"),
+            F.lit(0).alias("nth"),
+            run["at"].alias("at"),
+            run["width"].alias("width"),
+        )
+
+    return let(let(starts, runs), entries)

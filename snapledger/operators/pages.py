@@ -46,9 +46,9 @@ def parse(
     the Python worker. Pages that cannot be parsed keep their row with ``page.error``.
     """
     others = [c for c in pages.columns if c != html_col]
-    read = html.page_reader(tags, tables is not None)(F.col(html_col)).alias("page")
+    read = html.page_reader(tags, tables)(F.col(html_col)).alias("page")
     found = grids.tables_of(F.col("page"), tables)
-    page = F.col("page").dropFields("pieces").withField("tables", found)
+    page = F.col("page").dropFields("pieces", "grids").withField("tables", found)
     # An array of one is exploded so that tables are built once, whatever uses them.
     return pages.select(*others, read).select(*others, F.explode(F.array(page)).alias("page"))
 
@@ -237,8 +237,7 @@ def table_records(parsed: DataFrame, table: Column, columns: Iterable[str]) -> D
     others = F.filter(table["names"], lambda n: ~n["name"].isin(declared))
 
     def value(place):
-        at = F.filter("_cells", lambda c: (c["at"] <= F.col(place)) & (F.col(place) - c["at"] < c["width"]))
-        return _present(F.get(at, 0)["text"])
+        return _present(grids.text_at(F.col("_cells"), F.col(place)))
 
     return (
         parsed.where(F.size(table["body"]) > 0)

@@ -290,3 +290,41 @@ def test_reading_fewer_tags_gives_the_same_elements(fragments, tags):
     markup = "".join(fragments) + "."
     full = [(e["tag"], e["href"], e["nth"]) for e in read(markup)["elements"] if e["tag"] in tags]
     assert [(e["tag"], e["href"], e["nth"]) for e in read(markup, tags)["elements"]] == full
+
+
+def test_tables_are_nested_and_leave_no_elements():
+    markup = "<a href=/x>l</a><table><tr><td> </table><table><tr><th>A<td colspan=2>b</table><table><td>c</table>"
+    first, last, none = (raw(markup, ("a",), which) for which in (grids.FIRST, grids.LAST, None))
+    assert [[e["tag"] for e in page["elements"]] for page in (first, last, none)] == [["a"]] * 3
+    assert [len(page["grids"]) for page in (first, last, none)] == [1, 1, 0]
+    ((row,),) = [grid["rows"] for grid in first["grids"]]
+    assert [(c["colspan"], c["plain"]) for c in row["cells"]] == [(None, False), ("2", True)]
+    assert ["".join(first["pieces"][c["raw_first"] : c["raw_end"]]) for c in row["cells"]] == ["A", "b"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(FRAGMENTS)
+def test_nested_tables_equal_those_of_the_elements(fragments):
+    markup = "".join(fragments) + "."
+    page = raw(markup, ALL, grids.EVERY)
+    assert page["error"] is None or markup.isspace()
+    every = page["elements"]
+
+    def cells(table, around):
+        inside = every[around["ix"] + 1 : around["last"] + 1]
+        return [e for e in inside if e["tag"] in ("td", "th") and e["table"] == table["ix"]]
+
+    def rows(table):
+        inside = every[table["ix"] + 1 : table["last"] + 1]
+        return [e for e in inside if e["tag"] == "tr" and e["table"] == table["ix"]]
+
+    expected = [
+        [(r["part"], [(c["tag"] == "td", c["raw_first"], c["raw_end"]) for c in cells(t, r)]) for r in rows(t)]
+        for t in every
+        if t["tag"] == "table" and any(c["first"] < c["end"] for c in cells(t, t))
+    ]
+    found = [
+        [(r["part"], [(c["plain"], c["raw_first"], c["raw_end"]) for c in r["cells"]]) for r in grid["rows"]]
+        for grid in page["grids"]
+    ]
+    assert found == expected
