@@ -328,3 +328,10 @@ def test_nested_tables_equal_those_of_the_elements(fragments):
         for grid in page["grids"]
     ]
     assert found == expected
+
+
+def test_only_wanted_tags_become_elements():
+    markup = "<table><tr><td><a href='/x'>one</a><td>two</table><div><A>three</div></a>"
+    elements, pieces = html.read_elements(markup, frozenset(["a"]))
+    assert [(e.tag, e.ix, e.last) for e in elements] == [("a", 0, 0), ("a", 1, 1)]
+    assert [pieces[e.first : e.end] for e in elements] == [["one"], ["three"]]
