@@ -1,11 +1,15 @@
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from snapledger.llm.packing import pack, plan_windows, sequences
+from snapledger.llm.packing import pack, place, plan_windows, sequences
 from snapledger.llm.pretokens import Encoder, gather, sums
 from snapledger.llm.token_counts import token_counts
 from snapledger.llm.token_files import pack_ids, read_token_files, unpack_ids, write_token_files
@@ -155,3 +159,56 @@ def test_packing(docs):
     assert all(set(np.frombuffer(r.ids, "<u4")[r.used :]) <= {9} for r in rows)
     assert zlib.crc32(b"") == 0
     assert pack(docs([]), BYTES).count() == 0
+
+
+ENCODING = """
+import re, sys
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+from snapledger.llm.pretokens import Encoder, slices
+
+def memory(which):
+    return int(re.search(which + r":\\s+(\\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+encoder, draw, start = Encoder(sys.argv[1]), np.random.default_rng(1), memory("VmRSS")
+for _ in range(12):
+    letters = draw.integers(97, 123, (300_000, 12), dtype=np.uint8)
+    letters[:, 0] = 32
+    texts = pa.array([letters[i : i + 250].tobytes().decode() for i in range(0, len(letters), 250)])
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+        ids, lengths = encoder.encode(part["text"])
+        assert len(ids) == lengths.sum()
+print(memory("VmHWM") - start)
+"""
+
+
+def test_memory_of_a_worker():
+    """Texts of ever new words: what a worker remembers, and what it needs for a slice, stay small."""
+    run = [sys.executable, "-c", ENCODING, BYTES]
+    root = str(Path(__file__).parents[2])
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([root, *sys.path])}
+    done = subprocess.run(run, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < 240
+
+
+def test_packing_stages_small_batches(docs, monkeypatch):
+    """Tokens are made from small batches, in settings of the staging alone, and placed without Python."""
+    monkeypatch.setattr("snapledger.llm.packing.BATCHES", {"spark.sql.execution.arrow.maxRecordsPerBatch": "2"})
+    spark = docs([]).sparkSession
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def count(batches):
+        for batch in batches:
+            n = len(batch)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([1] * n), pa.array([n] * n)], names=["length", "batch"]
+            )
+
+    numbers = docs(ROWS).coalesce(1).mapInArrow(count, "length long, batch long")
+    placed = place(numbers, window=64)
+    assert {r.batch for r in placed.collect()} == {2}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    assert "InArrow" not in placed._jdf.queryExecution().executedPlan().toString()
