@@ -91,7 +91,9 @@ def block_pairs(queries: DataFrame, rows: DataFrame) -> DataFrame:
     """Every block of queries beside every block of rows of its length, as one row each.
 
     The two sides meet by the numbers of both blocks, so that the pairs are spread over
-    all tasks and none holds more than two blocks at a time.
+    all tasks and none holds more than two blocks at a time. They are always shuffled:
+    Spark takes a side for no larger than before its copies were made, and would send all
+    of them, as many as there are pairs, through the driver as a broadcast.
     """
     key = ["dim", "query_block", "row_block"]
     ask = queries.withColumnRenamed("block", "query_block").withColumn(
@@ -101,7 +103,7 @@ def block_pairs(queries: DataFrame, rows: DataFrame) -> DataFrame:
         "query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1))
     )
     return ask.drop("query_blocks", "row_blocks").join(
-        have.drop("query_blocks", "row_blocks"), key
+        have.drop("query_blocks", "row_blocks").hint("merge"), key
     )
 
 

@@ -155,3 +155,13 @@ def test_a_score_of_zero_is_a_window_of_one(spark):
 def test_windows_of_other_limits_are_checked(spark):
     with pytest.raises(ValueError):
         hard_negatives(frame(spark, []), F.lit(True), F.col("label"), low=90, high=80)
+
+
+def test_copies_of_blocks_are_never_broadcast(spark, plan):
+    """One small block of queries beside 500 of rows: Spark counts the copies as one block."""
+    sizes = "dim int, block int, query_blocks int, row_blocks int"
+    queries = spark.createDataFrame([(2, 0, 1, 500, [1, 2])], f"{sizes}, q array<long>")
+    rows = spark.createDataFrame([(2, n, 1, 500, [n, n]) for n in range(500)], f"{sizes}, v array<long>")
+    pairs = blocks.block_pairs(queries, rows)
+    assert "SortMergeJoin" in plan(pairs) and "Broadcast" not in plan(pairs)
+    assert sorted(r["row_block"] for r in pairs.collect()) == list(range(500))
