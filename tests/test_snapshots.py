@@ -502,3 +502,20 @@ def test_staged_tables_are_removed(spark, tmp_path):
     _, path = session.write_stage(spark.range(3), "gone")
     session.discard(spark, path)
     assert not os.path.exists(path)
+
+
+def test_a_table_beyond_the_bound_is_not_broadcast_by_its_files(spark, plan, tmp_path):
+    """Files of a few KB, but rows of one long text: Spark alone would broadcast them."""
+    spark.range(500).withColumn("s", F.lit("x" * 1000)).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    big = spark.range(1000)
+    assert "BroadcastHashJoin" in plan(big.join(session.broadcast_if_small(table, 1000), "id"))
+    for how in ("inner", "left", "left_anti", "left_semi"):
+        large = plan(big.join(session.join_side(table, 1000), "id", how))
+        assert "SortMergeJoin" in large and "BroadcastHashJoin" not in large
+    assert "BroadcastHashJoin" in plan(big.join(session.join_side(table), "id"))
+
+
+def test_narrow_rows_are_measured_as_they_are_broadcast(spark):
+    ids = spark.range(1000).select(F.col("id").cast("string"))
+    assert not session.is_small(ids, 1000 * 100)
